@@ -2,5 +2,482 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import Window as W
+
+from spokenlake.functions import numbers as N
+from spokenlake.functions import text as T
+from spokenlake.operators import mentions as M
+from spokenlake.operators import sequences as S
+from spokenlake.plans import fixtures as X
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+#: The configured names that reports leave out.
+BLACKLIST = ["The ", "and", "of", "la", "der", "Errere", "All"]
+_BLACK = "('the','and','of','la','der','errere','all')"
+
+
+def query(sql: str | None = None) -> Callable:
+    """Registers a query under its function's name, with SQL that gives the same rows."""
+
+    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _first(spark: SparkSession, d: str) -> DataFrame:
+    return M.flag_blacklisted(M.first_per_name(M.guarded(X.mentions(spark, d))), BLACKLIST)
+
+
+# Mentions
+
+
+@query(f"WITH {X.MEN} SELECT trim(name) AS name, count(*) AS occurrence_count, string_agg(CAST(grp AS VARCHAR), ',' ORDER BY grp, pos) AS episodes FROM once WHERE name_key NOT IN {_BLACK} GROUP BY 1")
+def mention_summary(spark: SparkSession, d: str) -> DataFrame:
+    return M.summary(_first(spark, d).where("not blacklisted"))
+
+
+@query(f"WITH {X.MEN} SELECT grp, count(*) FILTER (name_key NOT IN {_BLACK}) AS kept, count(*) FILTER (name_key IN {_BLACK}) AS filtered_count FROM once GROUP BY 1")
+def mention_dedupe_blacklist(spark: SparkSession, d: str) -> DataFrame:
+    return _first(spark, d).groupBy("grp").agg(F.count_if(~F.col("blacklisted")).alias("kept"), F.count_if("blacklisted").alias("filtered_count"))
+
+
+@query(f"WITH {X.MEN} SELECT count(DISTINCT trim(name)) AS unique_company_count FROM once WHERE name_key NOT IN {_BLACK}")
+def unique_company_count(spark: SparkSession, d: str) -> DataFrame:
+    return _first(spark, d).where("not blacklisted").select(T.strip(F.col("name")).alias("name")).agg(F.count_distinct("name").alias("unique_company_count"))
+
+
+@query(f"""WITH {X.MEN}, cut AS (SELECT grp, name_key, pos, instr(lower(evidence), name_key) - 1 AS i, evidence, length(evidence) AS n FROM good),
+ex AS (SELECT grp, name_key, pos, CASE WHEN n <= 300 THEN evidence ELSE substring(evidence, CAST(CASE WHEN i < 0 THEN 0 ELSE greatest(0, least(n, greatest(0, i - 150) + 300) - 300) END + 1 AS BIGINT), 300) END AS excerpt FROM cut),
+d AS (SELECT grp, name_key, excerpt, min(pos) AS pos FROM ex GROUP BY 1, 2, 3)
+SELECT grp, name_key, k, excerpt FROM (SELECT *, row_number() OVER (PARTITION BY grp, name_key ORDER BY pos) AS k FROM d) WHERE k <= 2""")
+def top2_distinct_excerpts(spark: SparkSession, d: str) -> DataFrame:
+    return M.distinct_excerpts(M.guarded(X.mentions(spark, d)))
+
+
+@query(f"""WITH {X.MEN}, t AS (SELECT grp, pos, name, CASE WHEN (grp + pos) % 5 = 0 THEN evidence || '!' ELSE evidence END AS evidence FROM good),
+src AS (SELECT doc_id, regexp_replace(text, '{X.WSC}', '', 'g') AS bare FROM documents)
+SELECT grp, pos, contains(bare, regexp_replace(evidence, '{X.WSC}', '', 'g')) AND contains(lower(regexp_replace(evidence, '{X.WSC}', '', 'g')), lower(regexp_replace(name, '{X.WSC}', '', 'g'))) AS valid FROM t JOIN src ON grp = doc_id""")
+def evidence_containment(spark: SparkSession, d: str) -> DataFrame:
+    given = M.guarded(X.mentions(spark, d)).withColumn("evidence", F.when((F.col("grp") + F.col("pos")) % 5 == 0, F.concat("evidence", F.lit("!"))).otherwise(F.col("evidence")))
+    return M.validate_evidence(given, X.table(spark, d, "documents").select(F.col("doc_id").alias("grp"), F.col("text").alias("source")))
+
+
+@query(f"""WITH {X.MEN}, r AS (SELECT grp, name_key, CASE WHEN grp % 3 = 0 THEN regexp_replace(evidence, '{X.WSC}', '', 'g') || '?' ELSE regexp_replace(evidence, '{X.WSC}', '', 'g') END AS bare FROM once),
+c AS (SELECT grp, name_key, regexp_replace(evidence, '{X.WSC}', '', 'g') AS source FROM good)
+SELECT r.grp, r.name_key, coalesce(bool_or(contains(source, bare)), false) AS valid FROM r LEFT JOIN c USING (grp, name_key) GROUP BY 1, 2""")
+def merged_name_validation(spark: SparkSession, d: str) -> DataFrame:
+    candidates = M.guarded(X.mentions(spark, d))
+    results = M.first_per_name(candidates).withColumn("evidence", F.when(F.col("grp") % 3 == 0, F.concat("evidence", F.lit("?"))).otherwise(F.col("evidence")))
+    return M.validate_merged(results, candidates)
+
+
+# Feeds, pages, keys
+
+
+@query("""SELECT 'Feed ' || page_id AS feed_title, 'https://feed.example.com/' || page_id AS feed_url, left(sha256('https://feed.example.com/' || page_id), 16) AS feed_id, 'Item ' || page_id AS title,
+CASE WHEN page_id % 2 = 0 THEN left(sha256(url), 24) ELSE left(sha256(url), 20) END AS episode_id, CASE WHEN page_id % 3 <> 0 AND page_id % 5 <> 0 THEN page_id * 100 END AS audio_length_bytes, '.mp3' AS extension FROM pages""")
+def rss_episode_scan(spark: SparkSession, d: str) -> DataFrame:
+    from spokenlake.sources.rss import episodes
+
+    p = X.table(spark, d, "pages")
+    guid = F.when(F.col("page_id") % 2 == 0, F.col("url")).otherwise(F.left(F.sha2("url", 256), F.lit(20)))
+    size = F.when(F.col("page_id") % 3 == 0, F.lit("")).when(F.col("page_id") % 5 == 0, F.lit("-7")).otherwise((F.col("page_id") * 100).cast("string"))
+    safe = lambda c: F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    xml = F.concat(
+        F.lit("<rss><channel><title> Feed "), F.col("page_id").cast("string"), F.lit(" </title><item><title>Item "), F.col("page_id").cast("string"), F.lit("</title><guid>"), safe(guid),
+        F.lit("</guid><pubDate>Mon, 01 Jan 2024 00:00:00 GMT</pubDate><enclosure url=\"https://cdn.example.com/a.MP3?x=1\" type=\"audio/mpeg\" length=\""), size, F.lit("\"/></item></channel></rss>"),
+    )
+    feeds = p.select(F.concat(F.lit("https://feed.example.com/"), F.col("page_id").cast("string")).alias("feed_url"), xml.alias("xml"))
+    return episodes(feeds).select("feed_title", "feed_url", "feed_id", "title", "episode_id", "audio_length_bytes", "extension")
+
+
+@query(f"""WITH {X.DOW} SELECT feed, count(*) AS episodes, count(*) FILTER (status = 'downloaded') AS downloaded, count(*) FILTER (status = 'skipped') AS skipped, count(*) FILTER (status = 'failed') AS failed, count(*) FILTER (status = 'pending') AS pending, CAST(sum(coalesce(bytes, 0)) AS BIGINT) AS bytes FROM dow GROUP BY 1""")
+def feed_manifest_counts(spark: SparkSession, d: str) -> DataFrame:
+    kinds = [F.count_if(F.col("status") == s).alias(s) for s in ("downloaded", "skipped", "failed", "pending")]
+    return X.downloads(spark, d).groupBy("feed").agg(F.count("*").alias("episodes"), *kinds, F.sum(F.coalesce("bytes", F.lit(0))).alias("bytes"))
+
+
+@query("""SELECT page_id, left(sha256(url), 16) AS feed_id, left(sha256(url), 8) AS directory, CASE WHEN length(url) <= 120 AND regexp_full_match(url, '[A-Za-z0-9._-]+') THEN url ELSE left(sha256(url), 24) END AS episode_id,
+nullif(regexp_extract('https://host/episode/' || left(sha256(url), CAST(22 + page_id % 4 AS INT)) || '/?x=1', '^https?://[^/?#]*/episode/([0-9A-Za-z]{24})/*(?:[?#].*)?$', 1), '') AS url_id FROM pages""")
+def feed_and_url_hash_keys(spark: SparkSession, d: str) -> DataFrame:
+    made = F.concat(F.lit("https://host/episode/"), F.left(F.sha2("url", 256), (22 + F.col("page_id") % 4).cast("int")), F.lit("/?x=1"))
+    u = F.col("url")
+    return X.table(spark, d, "pages").select("page_id", T.hash_prefix(u, 16).alias("feed_id"), T.hash_prefix(u, 8).alias("directory"), T.episode_id(u).alias("episode_id"), T.url_episode_id(made).alias("url_id"))
+
+
+@query("""SELECT page_id, CASE WHEN page_id % 3 = 0 THEN url WHEN page_id % 3 = 1 THEN 'https://catalog.example.com/one' END AS feed_url FROM pages""")
+def catalog_resolve(spark: SparkSession, d: str) -> DataFrame:
+    from spokenlake.sources.catalog import catalog_table, resolve
+
+    p = X.table(spark, d, "pages").withColumn("reference", F.when(F.col("page_id") % 3 == 0, F.col("url")).when(F.col("page_id") % 3 == 1, F.lit(" one ")).otherwise(F.lit("missing")))
+    return resolve(p, catalog_table(spark, {"one": "https://catalog.example.com/one", "two": "https://catalog.example.com/two"})).select("page_id", "feed_url")
+
+
+@query("""SELECT page_id, 'T ' || url AS title, CASE WHEN page_id % 4 = 0 THEN 'notes' ELSE 'about ' || page_id END AS content, CASE WHEN page_id % 3 <> 0 THEN 'https://cdn.example.com/' || page_id || '.m4a' END AS audio_url, 'Pod' AS podcast_title FROM pages""")
+def page_json_block(spark: SparkSession, d: str) -> DataFrame:
+    from spokenlake.sources.pages import episode_pages
+
+    p = X.table(spark, d, "pages")
+    page_id = F.col("page_id").cast("string")
+    episode = F.struct(
+        F.concat(F.lit("T "), F.col("url")).alias("title"), F.when(F.col("page_id") % 4 == 0, F.lit(" ")).otherwise(F.concat(F.lit("about "), page_id, F.lit("\r\n"))).alias("description"), F.lit("<p>notes</p>").alias("shownotes"),
+        F.when(F.col("page_id") % 3 != 0, F.struct(F.concat(F.lit("https://cdn.example.com/"), page_id, F.lit(".m4a")).alias("url"))).alias("enclosure"), F.struct(F.lit(" Pod ").alias("title")).alias("podcast"),
+    )
+    body = F.to_json(F.struct(F.struct(F.struct(episode.alias("episode")).alias("pageProps")).alias("props")))
+    html = F.concat("html", F.lit('<script id="__NEXT_DATA__" type="application/json">'), body, F.lit("</script>"))
+    return episode_pages(p.select("page_id", html.alias("html")))
+
+
+@query("""WITH RECURSIVE c AS (SELECT conv_id, turn, (turn - 1) // 2 AS parent, row_number() OVER (PARTITION BY conv_id, (CASE WHEN turn = (SELECT min(turn) FROM conversations x WHERE x.conv_id = conversations.conv_id) THEN -1 ELSE (turn - 1) // 2 END) ORDER BY turn) AS place, turn = (SELECT min(turn) FROM conversations x WHERE x.conv_id = conversations.conv_id) AS root FROM (SELECT DISTINCT conv_id, turn FROM conversations) conversations),
+t AS (SELECT conv_id, turn, CAST(place AS VARCHAR) AS path, 1 AS depth FROM c WHERE root UNION ALL SELECT c.conv_id, c.turn, t.path || '.' || c.place, t.depth + 1 FROM c JOIN t ON c.conv_id = t.conv_id AND c.parent = t.turn AND NOT c.root)
+SELECT conv_id, turn, path, depth FROM t""")
+def comment_tree_paths(spark: SparkSession, d: str) -> DataFrame:
+    from spokenlake.operators.trees import tree_paths
+
+    c = X.table(spark, d, "conversations").select("conv_id", "turn").distinct()
+    root = F.min("turn").over(W.partitionBy("conv_id"))
+    nodes = c.withColumn("parent", F.when(F.col("turn") != root, F.expr("(turn - 1) div 2")))
+    return tree_paths(nodes, "conv_id", "turn", "parent")
+
+
+@query(None)
+def html_strip(spark: SparkSession, d: str) -> DataFrame:
+    from spokenlake.functions.python_text import strip_html
+
+    return X.table(spark, d, "pages").select("page_id", strip_html("html").alias("text"))
+
+
+@query(None)
+def safe_name_truncate(spark: SparkSession, d: str) -> DataFrame:
+    from spokenlake.functions.python_text import safe_name
+
+    return X.table(spark, d, "pages").select("page_id", safe_name("url").alias("name"))
+
+
+# Text
+
+
+_CLEAN = X.strip_sql("regexp_replace(regexp_replace(regexp_replace(text, '[\\x{200B}\\x{200C}\\x{200D}\\x{FEFF}]', '', 'g'), '\\r\\n|\\r', chr(10), 'g'), '\\n{3,}', chr(10) || chr(10), 'g')")
+
+
+@query(f"SELECT doc_id, sha256({_CLEAN}) AS cleaned FROM documents")
+def clean_text(spark: SparkSession, d: str) -> DataFrame:
+    return X.table(spark, d, "documents").select("doc_id", F.sha2(T.clean_text(F.col("text")), 256).alias("cleaned"))
+
+
+@query(r"SELECT doc_id, CAST(length(regexp_replace(text, '[\s\x0b\x1c-\x1f\x85\p{Z}\p{P}]', '', 'g')) AS BIGINT) AS content, CAST(length(regexp_replace(text, '[^\p{Nd}A-Za-z]', '', 'g')) AS BIGINT) AS protected FROM documents")
+def content_chars(spark: SparkSession, d: str) -> DataFrame:
+    t = F.col("text")
+    return X.table(spark, d, "documents").select("doc_id", T.content_length(t).alias("content"), T.protected_count(t).alias("protected"))
+
+
+@query(f"WITH {X.MEN} SELECT grp, CASE WHEN grp % 11 <> 0 THEN CAST(count(*) AS BIGINT) END AS companies, CASE WHEN grp % 11 <> 0 THEN string_agg(trim(name), '|' ORDER BY pos) END AS names FROM once GROUP BY grp")
+def code_fence_json_parse(spark: SparkSession, d: str) -> DataFrame:
+    """What a model answers, fenced for odd groups and broken for every eleventh, parsed again."""
+    ordered = F.array_sort(F.collect_list(F.struct("pos", T.strip(F.col("name")).alias("name"), "evidence")))
+    body = F.to_json(F.struct(F.transform(ordered, lambda m: F.struct(m["name"].alias("name"), m["evidence"].alias("evidence"))).alias("companies")))
+    answers = M.first_per_name(M.guarded(X.mentions(spark, d))).groupBy("grp").agg(body.alias("json"))
+    fenced = F.when(F.col("grp") % 2 == 1, F.concat(F.lit("```json\n"), "json", F.lit("\n```"))).otherwise(F.col("json"))
+    answers = answers.select("grp", F.when(F.col("grp") % 11 == 0, F.concat(F.lit("Sure: "), fenced)).otherwise(fenced).alias("response"))
+    parsed = F.from_json(T.strip_code_fence(F.col("response")), "companies array<struct<name string, evidence string>>")
+    return answers.select("grp", parsed["companies"].alias("c")).select("grp", F.when(F.col("c").isNotNull(), F.size("c").cast("long")).alias("companies"), F.array_join(F.transform("c", lambda x: x["name"]), "|").alias("names"))
+
+
+@query("SELECT conv_id, string_agg(format('[{:03d}] ', turn) || upper(role) || ': ' || trim(text), chr(10) ORDER BY turn, role, text) AS prompt FROM conversations GROUP BY 1")
+def prompt_render(spark: SparkSession, d: str) -> DataFrame:
+    lines = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
+    one = lambda r: F.concat(F.format_string("[%03d] ", r["turn"]), F.upper(r["role"]), F.lit(": "), F.trim(r["text"]))
+    return X.table(spark, d, "conversations").groupBy("conv_id").agg(lines.alias("l")).select("conv_id", F.array_join(F.transform("l", one), "\n").alias("prompt"))
+
+
+@query(rf"SELECT doc_id, sha256(regexp_replace(translate(text, '0123456789abcdefghijklmnopqrstuvwxyz', '{T.NUMERALS}ABCDEFGHIJKLMNOPQRSTUVWXYZ'), '[\s\x0b\x1c-\x1f\x85\p{{Z}}\p{{P}}\p{{S}}]', '', 'g')) AS acoustic FROM documents")
+def acoustic_normalise(spark: SparkSession, d: str) -> DataFrame:
+    return X.table(spark, d, "documents").select("doc_id", F.sha2(T.acoustic(F.col("text")), 256).alias("acoustic"))
+
+
+@query("SELECT page_id, format('{:03d}', page_id) || '-' || right(left(sha256(url), 24), 8) AS trace, format('{:03d}', page_id) || '-' || rpad('ab' || page_id % 10, 8, '0') AS short_trace FROM pages")
+def trace_ids(spark: SparkSession, d: str) -> DataFrame:
+    i = F.col("page_id")
+    return X.table(spark, d, "pages").select("page_id", T.trace_id(i, T.hash_prefix(F.col("url"), 24)).alias("trace"), T.trace_id(i, F.concat(F.lit("ab"), (i % 10).cast("string"))).alias("short_trace"))
+
+
+# Numbers
+
+
+@query(f"WITH {X.SEG} SELECT doc_id, idx, format('{{:02d}}:{{:02d}}:{{:02d}}.{{:03d}}', end_ms // 3600000, end_ms // 60000 % 60, end_ms // 1000 % 60, end_ms % 1000) AS stop, format('{{:02d}}-{{:02d}}-{{:02d}}.{{:03d}}', end_ms // 3600000, end_ms // 60000 % 60, end_ms // 1000 % 60, end_ms % 1000) AS file_stop FROM seg")
+def duration_format(spark: SparkSession, d: str) -> DataFrame:
+    return X.segments(spark, d).select("doc_id", "idx", N.format_duration(F.col("end_ms")).alias("stop"), N.format_duration(F.col("end_ms"), "-").alias("file_stop"))
+
+
+@query(f"WITH {X.SEG} SELECT doc_id, idx, CAST(round_even((end_ms * 7) * 1000 / 16000.0::DOUBLE, 0) AS BIGINT) AS ms, CAST(round_even(end_ms * 16000 / 1000.0::DOUBLE, 0) AS BIGINT) AS samples, CAST(greatest(1, ceil((end_ms - start_ms) / 16.0::DOUBLE)) AS BIGINT) AS frames FROM seg")
+def sample_ms_frame_units(spark: SparkSession, d: str) -> DataFrame:
+    s = X.segments(spark, d)
+    return s.select("doc_id", "idx", N.samples_to_ms(F.col("end_ms") * 7).alias("ms"), N.ms_to_samples(F.col("end_ms")).alias("samples"), N.ms_to_frames(F.col("end_ms") - F.col("start_ms")).alias("frames"))
+
+
+@query(f"WITH {X.SEG} SELECT doc_id, idx, least(end_ms, start_ms + greatest(0, (idx * 137) - 500)) AS source_ms FROM seg")
+def source_time_clamp(spark: SparkSession, d: str) -> DataFrame:
+    return X.segments(spark, d).select("doc_id", "idx", N.source_time(F.col("idx") * 137, F.col("start_ms"), F.col("end_ms"), 500).alias("source_ms"))
+
+
+@query(f"WITH {X.FRA}, e AS (SELECT doc_id, sum(energy) AS total, count(*) AS n FROM fra GROUP BY 1) SELECT doc_id, CAST(total AS BIGINT) AS total, CASE WHEN total > 10000 THEN 0.6::DOUBLE WHEN total < 1000 THEN 0.4::DOUBLE ELSE 0.5::DOUBLE END AS threshold FROM e")
+def adaptive_threshold(spark: SparkSession, d: str) -> DataFrame:
+    return X.frames(spark, d).groupBy("doc_id").agg(F.sum("energy").alias("total")).select("doc_id", "total", N.adaptive_threshold(F.col("total"), 0.5).alias("threshold"))
+
+
+@query("SELECT doc_id, CASE WHEN n < 1024 THEN format('{:.1f} B', n::DOUBLE) WHEN n < 1048576 THEN format('{:.1f} KiB', n / 1024.0::DOUBLE) WHEN n < 1073741824 THEN format('{:.1f} MiB', n / 1048576.0::DOUBLE) ELSE format('{:.1f} GiB', n / 1073741824.0::DOUBLE) END AS size FROM (SELECT doc_id, n_chars * (doc_id % 5) * (doc_id % 7) * 1024 AS n FROM documents)")
+def file_size_format(spark: SparkSession, d: str) -> DataFrame:
+    return X.table(spark, d, "documents").select("doc_id", N.format_size(F.col("n_chars") * (F.col("doc_id") % 5) * (F.col("doc_id") % 7) * 1024).alias("size"))
+
+
+# Sequences
+
+
+@query(f"WITH {X.SEG} SELECT doc_id, count(*) AS segment_count, sha256(string_agg(text, chr(10) ORDER BY idx)) AS text_sha FROM seg GROUP BY 1")
+def segment_text_join(spark: SparkSession, d: str) -> DataFrame:
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", "text"))), lambda s: s["text"]), "\n")
+    return X.segments(spark, d).groupBy("doc_id").agg(F.count("*").alias("segment_count"), F.sha2(joined, 256).alias("text_sha"))
+
+
+@query(f"WITH {X.SEG}, p AS (SELECT doc_id, idx, lag(text) OVER (PARTITION BY doc_id ORDER BY idx) AS t FROM seg) SELECT doc_id, idx, coalesce(nullif(right({X.strip_sql(f"regexp_replace(t, '{X.WSC}+', ' ', 'g')")}, 200), ''), '无') AS context FROM p")
+def previous_context(spark: SparkSession, d: str) -> DataFrame:
+    return S.previous_context(X.segments(spark, d)).select("doc_id", "idx", "context")
+
+
+@query(f"WITH {X.SEG}, j AS (SELECT doc_id, idx, start_ms - CASE WHEN idx % 9 = 0 THEN 900 ELSE 0 END AS start_ms, end_ms FROM seg) SELECT doc_id, idx, coalesce(idx > lag(idx) OVER w AND lag(end_ms) OVER w - start_ms <= 800, true) AS ordered, row_number() OVER w = idx AS contiguous FROM j WINDOW w AS (PARTITION BY doc_id ORDER BY idx)")
+def sequence_validation(spark: SparkSession, d: str) -> DataFrame:
+    s = X.segments(spark, d).withColumn("start_ms", F.col("start_ms") - F.when(F.col("idx") % 9 == 0, 900).otherwise(0))
+    return S.validate_sequence(s).select("doc_id", "idx", "ordered", "contiguous")
+
+
+@query(f"WITH {X.SEG} SELECT doc_id, idx, right(coalesce(string_agg(text, chr(10)) OVER (PARTITION BY doc_id ORDER BY idx ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING), ''), 800) AS before, left(coalesce(string_agg(text, chr(10)) OVER (PARTITION BY doc_id ORDER BY idx ROWS BETWEEN 1 FOLLOWING AND 2 FOLLOWING), ''), 800) AS after FROM seg")
+def context_windows(spark: SparkSession, d: str) -> DataFrame:
+    return S.context_windows(X.segments(spark, d)).select("doc_id", "idx", "before", "after")
+
+
+@query(f"WITH {X.SEG}, o AS (SELECT doc_id, idx, CAST(coalesce(sum(length(text) + 1) OVER (PARTITION BY doc_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start, length(text) AS n FROM seg) SELECT doc_id, idx, start, start + n AS stop FROM o")
+def chunk_offsets(spark: SparkSession, d: str) -> DataFrame:
+    return S.offsets(X.segments(spark, d)).select("doc_id", "idx", "start", "stop")
+
+
+def _pack_sql(most: int, overlap: bool) -> str:
+    seed = f"p.n + 1 + s.n <= {most}" if overlap else "false"
+    fits = f"t.chars + 1 + s.n <= {most}"
+    return f"""WITH RECURSIVE {X.SEG}, s AS (SELECT doc_id, CAST(idx AS BIGINT) AS idx, CAST(length(text) AS BIGINT) AS n FROM seg),
+t AS (SELECT doc_id, idx, 1::BIGINT AS chunk, n AS chars, idx AS first_idx FROM s WHERE idx = 1 UNION ALL
+SELECT s.doc_id, s.idx, CASE WHEN {fits} THEN t.chunk ELSE t.chunk + 1 END, CASE WHEN {fits} THEN t.chars + s.n + CASE WHEN t.chars > 0 THEN 1 ELSE 0 END WHEN {seed} THEN p.n + s.n + CASE WHEN p.n > 0 THEN 1 ELSE 0 END ELSE s.n END,
+CASE WHEN {fits} THEN t.first_idx WHEN {seed} THEN p.idx ELSE s.idx END FROM t JOIN s ON s.doc_id = t.doc_id AND s.idx = t.idx + 1 JOIN s p ON p.doc_id = t.doc_id AND p.idx = t.idx)
+SELECT doc_id, chunk, min(first_idx) AS first_idx, max(idx) AS last_idx, max(chars) AS n_chars FROM t GROUP BY 1, 2"""
+
+
+@query(_pack_sql(600, True))
+def pack_chunks_overlap(spark: SparkSession, d: str) -> DataFrame:
+    return S.pack(X.segments(spark, d), 600, True)
+
+
+@query(_pack_sql(4000, False))
+def pack_ranges(spark: SparkSession, d: str) -> DataFrame:
+    return S.pack(X.segments(spark, d), 4000, False)
+
+
+_RUN = "g AS (SELECT doc_id, frame, energy, frame - row_number() OVER (PARTITION BY doc_id ORDER BY frame) AS g FROM fra WHERE {}), r AS (SELECT doc_id, min(frame) AS start, max(frame) + 1 AS stop, count(*) AS size, CAST(sum(energy) AS BIGINT) AS energy FROM g GROUP BY doc_id, g)"
+
+
+@query(f"WITH {X.FRA}, {_RUN.format('is_speech')} SELECT doc_id, start, size FROM r QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY size DESC, start) = 1")
+def longest_run(spark: SparkSession, d: str) -> DataFrame:
+    return S.longest_run(X.frames(spark, d), F.col("is_speech"))
+
+
+@query("WITH m AS (SELECT user_id, epoch_us(ts) // 1000000 AS t FROM events), n AS (SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY user_id ORDER BY t) < 21600 THEN 0 ELSE 1 END AS f FROM m), s AS (SELECT *, sum(f) OVER (PARTITION BY user_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS session FROM n) SELECT user_id, CAST(session AS BIGINT) AS session, min(t) AS start, max(t) AS stop, count(*) AS n FROM s GROUP BY 1, 2")
+def sessions_with_gap(spark: SparkSession, d: str) -> DataFrame:
+    return S.sessions(X.table(spark, d, "events"), "user_id", F.unix_seconds(F.col("ts").cast("timestamp")), 21_600)
+
+
+@query(f"WITH {X.FRA}, {_RUN.format('NOT is_speech')} SELECT doc_id, start, stop, size FROM r WHERE size >= 3")
+def silence_intervals(spark: SparkSession, d: str) -> DataFrame:
+    return S.islands(X.frames(spark, d), ~F.col("is_speech")).where("size >= 3").select("doc_id", "start", "stop", "size")
+
+
+@query(f"WITH {X.FRA}, c AS (SELECT doc_id, frame, energy, sum(energy) OVER (PARTITION BY doc_id ORDER BY frame ROWS BETWEEN 20 PRECEDING AND 20 FOLLOWING) - energy AS around, count(*) OVER (PARTITION BY doc_id ORDER BY frame ROWS BETWEEN 20 PRECEDING AND 20 FOLLOWING) - 1 AS n FROM fra) SELECT doc_id, count(*) FILTER (n > 0 AND energy * n * 2 <= around) AS drops FROM c GROUP BY 1")
+def energy_contrast(spark: SparkSession, d: str) -> DataFrame:
+    w = S.by("doc_id", order="frame").rowsBetween(-20, 20)
+    c = X.frames(spark, d).select("doc_id", "energy", (F.sum("energy").over(w) - F.col("energy")).alias("around"), (F.count("*").over(w) - 1).alias("n"))
+    return c.groupBy("doc_id").agg(F.count_if((F.col("n") > 0) & (F.col("energy") * F.col("n") * 2 <= F.col("around"))).alias("drops"))
+
+
+@query(f"WITH {X.FRA}, {_RUN.format('NOT is_speech')}, c AS (SELECT doc_id, start + size // 2 AS cut, size AS silence, energy, 0 AS src FROM r UNION ALL SELECT doc_id, start, size, energy + 1, 1 FROM r WHERE size > 1) SELECT doc_id, cut, silence, energy FROM c QUALIFY row_number() OVER (PARTITION BY doc_id, cut ORDER BY silence DESC, energy, src) = 1")
+def cut_candidate_dedupe(spark: SparkSession, d: str) -> DataFrame:
+    r = S.islands(X.frames(spark, d), ~F.col("is_speech"))
+    c = r.select("doc_id", F.expr("start + size div 2").alias("cut"), F.col("size").alias("silence"), "energy", F.lit(0).alias("src"))
+    c = c.unionByName(r.where("size > 1").select("doc_id", F.col("start").alias("cut"), F.col("size").alias("silence"), (F.col("energy") + 1).alias("energy"), F.lit(1).alias("src")))
+    best = c.groupBy("doc_id", "cut").agg(F.max(F.struct("silence", (-F.col("energy")).alias("e"), (-F.col("src")).alias("s"))).alias("b"))
+    return best.select("doc_id", "cut", F.col("b.silence").alias("silence"), (-F.col("b.e")).alias("energy"))
+
+
+@query(f"WITH {X.FRA}, n AS (SELECT doc_id, frame, energy, count(*) OVER (PARTITION BY doc_id) AS n FROM fra) SELECT doc_id, frame AS cut, energy FROM n QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY energy, abs(frame * 2 - n), frame) = 1")
+def quietest_cut(spark: SparkSession, d: str) -> DataFrame:
+    f = X.frames(spark, d)
+    n = f.groupBy("doc_id").agg(F.count("*").alias("n"))
+    best = f.join(n, "doc_id").groupBy("doc_id").agg(F.min(F.struct("energy", F.abs(F.col("frame") * 2 - F.col("n")).alias("off"), "frame")).alias("b"))
+    return best.select("doc_id", F.col("b.frame").alias("cut"), F.col("b.energy").alias("energy"))
+
+
+@query(f"WITH {X.FRA}, {_RUN.format('is_speech')}, k AS (SELECT doc_id, start, size, CAST(ceil(size / 12.0) AS BIGINT) AS pieces FROM r WHERE size > 12) SELECT doc_id, start, i, start + size * i // pieces AS target FROM k, LATERAL (SELECT unnest(range(1, pieces)) AS i)")
+def boundaries(spark: SparkSession, d: str) -> DataFrame:
+    r = S.islands(X.frames(spark, d), F.col("is_speech")).where("size > 12").withColumn("pieces", F.ceil(F.col("size") / 12).cast("long"))
+    return r.select("doc_id", "start", "size", "pieces", F.explode(F.sequence(F.lit(1).cast("long"), F.col("pieces") - 1)).alias("i")).select("doc_id", "start", "i", F.expr("start + size * i div pieces").alias("target"))
+
+
+# Quality
+
+
+@query(f"""WITH {X.ALI}, span AS (SELECT doc_id, clip, min(frame) AS lo, max(frame) + 1 AS hi, count(*) FILTER (confidence >= 0.3) AS tokens FROM ali WHERE confidence >= 0.3 GROUP BY 1, 2),
+f AS (SELECT doc_id, CAST(frame // 50 AS BIGINT) AS clip, frame, is_speech FROM fra)
+SELECT f.doc_id, f.clip, count(*) FILTER (is_speech) AS speech, count(*) FILTER (is_speech AND frame >= lo AND frame < hi) AS covered, CASE WHEN count(lo) = 0 THEN 'alignment_failed' WHEN count(*) FILTER (is_speech AND frame >= lo AND frame < hi) / count(*) FILTER (is_speech)::DOUBLE < 0.6 THEN 'low_coverage' ELSE 'sufficient' END AS status
+FROM f LEFT JOIN span USING (doc_id, clip) GROUP BY 1, 2 HAVING count(*) FILTER (is_speech) > 0""")
+def frame_coverage(spark: SparkSession, d: str) -> DataFrame:
+    span = X.alignments(spark, d).where("confidence >= 0.3").groupBy("doc_id", "clip").agg(F.min("frame").alias("lo"), (F.max("frame") + 1).alias("hi"))
+    f = X.frames(spark, d).withColumn("clip", F.floor(F.col("frame") / 50).cast("long"))
+    inside = F.col("is_speech") & (F.col("frame") >= F.col("lo")) & (F.col("frame") < F.col("hi"))
+    g = f.join(span, ["doc_id", "clip"], "left").groupBy("doc_id", "clip").agg(F.count_if("is_speech").alias("speech"), F.count_if(inside).alias("covered"), F.count("lo").alias("aligned"))
+    return g.where("speech > 0").select("doc_id", "clip", "speech", "covered", N.coverage_status(F.lit(True), F.col("aligned") > 0, F.col("covered") / F.col("speech")).alias("status"))
+
+
+@query(f"WITH {X.ATT} SELECT user_id, attempt, coverage, gap_ms, mean_conf FROM att QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY coverage DESC, gap_ms, mean_conf DESC, attempt) = 1")
+def best_attempt(spark: SparkSession, d: str) -> DataFrame:
+    best = X.attempts(spark, d).groupBy("user_id").agg(F.max(F.struct("coverage", (-F.col("gap_ms")).alias("g"), "mean_conf", (-F.col("attempt")).alias("a"))).alias("b"))
+    return best.select("user_id", (-F.col("b.a")).alias("attempt"), F.col("b.coverage").alias("coverage"), (-F.col("b.g")).alias("gap_ms"), F.col("b.mean_conf").alias("mean_conf"))
+
+
+@query(f"WITH {X.FRA}, {_RUN.format('is_speech')} SELECT doc_id, start * 40 AS start_ms, stop * 40 AS end_ms, size AS tokens FROM r")
+def sentence_times(spark: SparkSession, d: str) -> DataFrame:
+    """A sentence ends where a frame is no speech; its times are those of its first and last token."""
+    return S.islands(X.frames(spark, d), F.col("is_speech")).select("doc_id", (F.col("start") * 40).alias("start_ms"), (F.col("stop") * 40).alias("end_ms"), F.col("size").alias("tokens"))
+
+
+@query(f"WITH {X.ALI}, c AS (SELECT doc_id, clip, max(end_ms) AS e FROM ali GROUP BY 1, 2), p AS (SELECT doc_id, clip, greatest(clip * 2000, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY clip), 0) + 300) AS cutoff FROM c) SELECT doc_id, clip, count(*) AS tokens, min(start_ms) AS first_ms FROM ali JOIN p USING (doc_id, clip) WHERE end_ms > cutoff GROUP BY 1, 2")
+def overlap_cutoff_filter(spark: SparkSession, d: str) -> DataFrame:
+    a = X.alignments(spark, d)
+    ends = a.groupBy("doc_id", "clip").agg(F.max("end_ms").alias("e"))
+    cut = ends.select("doc_id", "clip", F.greatest(F.col("clip") * 2000, F.coalesce(F.lag("e").over(S.by("doc_id", order="clip")), F.lit(0)) + 300).alias("cutoff"))
+    return a.join(cut, ["doc_id", "clip"]).where("end_ms > cutoff").groupBy("doc_id", "clip").agg(F.count("*").alias("tokens"), F.min("start_ms").alias("first_ms"))
+
+
+@query(f"WITH {X.ALI}, c AS (SELECT doc_id, clip, count(*) AS n, count(*) FILTER (confidence < 0.05) AS low FROM ali GROUP BY 1, 2) SELECT doc_id, count(*) AS segments, CAST(sum(n) AS BIGINT) AS evaluated, CAST(sum(low) AS BIGINT) AS suspicious, count(*) FILTER (low > 0) AS affected, count(*) FILTER (low = 0) AS clean FROM c GROUP BY 1")
+def quality_report(spark: SparkSession, d: str) -> DataFrame:
+    c = X.alignments(spark, d).groupBy("doc_id", "clip").agg(F.count("*").alias("n"), F.count_if(F.col("confidence") < 0.05).alias("low"))
+    return c.groupBy("doc_id").agg(F.count("*").alias("segments"), F.sum("n").alias("evaluated"), F.sum("low").alias("suspicious"), F.count_if(F.col("low") > 0).alias("affected"), F.count_if(F.col("low") == 0).alias("clean"))
+
+
+@query(f"WITH {X.SEG}, b AS (SELECT least((end_ms - start_ms) // 10000, 3) AS bucket, end_ms - start_ms AS ms FROM seg) SELECT CAST(bucket AS BIGINT) AS bucket, count(*) AS n, CAST(sum(ms) AS BIGINT) AS total, min(ms) AS least, max(ms) AS most, CAST(round_even(median(ms), 0) AS BIGINT) AS median, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 6) AS share FROM b GROUP BY 1")
+def duration_summary_histogram(spark: SparkSession, d: str) -> DataFrame:
+    b = X.segments(spark, d).select((F.col("end_ms") - F.col("start_ms")).alias("ms")).withColumn("bucket", F.least(F.floor(F.col("ms") / 10_000), F.lit(3)).cast("long"))
+    g = b.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("ms").alias("total"), F.min("ms").alias("least"), F.max("ms").alias("most"), F.bround(F.median("ms"), 0).cast("long").alias("median"))
+    return g.withColumn("share", F.round(F.lit(100.0) * F.col("n") / F.sum("n").over(W.partitionBy()), 6))
+
+
+# Joins, resume, totals
+
+
+@query(f"WITH {X.SEG}, e AS (SELECT doc_id, idx, 'seg-' || idx || '.wav' AS path FROM seg WHERE (doc_id + idx) % 13 <> 0) SELECT s.doc_id, s.idx, e.path, e.path IS NULL AS missing FROM seg s LEFT JOIN e USING (doc_id, idx)")
+def manifest_join(spark: SparkSession, d: str) -> DataFrame:
+    s = X.segments(spark, d).select("doc_id", "idx")
+    e = s.where((F.col("doc_id") + F.col("idx")) % 13 != 0).withColumn("path", F.concat(F.lit("seg-"), F.col("idx").cast("string"), F.lit(".wav")))
+    return s.join(e, ["doc_id", "idx"], "left").withColumn("missing", F.col("path").isNull())
+
+
+_STATE = "st AS (SELECT doc_id, CASE WHEN quality = 1 THEN 'success' ELSE 'failed' END AS status, CASE WHEN toxic = 1 THEN 'sig-b' ELSE 'sig-a' END AS signature FROM labels)"
+
+
+def _state(spark: SparkSession, d: str) -> DataFrame:
+    return X.table(spark, d, "labels").select("doc_id", F.when(F.col("quality") == 1, "success").otherwise("failed").alias("status"), F.when(F.col("toxic") == 1, "sig-b").otherwise("sig-a").alias("signature"))
+
+
+@query(f"WITH {_STATE} SELECT d.doc_id, CASE WHEN status IS NULL THEN 'new' WHEN status <> 'success' THEN 'not_success' WHEN signature <> 'sig-a' THEN 'signature_changed' ELSE 'reuse' END AS reason FROM documents d LEFT JOIN st USING (doc_id)")
+def resume_split(spark: SparkSession, d: str) -> DataFrame:
+    from spokenlake.operators.resume import reuse_reason
+
+    return reuse_reason(X.table(spark, d, "documents").select("doc_id"), _state(spark, d), "doc_id", "sig-a")
+
+
+@query(f"WITH {_STATE}, j AS (SELECT d.source, d.doc_id, status = 'success' AS cached FROM documents d LEFT JOIN st USING (doc_id)) SELECT source, doc_id, min(CASE WHEN cached THEN doc_id END) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next FROM j")
+def next_cached(spark: SparkSession, d: str) -> DataFrame:
+    j = X.table(spark, d, "documents").select("source", "doc_id").join(_state(spark, d).select("doc_id", (F.col("status") == "success").alias("cached")), "doc_id", "left")
+    return S.next_where(j, "source", "doc_id", "cached").select("source", "doc_id", "next")
+
+
+@query(f"WITH {X.SEG}, a AS (SELECT doc_id, idx % 50 AS k, sha256(text) AS h FROM seg) SELECT doc_id, count(*) AS n, count(DISTINCT h) AS texts, count(DISTINCT k) AS keys, CASE WHEN count(DISTINCT h) = 1 THEN min(h) END AS only_text, count(*) - count(DISTINCT k || h) AS repeats FROM a GROUP BY 1")
+def input_identity_checks(spark: SparkSession, d: str) -> DataFrame:
+    a = X.segments(spark, d).select("doc_id", (F.col("idx") % 50).alias("k"), F.sha2("text", 256).alias("h"))
+    per = a.groupBy("doc_id").agg(F.count("*").alias("n"), F.count_distinct("h").alias("texts"), F.count_distinct("k").alias("keys"), F.min("h").alias("h"), F.count_distinct(F.concat(F.col("k").cast("string"), "h")).alias("both"))
+    return per.select("doc_id", "n", "texts", "keys", F.when(F.col("texts") == 1, F.col("h")).alias("only_text"), (F.col("n") - F.col("both")).alias("repeats"))
+
+
+@query("SELECT conv_id, arg_max(text, (turn, text)) FILTER (role = 'assistant') AS final_text, bool_or(role = 'system') AS has_system, bool_or(role = 'assistant') AND NOT bool_or(length(text) = 0) AS complete, count(*) AS payloads FROM conversations GROUP BY 1")
+def response_summary(spark: SparkSession, d: str) -> DataFrame:
+    final = F.max(F.when(F.col("role") == "assistant", F.struct("turn", "text")))
+    complete = F.bool_or(F.col("role") == "assistant") & ~F.bool_or(F.length("text") == 0)
+    return X.table(spark, d, "conversations").groupBy("conv_id").agg(final["text"].alias("final_text"), F.bool_or(F.col("role") == "system").alias("has_system"), complete.alias("complete"), F.count("*").alias("payloads"))
+
+
+@query("SELECT user_id, count(DISTINCT event_id) FILTER (event_type = 'error') AS failing, count(DISTINCT event_id) FILTER (event_type = 'error') >= 5 AS tripped FROM events GROUP BY 1")
+def circuit_breaker(spark: SparkSession, d: str) -> DataFrame:
+    failing = F.count_distinct(F.when(F.col("event_type") == "error", F.col("event_id")))
+    return X.table(spark, d, "events").groupBy("user_id").agg(failing.alias("failing")).withColumn("tripped", F.col("failing") >= 5)
+
+
+@query(f"WITH {_STATE} SELECT source, count(*) AS total, count(*) FILTER (status = 'success') AS success, count(*) - count(*) FILTER (status = 'success') AS fail, coalesce(bool_and(status = 'success') FILTER (status IS NOT NULL), true) AS all_ok, coalesce(bool_and(status = 'success'), false) AS cached FROM documents LEFT JOIN st USING (doc_id) GROUP BY 1")
+def batch_totals(spark: SparkSession, d: str) -> DataFrame:
+    j = X.table(spark, d, "documents").select("source", "doc_id").join(_state(spark, d), "doc_id", "left")
+    ok = F.col("status") == "success"
+    g = j.groupBy("source").agg(F.count("*").alias("total"), F.count_if(ok).alias("success"), F.coalesce(F.bool_and(ok), F.lit(True)).alias("all_ok"), F.coalesce(F.bool_and(ok), F.lit(False)).alias("cached"))
+    return g.withColumn("fail", F.col("total") - F.col("success"))
+
+
+# Sequential algorithms and streams
+
+
+@query(None)
+def optimal_partition(spark: SparkSession, d: str) -> DataFrame:
+    from spokenlake.operators.dynamic import partition_frames
+
+    return partition_frames(X.frames(spark, d))
+
+
+@query(None)
+def forced_alignment(spark: SparkSession, d: str) -> DataFrame:
+    from spokenlake.operators.dynamic import align_clips
+
+    return align_clips(X.frames(spark, d))
+
+
+@query(None)
+def format_audit(spark: SparkSession, d: str) -> DataFrame:
+    from spokenlake.operators.audit import audit
+
+    t = F.col("text")
+    edited = F.when(F.col("doc_id") % 3 == 0, F.replace(t, F.lit(","), F.lit(""))).when(F.col("doc_id") % 3 == 1, F.regexp_replace(t, "[0-9]", "")).otherwise(F.regexp_replace(t, "^[^ ]+", "X"))
+    return audit(X.segments(spark, d).select("doc_id", "idx", "text").withColumn("edited", edited).select("doc_id", "idx", F.col("text").alias("original"), F.col("edited").alias("formatted")))
+
+
+@query("SELECT user_id, arg_max(event_type, (epoch_us(ts), event_id)) AS status, count(*) AS updates, max(event_id) AS last_event FROM events GROUP BY 1")
+def incremental_upsert(spark: SparkSession, d: str) -> DataFrame:
+    from spokenlake.streaming.incremental import upsert_latest
+
+    return upsert_latest(spark, f"{d}/events.parquet")
+
+
+@query("WITH m AS (SELECT user_id, ts FROM events), n AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS f FROM m), s AS (SELECT *, sum(f) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM n) SELECT user_id, epoch_us(min(ts)) // 1000000 AS start, epoch_us(max(ts)) // 1000000 + 21600 AS stop, count(*) AS n FROM s GROUP BY user_id, k")
+def watermark_sessions(spark: SparkSession, d: str) -> DataFrame:
+    from spokenlake.streaming.sessions import event_sessions
+
+    return event_sessions(X.table(spark, d, "events"))
