@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 #: ASCII white space, the word separator of the word-count contracts.
-WORD = r"[^\x20\x09-\x0D]+"
+BETWEEN_WORDS = r"[\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -59,7 +59,8 @@ def process_cache() -> dict:
 
 def word_count(text: Column) -> Column:
     """Number of words of a text; 0 for null."""
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+    bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
+    return F.when(bare == "", 0).otherwise(F.size(F.split(bare, BETWEEN_WORDS))).cast("long")
 
 
 def running_total(df: DataFrame, group: list[str], key: str, value: str, total: str, buckets: int = 1024) -> DataFrame:

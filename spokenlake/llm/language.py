@@ -54,38 +54,53 @@ def parts_of(word: str) -> list[str]:
     return [marked[i : i + WORD_SPLIT] for i in range(0, len(marked), WORD_SPLIT)]
 
 
-def forward(part: str, pieces: dict[str, list[float]], many: int) -> list[list[float]]:
-    """For each position, the summed probability of all segmentations of what is before it, by language."""
+def trie_of(pieces: dict) -> dict:
+    """Pieces by their code points; a piece's probabilities stand under None."""
+    root: dict = {}
+    for piece, p in pieces.items():
+        node = root
+        for c in piece:
+            node = node.setdefault(c, {})
+        node[None] = p
+    return root
+
+
+def forward(part: str, trie: dict, many: int) -> list[float]:
+    """The summed probability of all segmentations, by language."""
     n = len(part)
-    sums = [[0.0] * many for _ in range(n + 1)]
-    sums[0] = [1.0] * many
+    sums = [[1.0] * many] + [[0.0] * many for _ in range(n)]
     for i in range(n):
-        here = sums[i]
-        for j in range(i + 1, min(n, i + LONGEST_PIECE) + 1):
-            p = pieces.get(part[i:j])
+        here, node = sums[i], trie
+        for j in range(i, n):
+            node = node.get(part[j])
+            if node is None:
+                break
+            p = node.get(None)
             if p is not None:
-                there = sums[j]
-                for k in range(many):
-                    there[k] += here[k] * p[k]
-            elif j == i + 1:
-                there = sums[j]
-                for k in range(many):
-                    there[k] += here[k] * UNKNOWN
-    return sums
+                sums[j + 1] = [t + h * q for t, h, q in zip(sums[j + 1], here, p)]
+        if None not in trie.get(part[i], ()):
+            sums[i + 1] = [t + h * UNKNOWN for t, h in zip(sums[i + 1], here)]
+    return sums[n]
 
 
-def expected(part: str, weight: float, pieces: dict[str, float], counts: Counter) -> None:
+def expected(part: str, weight: float, trie: dict, counts: Counter) -> None:
     """Adds the expected count of each piece over all segmentations of a part."""
     n = len(part)
     ahead = [1.0] + [0.0] * n
     back = [0.0] * n + [1.0]
     edges = []
     for i in range(n):
-        for j in range(i + 1, min(n, i + LONGEST_PIECE) + 1):
-            p = pieces.get(part[i:j], UNKNOWN if j == i + 1 else 0.0)
-            if p:
-                edges.append((i, j, p))
-                ahead[j] += ahead[i] * p
+        node = trie
+        for j in range(i, n):
+            node = node.get(part[j])
+            if node is None:
+                break
+            if None in node:
+                edges.append((i, j + 1, node[None]))
+                ahead[j + 1] += ahead[i] * node[None]
+        if None not in trie.get(part[i], ()):
+            edges.append((i, i + 1, UNKNOWN))
+            ahead[i + 1] += ahead[i] * UNKNOWN
     for i, j, p in reversed(edges):
         back[i] += p * back[j]
     for i, j, p in edges:
@@ -126,10 +141,13 @@ def learn(rows: DataFrame, vocabulary: list[str], sample: int = SAMPLE_DOCUMENTS
 
         def step(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             sums: dict[str, Counter] = {}
+            tries: dict[str, dict] = {}
             for batch in batches:
                 for lang, word, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    if lang not in tries:
+                        tries[lang] = trie_of(sent.value[lang])
                     for part in parts_of(word):
-                        expected(part, n, sent.value[lang], sums.setdefault(lang, Counter()))
+                        expected(part, n, tries[lang], sums.setdefault(lang, Counter()))
             flat = [(lang, p, v) for lang, c in sums.items() for p, v in c.items() if p in sent.value[lang]]
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in flat], t) for i, t in enumerate((pa.string(), pa.string(), pa.float64()))], names=["lang", "piece", "n"])
 
@@ -159,15 +177,15 @@ def identify(docs: DataFrame, langs: list[str], pieces: dict[str, list[float]],
         langs, pieces = sent.value
         many = len(langs)
         if process_cache().get("language_model") != token:
-            process_cache().update(language_model=token, language_memo={})
-        memo = process_cache()["language_memo"]
+            process_cache().update(language_model=token, language_memo={}, language_trie=trie_of(pieces))
+        memo, trie = process_cache()["language_memo"], process_cache()["language_trie"]
 
         def of(word: str) -> tuple[float, ...]:
             word, logs = letters_of(word), [0.0] * many
             if not word:
                 return ()
             for part in parts_of(word):
-                last = forward(part, pieces, many)[-1]
+                last = forward(part, trie, many)
                 logs = [a + math.log(max(b, 1e-300)) for a, b in zip(logs, last, strict=True)]
             return tuple(logs)
 

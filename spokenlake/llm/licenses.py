@@ -16,9 +16,10 @@ from .common import documents
 GRAM = 3
 #: Diagonals so close merge; and the share of a template's runs that a merged span must hold.
 NEAR, COVER = 4, 0.6
-#: A word: digits, a to z, and everything beyond ASCII; upper-case ASCII letters are lower-cased first.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: What separates words: all ASCII but digits and letters. A word's letters A-Z are lower-cased.
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: The one sign whose lower case is an ASCII letter; it must not become one.
+KELVIN = "\u212a"
 
 # The base phrases and their labels.
 PHRASES = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
@@ -38,25 +39,24 @@ TEMPLATES = (
 )
 
 
-def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(WORD), F.lit(0))
+def plain_words(text: Column) -> Column:
+    """The text's words with one blank between them."""
+    return F.trim(F.regexp_replace(F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit(KELVIN), F.lit("\ufffd"))), BETWEEN, " "))
 
 
-def grams(words: Column) -> Column:
-    """An array of (hash of the run that starts here, first word); the last GRAM - 1 have no whole run."""
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    runs = hashes
-    for k in range(1, GRAM):
-        runs = F.zip_with(runs, F.slice(hashes, k + 1, F.size(hashes)), lambda a, b: F.xxhash64(a, b))
-    return F.arrays_zip(runs.alias("gram"), words.alias("word"))
+def grams(text: Column) -> Column:
+    """All runs of GRAM words, in order, with one blank between words. Each match takes one word and looks ahead at the
+    run after it, so the text is read once; a first word is put in front for the run at the beginning."""
+    run = " ".join(["[^ ]+"] * GRAM)
+    return F.regexp_extract_all(F.concat(F.lit("^ "), plain_words(text)), F.lit(f"[^ ]+ (?=({run}))"), F.lit(1))
 
 
 def template_table(spark: SparkSession, phrases: tuple = PHRASES, templates: tuple = TEMPLATES) -> DataFrame:
     """One row for each run of each template; its size is that of the fixed values."""
     rows = [(i, i < len(phrases), label, len(text.split()) - GRAM + 1, text) for i, (text, label) in enumerate((*phrases, *templates))]
-    table = spark.createDataFrame(rows, "template int, base boolean, label string, runs int, text string").withColumn("words", F.split("text", " "))
-    table = table.select("template", "base", "label", "runs", F.posexplode(grams(F.col("words"))).alias("place", "g"))
-    return table.where(F.col("place") < F.col("runs")).select("template", "base", "label", "runs", "place", F.col("g.gram").alias("gram"), F.col("g.word").alias("word"))
+    table = spark.createDataFrame(rows, "template int, base boolean, label string, runs int, text string")
+    table = table.select("template", "base", "label", "runs", F.posexplode(grams(F.col("text"))).alias("place", "words"))
+    return table.withColumn("gram", F.xxhash64("words"))
 
 
 def scan_documents(docs: DataFrame, phrases: tuple = PHRASES, templates: tuple = TEMPLATES, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -70,9 +70,11 @@ def scan_documents(docs: DataFrame, phrases: tuple = PHRASES, templates: tuple =
     spark = docs.sparkSession
     text = docs[text_column]
     rows = docs.select(docs[id_column].cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("key"))
-    counted = rows.select("doc_id", "key", F.regexp_count(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), F.lit(WORD)).cast("long").alias("n_words"))
-    runs = rows.select("doc_id", "key", F.posexplode(grams(words_of(F.col("text")))).alias("at", "g")).select("doc_id", "key", "at", F.col("g.gram").alias("gram"), F.col("g.word").alias("word"))
-    hits = runs.join(F.broadcast(template_table(spark, phrases, templates)), ["gram", "word"])
+    counted = rows.select("doc_id", "key", plain_words(F.col("text")).alias("words")).select("doc_id", "key", F.when(F.col("words") == "", 0).otherwise(F.size(F.split("words", " "))).cast("long").alias("n_words"))
+    # outer, as for the other kind the optimizer tests the runs' number first and so makes them twice
+    runs = rows.select("doc_id", "key", F.posexplode_outer(grams(F.col("text"))).alias("at", "found")).withColumn("gram", F.xxhash64("found"))
+    # equal hashes are verified by their words
+    hits = runs.join(F.broadcast(template_table(spark, phrases, templates)), "gram").where(F.col("found") == F.col("words"))
     votes = hits.groupBy("doc_id", "key", "template", "base", "label", "runs", (F.col("at") - F.col("place")).alias("diagonal")).agg(F.collect_set("place").alias("places"))
     line = W.partitionBy("doc_id", "key", "template").orderBy("diagonal")
     votes = votes.withColumn("apart", F.coalesce(F.col("diagonal") - F.lag("diagonal").over(line) > NEAR, F.lit(True)).cast("int")).withColumn("span", F.sum("apart").over(line))
