@@ -7,12 +7,12 @@ its words. The probabilities are learned by expectation-maximisation (forward-ba
 
 from __future__ import annotations
 
-import math
 import unicodedata
 import uuid
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,8 +27,10 @@ ROUNDS = 2
 #: Probability of a code point that no piece covers, and the weight of each piece before any count.
 UNKNOWN, PRIOR = 1e-9, 0.02
 MEMO_WORDS = 300_000
+#: Documents whose words are scored together.
+SLICE = 256
 #: Code points of a word beyond this are scored as further words, so that one word takes bounded time for each code point.
-WORD_SPLIT = 64
+WORD_SPLIT = 24
 
 
 def public_pieces(path: str) -> list[str]:
@@ -65,22 +67,90 @@ def trie_of(pieces: dict) -> dict:
     return root
 
 
-def forward(part: str, trie: dict, many: int) -> list[float]:
-    """The summed probability of all segmentations, by language."""
-    n = len(part)
-    sums = [[1.0] * many] + [[0.0] * many for _ in range(n)]
-    for i in range(n):
-        here, node = sums[i], trie
-        for j in range(i, n):
-            node = node.get(part[j])
-            if node is None:
-                break
-            p = node.get(None)
-            if p is not None:
-                sums[j + 1] = [t + h * q for t, h, q in zip(sums[j + 1], here, p)]
-        if None not in trie.get(part[i], ()):
-            sums[i + 1] = [t + h * UNKNOWN for t, h in zip(sums[i + 1], here)]
-    return sums[n]
+def forward(parts: list[str], trie: dict, probabilities: np.ndarray) -> np.ndarray:
+    """For each part the summed probability of all its segmentations, by language.
+
+    The trie gives the pieces' row numbers. Parts of one length go forward together, position by position: the sum at a
+    position adds, for each piece that ends there, the sum where it begins times its probability.
+    """
+    out = np.zeros((len(parts), probabilities.shape[1]))
+    by_size: dict[int, list[int]] = {}
+    for k, part in enumerate(parts):
+        by_size.setdefault(len(part), []).append(k)
+    for n, group in by_size.items():
+        most = min(n, LONGEST_PIECE)
+        where, rows = [], []
+        for w, k in enumerate(group):
+            part, base = parts[k], w * n * most
+            for i in range(n):
+                node, at = trie, base + i * most
+                for c in part[i : i + most]:
+                    node = node.get(c)
+                    if node is None:
+                        break
+                    row = node.get(None)
+                    if row is not None:
+                        where.append(at)
+                        rows.append(row)
+                    at += 1
+        table = np.zeros(len(group) * n * most, np.int32)  # row 0: no piece
+        table[where] = rows
+        table = table.reshape(len(group), n, most)
+        table[:, :, 0][table[:, :, 0] == 0] = 1  # row 1: a code point without a piece of its own
+        sums = np.zeros((n + 1, len(group), probabilities.shape[1]))
+        sums[0] = 1.0
+        for j in range(1, n + 1):
+            for size in range(1, min(j, most) + 1):
+                rows_ = table[:, j - size, size - 1]
+                if rows_.any():
+                    sums[j] += sums[j - size] * probabilities[rows_]
+        out[group] = sums[n]
+    return out
+
+
+class Scorer:
+    """Words' log probabilities by language, kept for up to MEMO_WORDS words of a process."""
+
+    def __init__(self, langs: list[str], pieces: dict[str, list[float]]):
+        self.langs = langs
+        self.trie = trie_of({p: i + 2 for i, p in enumerate(pieces)})
+        self.probabilities = np.array([[0.0] * len(langs), [UNKNOWN] * len(langs), *pieces.values()]) if langs else np.zeros((2, 0))
+        self.rows: dict[str, int] = {}
+        self.logs = np.zeros((0, len(langs)))
+
+    def learn(self, words: list[str]) -> None:
+        if len(self.rows) + len(words) > MEMO_WORDS:
+            self.rows, self.logs = {}, self.logs[:0]
+        parts, owner = [], []
+        for k, w in enumerate(words):
+            for part in parts_of(letters_of(w)) if letters_of(w) else ():
+                parts.append(part)
+                owner.append(k)
+        new = np.zeros((len(words), len(self.langs)))
+        if parts:
+            np.add.at(new, owner, np.log(np.maximum(forward(parts, self.trie, self.probabilities), 1e-300)))
+        first = len(self.rows)
+        self.rows.update((w, first + k) for k, w in enumerate(words))
+        self.logs = np.concatenate([self.logs[:first], new])
+
+    def score(self, texts: list[str | None]) -> Iterator[tuple[str, float]]:
+        counted = [raw_words(t or "") if self.langs else Counter() for t in texts]
+        fresh = set().union(*counted).difference(self.rows) if counted else set()
+        if fresh:
+            if len(self.rows) + len(fresh) > MEMO_WORDS:
+                fresh = set().union(*counted)
+            self.learn(sorted(fresh))
+        for seen in counted:
+            rows = np.fromiter(map(self.rows.__getitem__, seen), np.int64, len(seen))
+            logs, times = self.logs[rows], np.fromiter(seen.values(), np.float64, len(seen))
+            told = logs[:, :1].any(1) if len(self.langs) else np.zeros(0, bool)  # words without letters have no log
+            n = times[told].sum()
+            if not n:
+                yield UNDETERMINED, 0.0
+                continue
+            sums = times @ logs
+            best = int(sums.argmax())
+            yield self.langs[best], float(1.0 / np.exp(min(n, 40) / n * (sums - sums[best])).sum())
 
 
 def expected(part: str, weight: float, trie: dict, counts: Counter) -> None:
@@ -174,45 +244,14 @@ def identify(docs: DataFrame, langs: list[str], pieces: dict[str, list[float]],
     at = kept.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs, pieces = sent.value
-        many = len(langs)
-        if process_cache().get("language_model") != token:
-            process_cache().update(language_model=token, language_memo={}, language_trie=trie_of(pieces))
-        memo, trie = process_cache()["language_memo"], process_cache()["language_trie"]
-
-        def of(word: str) -> tuple[float, ...]:
-            word, logs = letters_of(word), [0.0] * many
-            if not word:
-                return ()
-            for part in parts_of(word):
-                last = forward(part, trie, many)
-                logs = [a + math.log(max(b, 1e-300)) for a, b in zip(logs, last, strict=True)]
-            return tuple(logs)
-
+        own = process_cache()
+        if own.get("language_model") != token:
+            own.update(language_model=token, language_scorer=Scorer(*sent.value))
         for batch in batches:
-            found: list[str] = []
-            scores: list[float] = []
-            for text in batch.column(at).to_pylist():
-                if len(memo) > MEMO_WORDS:
-                    memo.clear()
-                sums, n = [0.0] * many, 0
-                for word, times in raw_words(text or "").items() if many else ():
-                    logs = memo.get(word)
-                    if logs is None:
-                        logs = memo[word] = of(word)
-                    if logs:
-                        for k, log in enumerate(logs):
-                            sums[k] += times * log
-                        n += times
-                if not n:
-                    found.append(UNDETERMINED)
-                    scores.append(0.0)
-                    continue
-                best = max(range(many), key=lambda k: (sums[k], -k))
-                scale = min(n, 40) / n
-                scores.append(1.0 / sum(math.exp(scale * (s - sums[best])) for s in sums))
-                found.append(langs[best])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())], names=[*kept, "lang_pred", "score"])
+            found: list[tuple[str, float]] = []
+            for start in range(0, batch.num_rows, SLICE):
+                found += own["language_scorer"].score(batch.column(at).slice(start, SLICE).to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=[*kept, "lang_pred", "score"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", lang_pred string, score double"
     return docs.mapInArrow(run, schema)
