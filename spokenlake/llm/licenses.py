@@ -46,9 +46,9 @@ def plain_words(text: Column) -> Column:
 
 def grams(text: Column) -> Column:
     """All runs of GRAM words, in order, with one blank between words. Each match takes one word and looks ahead at the
-    run after it, so the text is read once; a first word is put in front for the run at the beginning."""
-    run = " ".join(["[^ ]+"] * GRAM)
-    return F.regexp_extract_all(F.concat(F.lit("^ "), plain_words(text)), F.lit(f"[^ ]+ (?=({run}))"), F.lit(1))
+    run after it, and begins at a word only and never goes back, so the text is read once; a first word is put in front for the run at the beginning."""
+    run = " ".join(["[^ ]++"] * GRAM)
+    return F.regexp_extract_all(F.concat(F.lit("^ "), plain_words(text)), F.lit(f"(?<![^ ])[^ ]++ (?=({run}))"), F.lit(1))
 
 
 def template_table(spark: SparkSession, phrases: tuple = PHRASES, templates: tuple = TEMPLATES) -> DataFrame:
