@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import documents, running_total, word_count, written
+from .common import documents, partitions, running_total, word_count, written
 
 WEIGHTS = (5, 2, 1)
 SHARE, MOST = 1.5, 2.0
@@ -78,21 +78,22 @@ def mix_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     ordered = rows.withColumn("order", F.struct("hash", F.coalesce("doc_id", F.lit(-1))))
     placed = running_total(ordered, ["source"], "order", "size", "start").drop("order", "hash")
     chunks = plan.where("slots > 0").select("source", "source_key", "blocks", "slots", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / SLOT_CHUNK).cast("long"))).alias("chunk"))
-    chunks = chunks.repartition(F.col("source_key"), F.col("chunk"))
+    chunks = chunks.repartition(partitions(docs.sparkSession), F.col("source_key"), F.col("chunk"))  # few small rows, much work
     first = F.col("chunk") * SLOT_CHUNK
     slots = chunks.select("source", "source_key", "blocks", F.explode(F.sequence(first, F.least(first + SLOT_CHUNK, F.col("slots")) - 1)).alias("position"))
     slots = slots.select(
         "source", "source_key", "position", permuted(F.pmod("position", "blocks"), F.col("blocks"), F.col("source_key")).alias("block"),
         F.pmod(F.xxhash64("source_key", "position", F.lit("shard")), F.lit(shards)).cast("int").alias("shard"),
     )
-    drawn = slots.groupBy("source_key", "block").agg(F.count("*").alias("times"))
+    # the optimizer takes exploded rows for as few as they were before and would broadcast them
+    drawn = slots.groupBy("source_key", "block").agg(F.count("*").alias("times")).hint("merge")
     joined = placed.join(plan.select(F.col("source").alias("s"), "source_size", "target", "source_key"), placed["source"].eqNullSafe(F.col("s"))).drop("s")
     spans = joined.withColumn("row", F.struct("source_key", "start", "size", "doc_id"))
     last = F.floor((F.col("start") + F.greatest(F.col("size"), F.lit(1)) - 1) / block_words).cast("long")
     pieces = spans.where("size > 0").select("row", "source_key", "start", "size", F.explode(F.sequence(F.floor(F.col("start") / block_words).cast("long"), last)).alias("block"))
     overlap = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words) - F.greatest(F.col("start"), F.col("block") * block_words)
     taken = pieces.withColumn("words", overlap).join(drawn, ["source_key", "block"]).groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
-    out = spans.join(taken, "row", "left").select("doc_id", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    out = spans.join(taken.hint("merge"), "row", "left").select("doc_id", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
     return out, slots.select("source", "shard", "position", "block")
 
 
