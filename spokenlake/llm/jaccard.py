@@ -30,10 +30,13 @@ from .shingles import set_key, sets_of
 #: A link: PERCENT * union <= 100 * intersection.
 PERCENT = 75
 #: Shingles that one bucket holds, about; classes of a block; pivots of a region; levels before all blocks meet all blocks.
-BUCKET_SHINGLES = 4_000_000
+BUCKET_SHINGLES = 2_000_000
 BLOCK = 64
 PIVOTS = 8
 LEVELS = 3
+#: A batch of sets ends with this many shingles, or sets.
+BATCH_SHINGLES = 1_000_000
+BATCH_SETS = 8192
 #: A shingle in more documents of a batch is counted there, and only said to be repeated to the others.
 BATCH_HOT = 64
 NO_CLASS = 0xFFFF
@@ -166,31 +169,38 @@ def _batch_id(number: int) -> int:
     return (TaskContext.get().partitionId() << 24) + number
 
 
+def _dealt(found: Iterator[tuple[int, np.ndarray]], buckets: int, hot_limit: int) -> Iterator[pa.RecordBatch]:
+    """Postings of the classes (key, set) in batches of bounded size; a class that a batch has twice counts once in it."""
+    own: dict[int, np.ndarray] = {}
+    number = held = 0
+    for key, s in found:
+        if key not in own:
+            own[key] = s
+            held += len(s)
+        if held >= BATCH_SHINGLES or len(own) >= BATCH_SETS:
+            yield _frame(list(_postings(list(own.values()), np.array(list(own), np.int64), _batch_id(number), buckets, hot_limit)), POSTINGS)
+            own, held, number = {}, 0, number + 1
+    if own:
+        yield _frame(list(_postings(list(own.values()), np.array(list(own), np.int64), _batch_id(number), buckets, hot_limit)), POSTINGS)
+
+
 def survivors(docs: DataFrame, shingles: int) -> DataFrame:
     """class: those of which at least 75 % of the shingles occur in more than one document of other rows."""
     buckets = max(partitions(docs.sparkSession), -(-shingles // BUCKET_SHINGLES))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = 0
-        for whole in batches:
-            for start in range(0, whole.num_rows, 8192):
-                batch = whole.slice(start, 8192)
-                own: dict[int, np.ndarray] = {}
-                for s in sets_of(batch.column(1)):
-                    if len(s) > 1:
-                        own.setdefault(set_key(s), s)
-                if own:
-                    yield _frame(list(_postings(list(own.values()), np.array(list(own), np.int64), _batch_id(number), buckets, BATCH_HOT)), POSTINGS)
-                    number += 1
+        found = ((set_key(s), s) for batch in batches for s in sets_of(batch.column(1)) if len(s) > 1)
+        yield from _dealt(found, buckets, BATCH_HOT)
 
     out = "batch long, number long, times long, class long, size long"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, source, number, times, directories = _bucket_of(batches)
         here = (times > 1) & (number != NO_CLASS)
-        keys, many = np.unique(np.stack([source[here], number[here]]), axis=1, return_counts=True) if here.any() else (np.zeros((2, 0), np.int64), np.zeros(0, np.int64))
+        origin, place = np.unique(source[here], return_inverse=True)
+        keys, many = np.unique(place << 16 | number[here], return_counts=True)
         none = pa.nulls(len(many), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(keys[0]), pa.array(keys[1]), pa.array(many), none, none], names=["batch", "number", "times", "class", "size"])
+        yield pa.RecordBatch.from_arrays([pa.array(origin[keys >> 16]), pa.array(keys & 0xFFFF), pa.array(many), none, none], names=["batch", "number", "times", "class", "size"])
         for batch, data in directories:
             classes, sizes, counted = np.frombuffer(data, "<i8").reshape(3, -1)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(classes), batch)), pa.array(np.arange(len(classes))), pa.array(counted), pa.array(classes), pa.array(sizes)], names=["batch", "number", "times", "class", "size"])
@@ -233,13 +243,8 @@ def anchors(sets: DataFrame, shingles: int) -> DataFrame:
     buckets = max(partitions(sets.sparkSession), -(-shingles // BUCKET_SHINGLES))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = 0
-        for whole in batches:
-            for start in range(0, whole.num_rows, 8192):
-                batch = whole.slice(start, 8192)
-                own = [np.frombuffer(x, "<u8").astype(np.uint64) for x in batch.column(2).to_pylist()]
-                yield _frame(list(_postings(own, batch.column(0).to_numpy(), _batch_id(number), buckets, 1 << 62)), POSTINGS)
-                number += 1
+        found = ((key.as_py(), np.frombuffer(data.as_buffer(), "<u8").astype(np.uint64)) for batch in batches for key, data in zip(batch.column(0), batch.column(2), strict=True))
+        yield from _dealt(found, buckets, 1 << 62)
 
     back = "batch long, directory boolean, bucket int, data binary"
 

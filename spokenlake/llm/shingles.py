@@ -10,7 +10,7 @@ import pyarrow as pa
 from .common import process_cache
 
 WORDS = 5
-CHUNK_BYTES = 1 << 22
+CHUNK_BYTES = 1 << 20
 _BASE, _SEED = 0xD1342543DE82EF95, 20_240_517
 _MASK = (1 << 64) - 1
 
