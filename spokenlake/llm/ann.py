@@ -1,5 +1,6 @@
 """Approximate nearest neighbours: inverted file of coarse centroids, product-quantised residuals, asymmetric distance
-tables and exact reranking, for the largest inner product."""
+tables and exact reranking, for the largest inner product. In the probed lists the result is exact: the tables set a row
+aside only if its score and the most that its quantisation can hide stay below the k-th exact score."""
 
 from __future__ import annotations
 
@@ -16,7 +17,7 @@ SAMPLE_VECTORS = 20_000
 LISTS, PROBES = 64, 46
 PARTS, CODES = 16, 64
 ROUNDS = 10
-#: Candidates that the tables leave for exact reranking, by block; rows of a list that one task holds at most, about.
+#: Candidates of a block whose exact scores give the first bar; rows of a list that one task holds at most, about.
 RERANK = 160
 BLOCK_ROWS = 8192
 
@@ -58,6 +59,11 @@ class Index:
         rest = (x - self.coarse[lists]).reshape(len(x), self.parts, -1)
         return np.stack([((b**2).sum(1) - 2 * rest[:, m] @ b.T).argmin(1) for m, b in enumerate(self.books)], 1).astype(np.uint8)
 
+    def errors(self, x: np.ndarray, codes: np.ndarray, centre: np.ndarray) -> np.ndarray:
+        """For each row and part the length of what its code leaves of the residual."""
+        rest = (x - centre).reshape(len(x), self.parts, -1)
+        return np.stack([np.linalg.norm(rest[:, m] - b[codes[:, m]], axis=1) for m, b in enumerate(self.books)], 1)
+
     def tables(self, q: np.ndarray) -> list[np.ndarray]:
         """For each part the inner products of the queries with the codebook: the asymmetric distance tables."""
         split = q.reshape(len(q), self.parts, -1)
@@ -82,7 +88,8 @@ def search(queries: DataFrame, rows: DataFrame, k: int = 20, id_column: str = "v
 
     Every row is indexed. A list is cut into blocks of about ``BLOCK_ROWS`` rows by a hash of the id, and a query goes to
     all blocks of its lists, so a list that holds a third of all rows is many tasks. In a block the tables' best
-    ``RERANK`` (ties to the smaller id) are scored by exact inner products in double precision and the best k leave it.
+    ``RERANK`` (ties to the smaller id) are scored by exact inner products in double precision; then every other row whose
+    table score plus its error bound reaches the k-th of them is scored too, and the best k of all leave the block.
     Vectors that are null, zero, or hold null or non-finite components take no part, nor do rows without an id. A row is
     no candidate of a query with its own id. Vectors of a length other than the longest are left out too.
     """
@@ -128,18 +135,29 @@ def search(queries: DataFrame, rows: DataFrame, k: int = 20, id_column: str = "v
         x = matrix(right["v"].combine_chunks())[order]
         codes = np.frombuffer(b"".join(right["codes"].to_pylist()), np.uint8).reshape(len(ids), own.parts)[order]
         q_ids, q = left["id"].to_numpy(), matrix(left["v"].combine_chunks())
-        base = q @ own.coarse[right["list"][0].as_py()]
+        centre = own.coarse[right["list"][0].as_py()]
+        base, hidden = q @ centre, own.errors(x, codes, centre)
+        # far more than sums in double precision can be off
+        slack = 1e-9 * (np.linalg.norm(q, axis=1) * (np.linalg.norm(x, axis=1).max() + np.linalg.norm(centre) + hidden.sum(1).max()))
         made: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for start in range(0, len(q), 256):
             part = slice(start, start + 256)
             rough = np.repeat(base[part, None], len(ids), 1)
             for m, table in enumerate(own.tables(q[part])):
                 rough += table[:, codes[:, m]]
+            most = rough + np.linalg.norm(q[part].reshape(-1, own.parts, dims // own.parts), axis=2) @ hidden.T
+            near = q[part] @ x.T  # right but for its last bits, which depend on the block
             for i, (q_id, vector) in enumerate(zip(q_ids[part], q[part], strict=True)):
                 rough[i, ids == q_id] = -np.inf
                 best = np.argsort(-rough[i], kind="stable")[: max(RERANK, k)]  # stable: ties to the smaller id
                 best = best[np.isfinite(rough[i, best])]
                 exact = (x[best] * vector).sum(1)
+                if len(best) >= k:
+                    bar = np.partition(exact, len(exact) - k)[len(exact) - k] - slack[start + i]
+                    reach = (most[i] >= bar) & (near[i] >= bar) & np.isfinite(rough[i])
+                    reach[best] = False
+                    more = np.flatnonzero(reach)
+                    best, exact = np.concatenate([best, more]), np.concatenate([exact, (x[more] * vector).sum(1)])
                 keep = np.lexsort((ids[best], -exact))[:k]
                 made.append((np.full(len(keep), q_id), ids[best][keep], exact[keep]))
         return pa.table({"query_id": pa.array(np.concatenate([a for a, _, _ in made]), pa.int64()), "vec_id": pa.array(np.concatenate([b for _, b, _ in made]), pa.int64()), "score": pa.array(np.concatenate([c for _, _, c in made]), pa.float64())})

@@ -209,6 +209,23 @@ def test_ann(spark):
     assert ann.search(table.where("false"), table.where("false")).count() == 0
 
 
+def test_ann_finds_neighbours_among_near_copies(spark):
+    draw = np.random.default_rng(8)
+    x = draw.normal(size=(6000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[:2000] = x[0] + 0.05 / np.sqrt(32) * draw.normal(size=(2000, 32))
+    x[:2000] /= np.linalg.norm(x[:2000], axis=1, keepdims=True)
+    table = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<float>")
+    got, v, found = collections.defaultdict(set), x.astype(np.float32).astype(np.float64), 0
+    for r in ann.search(table.where("vec_id % 50 = 0 and vec_id < 2000"), table).collect():
+        got[r.query_id].add(r.vec_id)
+    for q, hits in got.items():
+        s = v @ v[q]
+        s[q] = -9
+        found += len(set(np.lexsort((np.arange(len(s)), -s))[:20].tolist()) & hits)
+    assert len(got) == 40 and found >= 0.97 * 20 * len(got)
+
+
 def test_sharding(docs, none):
     got = sharding.shard_documents(docs).collect()
     assert len(got) == docs.count()
