@@ -24,10 +24,20 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return told.where((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select(*COLUMNS)
 
 
+def numbered(docs: DataFrame, label: str) -> DataFrame:
+    """docs with a number for each row, written once so that all later reads see the same one: a doc_id can be null or
+    repeated, and tells no rows apart."""
+    return written(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), label)
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of linked documents, the one with the smallest doc_id."""
-    kept = jaccard.link_documents(docs).where("doc_id = component_id").select(F.col("doc_id").alias("kept")).distinct()
-    return docs.join(kept, docs["doc_id"] == kept["kept"], "left_semi").select(*COLUMNS)
+    """Keeps exactly one row of each group of linked documents, the one with the smallest doc_id; rows with a null doc_id
+    come last, and of equal ids any one stays. Linking goes by rows, so repeated and null ids are documents of their own."""
+    rows = numbered(docs, "numbered")
+    linked = jaccard.link_documents(rows, id_column="row").select(F.col("doc_id").alias("row"), F.col("component_id").alias("component"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row"))
+    kept = linked.join(rows.select("row", "doc_id"), "row").groupBy("component").agg(first.alias("first")).select(F.col("first.row").alias("row"))
+    return rows.join(kept, "row", "left_semi").select(*COLUMNS)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,13 +47,14 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes of each document as many whole copies as the mix takes words of it, by its size: 0, 1 or 2; what is left of a
-    copy decides by a hash of the document, so that sources come near their targets. Documents without words stay once."""
-    taken = written(mixing.mix_documents(docs)[0].select("doc_id", "size", "taken").groupBy("doc_id").agg(F.max("size").alias("size"), F.max("taken").alias("taken")), "taken")
-    rest = F.pmod(F.xxhash64("doc_id", F.lit(mixing.SEED)), F.lit(1_000_000)) / 1_000_000
+    copy decides by a hash of the document's place in its source, so that sources come near their targets. Each row counts
+    on its own, also when ids are null or repeat. Documents without words stay once."""
+    rows = numbered(docs, "numbered")
+    taken = written(mixing.mix_documents(rows, id_column="row")[0].select(F.col("doc_id").alias("row"), "size", "taken", F.xxhash64("source", "start", F.lit(mixing.SEED)).alias("draw")), "taken")
+    rest = F.pmod("draw", F.lit(1_000_000)) / 1_000_000
     copies = F.when(F.col("size") == 0, 1).otherwise(F.floor(F.col("taken") / F.col("size") + rest).cast("int"))
-    many = taken.select(F.col("doc_id").alias("mixed"), copies.alias("copies")).where("copies > 0")
-    joined = docs.join(many, docs["doc_id"].eqNullSafe(many["mixed"]))
-    return joined.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
+    many = taken.select("row", copies.alias("copies")).where("copies > 0")
+    return rows.join(many, "row").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -66,7 +66,8 @@ def permuted(index: Column, size: Column, key: Column) -> Column:
 def mix_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", block_words: int = BLOCK_WORDS, shards: int = SHARDS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """(taken, slots): what the mix takes of each document, and the mix itself, slot by slot.
 
-    taken: doc_id, size, source, source_size, target, taken; one row a document, repeated rows each on their own.
+    taken: doc_id, size, source, source_size, target, taken, start (words of the source before it); one row a document,
+    repeated rows each on their own.
     slots: source, shard, position (of the slot in its source), block. Null texts have no words; a null source is a
     source of its own, the last; documents without words are taken 0 times. Empty table: no rows.
     """
@@ -93,7 +94,7 @@ def mix_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     pieces = spans.where("size > 0").select("row", "source_key", "start", "size", F.explode(F.sequence(F.floor(F.col("start") / block_words).cast("long"), last)).alias("block"))
     overlap = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words) - F.greatest(F.col("start"), F.col("block") * block_words)
     taken = pieces.withColumn("words", overlap).join(drawn, ["source_key", "block"]).groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
-    out = spans.join(taken.hint("merge"), "row", "left").select("doc_id", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    out = spans.join(taken.hint("merge"), "row", "left").select("doc_id", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "start")
     return out, slots.select("source", "shard", "position", "block")
 
 

@@ -352,3 +352,23 @@ def test_pipeline(spark):
         if k in (0, 2, 4):
             assert docs.count() >= 0.95 * before
     assert docs.where("n_tokens > 0").count() > 0
+
+
+def test_pipeline_tells_rows_apart_without_ids(spark):
+    import corpus_pipeline
+
+    draw = random.Random(9)
+    text = lambda n: " ".join(draw.choices([f"v{i}" for i in range(900)], k=n))
+    near, pair, group = text(80), text(80), text(80)
+    alone = [text(60) for _ in range(40)]
+    data = [(None, t) for t in alone] + [(None, near), (None, near + " more"), (7, pair), (7, pair), (9, group), (8, group), (None, group)] + [(7, text(60))]
+    docs = spark.createDataFrame([(d, t, "en", "a", len(t)) for d, t in data], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    kept = corpus_pipeline.written(corpus_pipeline.drop_near_duplicates(spark, docs, DATA), "test")
+    got = collections.Counter((r.doc_id, r.text) for r in kept.collect())
+    assert sum(got[None, t] for t in (near, near + " more")) == 1
+    assert got[7, pair] == 1 and got[8, group] == 1 and all(got[None, t] == 1 for t in alone)
+    assert sum(got.values()) == len(alone) + 4
+    sized = spark.createDataFrame([(None, "w " * n, "en", "a" if n < 40 else "b", 2 * n) for n in (3, 5, 8, 900, 1500)], docs.schema)
+    mixed = collections.Counter(r.text for r in corpus_pipeline.mix_sources(spark, sized, DATA).collect())
+    copies = {r.doc_id: r for r in mixing.mix_documents(sized.withColumn("n", F.col("n_chars") / 2), id_column="n")[0].collect()}
+    assert all(abs(mixed["w " * n] - r.taken / r.size) < 1 for n, r in copies.items())
