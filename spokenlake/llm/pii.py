@@ -22,16 +22,32 @@ DATE_ROWS, DATE_COLUMNS, FIRST_DAY = 189, 773, "1700-01-01"
 
 # Alphabets, and the patterns of each kind in the order in which they are tried.
 DIGITS, LOWERS, UPPERS, HEX = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789abcdef"
+#: Lengths of the IBANs of the countries in the ISO 13616 registry.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH CR HR LI LV",
+    22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_pattern() -> str:
+    """Countries of the registry at their length, so that a word after the value is none of it; others at any length."""
+    known = "|".join(rf"(?:{lands.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (rf" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") + "(?![A-Za-z0-9])" for n, lands in IBAN_LENGTHS.items())
+    return rf"(?<![A-Za-z0-9])(?:{known}|[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?(?![A-Za-z0-9]))"
+
+
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 KINDS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![A-Za-z0-9])",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": _iban_pattern(),
     "ip": rf"(?<![0-9A-Za-z.]){OCTET}(?:\.{OCTET}){{3}}(?!\.?[0-9A-Za-z])",
-    "date": r"(?<![0-9A-Za-z/.-])(?:(?:1[789]|20)[0-9]{2}([-/])[01][0-9]\1[0-3][0-9]|[0-3][0-9]([./])[01][0-9]\2(?:1[789]|20)[0-9]{2})(?![0-9A-Za-z/-])",
+    # the year first, also with a time or as one end of an interval; or last, after day and month in either order
+    "date": r"(?<![0-9A-Za-z.-])(?:(?:(?<!/)|(?<=[0-9Zz]/))(?:1[789]|20)[0-9]{2}-[01][0-9]-[0-3][0-9](?:(?![0-9A-Za-z/-])|(?=[Tt][0-9]{2}|/[0-9P]))|(?<!/)(?:(?:1[789]|20)[0-9]{2}/[01][0-9]/[0-3][0-9]|(?:[0-3][0-9]([./])[01][0-9]|[01][0-9]([./])[0-3][0-9])(?:\1|\2)(?:1[789]|20)[0-9]{2})(?![0-9A-Za-z/-]))",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9A-Za-z])",
-    "number": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3})(?![0-9A-Za-z])",
+    # 13 to 19 digits: in a row, in fours with any rest, or as 4-6-4, 4-6-5, 4-5-6, 5-4-5 and 6-7 to 6-13
+    "number": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}(?:[ -][0-9]{1,3})?|[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}|[0-9]{4}[ -][0-9]{5}[ -][0-9]{6}|[0-9]{5}[ -][0-9]{4}[ -][0-9]{5}|[0-9]{6}[ -][0-9]{7,13})(?![0-9A-Za-z])",
 }
 
 
@@ -120,21 +136,43 @@ def mod97(text: Column) -> Column:
     return F.reduce(F.split(text, ""), F.lit(0), lambda a, c: F.when(c == "", a).when(value(c) < 10, F.pmod(a * 10 + value(c), F.lit(97))).otherwise(F.pmod(a * 100 + value(c), F.lit(97))))
 
 
-def _number(value: Column, key: Column) -> Column:
+def _card(value: Column, key: Column) -> Column:
     digits = digits_of(value)
     body = permute_text(F.substr(digits, F.lit(1), F.length(digits) - 1), key, "card")
     check = F.pmod(10 - F.pmod(luhn_sum(F.concat(body, F.lit("0"))), F.lit(10)), F.lit(10)).cast("string")
-    return refill(value, F.when(F.pmod(luhn_sum(digits), F.lit(10)) == 0, F.concat(body, check)).otherwise(permute_text(digits, key, "number")))
+    return refill(value, F.concat(body, check))
+
+
+def _number(value: Column, key: Column) -> Column:
+    """Whole if its check digit holds; else its first four fours, if they are there, without the rest, which can be a word
+    of its own. Numbers that fail are permuted if they are a run or four fours, and otherwise left."""
+    holds = lambda v: F.pmod(luhn_sum(digits_of(v)), F.lit(10)) == 0
+    fours = value.rlike("^[0-9]{4}([ -][0-9]{4}){3}[ -]")
+    main = F.when(holds(value) | ~fours, value).otherwise(F.substr(value, F.lit(1), F.lit(19)))
+    tail = F.substr(value, F.length(main) + 1, F.length(value))
+    shaped = main.rlike("^([0-9]{13,19}|[0-9]{4}([ -][0-9]{4}){3})$")
+    made = F.when(holds(main), _card(main, key)).when(shaped, refill(main, permute_text(digits_of(main), key, "number")))
+    return F.concat(made, tail)
 
 
 def _iban(value: Column, key: Column) -> Column:
+    """Of the value and its beginnings before a blank the longest with the right check digits; what follows it stays."""
+    words = F.split(value, " ")
+    plain = lambda v: F.regexp_replace(v, " ", "")
+    begun = F.transform(F.sequence(F.size(words), F.lit(1), F.lit(-1)), lambda n: F.array_join(F.slice(words, 1, n), " "))
+    valid = F.filter(begun, lambda v: (F.length(plain(v)) >= min(IBAN_LENGTHS)) & (mod97(F.concat(F.substr(plain(v), F.lit(5), F.length(v)), F.substr(plain(v), F.lit(1), F.lit(4)))) == 1))
+    made = F.transform(F.slice(valid, 1, 1), lambda v: F.concat(_iban_made(v, key), F.substr(value, F.length(v) + 1, F.length(value))))
+    return F.try_element_at(made, F.lit(1))
+
+
+def _iban_made(value: Column, key: Column) -> Column:
     plain = F.regexp_replace(value, " ", "")
     land, rest = F.substr(plain, F.lit(1), F.lit(2)), F.substr(plain, F.lit(5), F.length(plain))
     body = permute_text(rest, key, "iban", (DIGITS, UPPERS))
     made = F.concat(land, F.lpad((98 - mod97(F.concat(body, land, F.lit("00")))).cast("string"), 2, "0"), body)
     start = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"))
     spaced = F.reduce(F.split(value, ""), start, lambda s, c: F.struct(F.concat(s["out"], F.when((c == " ") | (c == ""), c).otherwise(F.substr(made, s["at"], F.lit(1)))).alias("out"), (s["at"] + F.when((c == " ") | (c == ""), 0).otherwise(1)).alias("at")), lambda s: s["out"])
-    return F.when(mod97(F.concat(rest, F.substr(plain, F.lit(1), F.lit(4)))) == 1, spaced)
+    return spaced
 
 
 def _ip(value: Column, key: Column) -> Column:
@@ -144,13 +182,21 @@ def _ip(value: Column, key: Column) -> Column:
 
 
 def _date(value: Column, key: Column) -> Column:
+    """With the year last, the month comes first only where it cannot be the day. Such a date gets one of those that must be
+    read so too, so that the pseudonym can be undone: the permutation walks on until its day is above 12."""
     sign = F.regexp_extract(value, "([-/.])", 1)
     first = value.rlike("^[0-9]{4}")  # the year
     parts = F.split(value, "[-/.]")
     day = F.try_to_date(F.when(first, F.concat_ws("-", parts)).otherwise(F.concat_ws("-", F.reverse(parts))), "yyyy-MM-dd")
-    made = F.date_add(F.lit(FIRST_DAY).cast("date"), permute_number(F.datediff(day, F.lit(FIRST_DAY).cast("date")).cast("long"), key, "date", DATE_ROWS, DATE_COLUMNS).cast("int"))
-    text = F.split(made.cast("string"), "-")
-    return F.when(day.isNotNull(), F.replace(F.concat_ws("|", F.when(first, text).otherwise(F.reverse(text))), F.lit("|"), sign))
+    american = F.when(~first & day.isNull(), F.try_to_date(F.concat_ws("-", F.slice(parts, 3, 1), F.slice(parts, 1, 2)), "yyyy-MM-dd"))
+    begin = F.lit(FIRST_DAY).cast("date")
+    moved = lambda n: permute_number(n, key, "date", DATE_ROWS, DATE_COLUMNS)
+    late = lambda n: F.dayofmonth(F.date_add(begin, n.cast("int"))) > 12
+    number = F.datediff(F.coalesce(day, american), begin).cast("long")
+    walked = F.reduce(F.when(american.isNotNull(), F.sequence(F.lit(1), F.lit(128))).otherwise(F.array().cast("array<int>")), moved(number), lambda n, _: F.when(late(n), n).otherwise(moved(n)))
+    text = F.split(F.date_add(begin, walked.cast("int")).cast("string"), "-")
+    placed = F.when(first, text).when(day.isNotNull(), F.reverse(text)).otherwise(F.concat(F.slice(text, 2, 2), F.slice(text, 1, 1)))
+    return F.when(number.isNotNull(), F.replace(F.concat_ws("|", placed), F.lit("|"), sign))
 
 
 def _phone(value: Column, key: Column) -> Column:

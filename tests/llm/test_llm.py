@@ -332,6 +332,28 @@ def test_pii(spark, docs, none):
     assert pii.pseudonymise(docs).where(F.col("n_private") > 0).count() == 0
 
 
+def test_pii_beside_other_words(spark):
+    ibans = ["ES91 2100 0418 4502 0005 1332", "SE45 5000 0000 0583 9825 7466", "ES9121000418450200051332", "NO93 8601 1117 947"]
+    texts = [f"to {i} {w}" for i, w in zip(ibans, ("EUR", "SEK", "BBVA", "AB12"))]
+    texts += ["at 2024-02-29T10:00:00Z", "2024-01-05/2024-02-05", "on 12/31/2024.", "3782 822463 10005", "6759 6498 2643 8451 007", "4111 1111 1111 1111 123", "a/2024-01-05/b 2024/13/13 13/13/2024", "1111 222222 33333"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.pseudonymise(table).collect()}
+    assert [got[i].n_private for i in range(len(texts))] == [1, 1, 1, 1, 1, 2, 1, 1, 1, 1, 0, 0]
+    for i, iban in enumerate(ibans):
+        new = got[i].text[3 : 3 + len(iban)]
+        assert new != iban and got[i].text[3 + len(iban) :] == texts[i][3 + len(iban) :]
+        assert int("".join(str(int(c, 36)) for c in new[4:].replace(" ", "") + new[:4])) % 97 == 1
+    assert got[0].text[3:32].replace(" ", "") == got[2].text[3:27]
+    assert got[4].text.endswith("T10:00:00Z") and "2024-02-29" not in got[4].text
+    a, b = got[5].text.split("/")
+    assert a != "2024-01-05" and b != "2024-02-05"
+    month, day, year = got[6].text[3:-1].split("/")
+    assert 1 <= int(month) <= 12 < int(day) and (month, day, year) != ("12", "31", "2024")
+    for i in (7, 8):
+        assert luhn(got[i].text.replace(" ", "")) and got[i].text != texts[i]
+    assert got[9].text.endswith(" 123") and luhn(got[9].text[:19].replace(" ", ""))
+
+
 def test_feistel_is_a_permutation(spark):
     three = spark.range(1000).select(pii.permute_text(F.lpad(F.col("id").cast("string"), 3, "0"), F.lit("k"), "t").alias("p"))
     assert three.distinct().count() == 1000
