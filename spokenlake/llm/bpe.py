@@ -181,7 +181,7 @@ class Encoder:
 def worker_encoder(tokens: list[bytes], pattern: str) -> Encoder:
     """The worker's encoder; built once in a process for the same vocabulary."""
     key = hashlib.sha256(b"\0".join(tokens) + pattern.encode()).hexdigest()
-    kept = process_cache()
+    kept = process_cache("bpe")
     if kept.get("bpe_key") != key:
         kept["bpe_key"], kept["bpe"] = key, Encoder(tokens, pattern)
     return kept["bpe"]

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import sys
 import tempfile
 import types
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,16 +31,36 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: cuts the lineage and survives lost executors."""
+def written(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+    """df as a Parquet table in the shared folder: cuts the lineage and survives lost executors.
+
+    Inside ``temporary()`` the table goes when the block ends, unless it is to be kept.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/spokenlake/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_at = path
+    if _TEMPORARY and not keep:
+        _TEMPORARY[-1].append(out)
     return out
 
 
+#: Tables of the open ``temporary()`` blocks, on the driver.
+_TEMPORARY: list[list[DataFrame]] = []
+
+
+@contextlib.contextmanager
+def temporary() -> Iterator[None]:
+    """Removes the tables that were written inside, at the end: all that is read later must have been written and kept."""
+    _TEMPORARY.append([])
+    try:
+        yield
+    finally:
+        for table in _TEMPORARY.pop():
+            forget(table)
+
+
 def forget(df: DataFrame) -> None:
     """Removes a table of written() that no later plan reads."""
     spark = df.sparkSession
@@ -52,9 +76,28 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def process_cache() -> dict:
-    """A dict that lives as long as the Python process, also across tasks."""
-    return sys.modules.setdefault("_spokenlake_process_cache", types.ModuleType("_spokenlake_process_cache")).__dict__
+def process_cache(owner: str = "") -> dict:
+    """A dict that lives as long as the Python process, also across tasks.
+
+    With an owner, the dict of that operator: what others have kept is released first, as a reused worker runs the stages
+    of a pipeline one after another.
+    """
+    kept = sys.modules.setdefault("_spokenlake_process_cache", types.ModuleType("_spokenlake_process_cache")).__dict__
+    if not owner:
+        return kept
+    owned = kept.setdefault("owned", {})
+    if owner not in owned:
+        owned.clear()
+        owned[owner] = {}
+        release_memory()
+    return owned[owner]
+
+
+def release_memory() -> None:
+    """Gives memory that is free in this process back to the system, where the C library can."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def word_count(text: Column) -> Column:

@@ -29,7 +29,7 @@ _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))
 
 def _powers(n: int) -> list[np.ndarray]:
     """For each base its powers and inverse powers 0..n-1; kept by the process, doubled when a longer text comes."""
-    kept = process_cache().get("poly_powers")
+    kept = process_cache("fingerprint").get("poly_powers")
     if kept is None or len(kept[0]) < n:
         size = 1 << max(12, (n - 1).bit_length())
         kept = []
@@ -41,7 +41,7 @@ def _powers(n: int) -> list[np.ndarray]:
                     out[done : 2 * done] = out[:done] * np.uint64(pow(step, done, PRIME)) % PRIME
                     done *= 2
                 kept.append(out)
-        process_cache()["poly_powers"] = kept
+        process_cache("fingerprint")["poly_powers"] = kept
     return kept
 
 

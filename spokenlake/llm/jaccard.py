@@ -3,18 +3,21 @@
 1. Documents of equal sets are one class. A class can only have a link if 75 % of its shingles occur in another class; an
    exact count of repeated shingles, dealt by hash in compact arrays, sets the many classes aside that are at distance
    beyond the radius from all others (in shingle space nearly all pairs are at distance 1, where pivots tell nothing).
-2. What is left is cut into regions around anchor shingles: in the global order rarest first, two linked classes share one
-   of their first n - ceil(0.75 n) + 1 shingles. Classes that share such an anchor belong to one region; regions that share
-   a class are one, so no class is replicated and no link leaves a region.
-3. Inside a large region pivots (the classes with the most widely shared shingles) create Voronoi cells. With r = 0.25, a
-   class within r of a pivot is linked to it, so its cell needs no pairs of its own; by the triangle inequality only a
-   class within 2 r of a pivot can have a link into that pivot's cell, and just these are replicated to it. The classes
-   in no cell make the next region, recursively. Small regions and blocks are joined pair by pair with a matrix product.
+2. What is left falls into closed parts of the space: in the global order rarest first, two linked classes share one of
+   their first n - ceil(0.75 n) + 1 shingles, so no link leaves a part.
+3. In every part pivots (the classes with the most widely shared shingles) create Voronoi regions. With r = 0.25, a class
+   within r of a pivot is linked to it, so its region needs no pairs of its own; by the triangle inequality only a class
+   within 2 r of a pivot can have a link into that pivot's region, and only with members whose distance to the pivot
+   differs from its own by r at most: just these windows are replicated to the region and tested. The classes in no region
+   are a part again, recursively: in one task where a part is small, else as a level of distributed joins. A large part
+   that pivots no longer divide by half (no class has many near copies) is cut into bands of set sizes and blocks, and
+   only blocks of equal or neighbouring bands meet.
 Only links that join components leave a task, fewer than the classes that it read. Nothing is capped, sampled or dropped.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,19 +26,19 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, partitions, written
+from .common import documents, partitions, release_memory, temporary, written
 from .components import connected
 from .shingles import set_key, sets_of
 
-#: A link: PERCENT * union <= 100 * intersection.
+#: A link: PERCENT * union <= 100 * intersection. The radius of a region is 1 - PERCENT / 100.
 PERCENT = 75
-#: Shingles that one bucket holds, about; classes of a block; pivots of a region; levels before all blocks meet all blocks.
-BUCKET_SHINGLES = 2_000_000
+RADIUS = 1 - PERCENT / 100
+#: Shingles that one bucket holds, about; classes that a task takes as one part or block; pivots of a level of a large part.
+BUCKET_SHINGLES = 1 << 20
 BLOCK = 64
 PIVOTS = 8
-LEVELS = 3
 #: A batch of sets ends with this many shingles, or sets.
-BATCH_SHINGLES = 1_000_000
+BATCH_SHINGLES = 1 << 19
 BATCH_SETS = 8192
 #: A shingle in more documents of a batch is counted there, and only said to be repeated to the others.
 BATCH_HOT = 64
@@ -94,7 +97,7 @@ def forest(keys: np.ndarray, pairs: np.ndarray) -> list[tuple[int, int]]:
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, class: the documents' set sizes and set keys."""
+    """doc_id, n_shingles, key: the documents' set sizes and set keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,19 +105,22 @@ def describe(docs: DataFrame) -> DataFrame:
             for s in sets_of(batch.column(1)):
                 sizes.append(len(s))
                 keys.append(set_key(s))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64())], names=["doc_id", "n_shingles", "class"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary())], names=["doc_id", "n_shingles", "key"])
+        release_memory()
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, class long")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, key binary")
 
 
+#: data: shingles with the numbers of their sets in the batch; in the directory the sets' sizes, shingles counted, and keys.
 POSTINGS = "bucket int, batch long, directory boolean, data binary"
+BACK = "batch long, directory boolean, bucket int, data binary"
 
 
-def _postings(sets: list[np.ndarray], classes: np.ndarray, batch: int, buckets: int, hot_limit: int) -> Iterator[tuple]:
+def _postings(keys: list[bytes], sets: list[np.ndarray], batch: int, buckets: int, hot_limit: int) -> Iterator[tuple]:
     """Rows of POSTINGS: for each bucket the shingles' lower 48 bits and their sets' numbers, and one directory of the sets."""
     sizes = np.array([len(s) for s in sets], np.int64)
     flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-    number = np.repeat(np.arange(len(sets)), sizes)
+    number = np.repeat(np.arange(len(sets), dtype=np.uint16), sizes)
     order = np.argsort(flat, kind="stable")
     flat, number = flat[order], number[order]
     first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]])) if len(flat) else np.zeros(0, np.int64)
@@ -123,17 +129,24 @@ def _postings(sets: list[np.ndarray], classes: np.ndarray, batch: int, buckets:
     counted = np.bincount(number[hot], minlength=len(sets))
     told = np.repeat(flat[first[times > hot_limit]], 2)  # twice: whoever has it sees that it is repeated
     flat = np.concatenate([flat[~hot], told])
-    number = np.concatenate([number[~hot], np.full(len(told), NO_CLASS)])
-    bucket = ((flat >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)).astype(np.int64)
+    number = np.concatenate([number[~hot], np.full(len(told), NO_CLASS, np.uint16)])
+    # the bucket comes from the upper 32 bits, of which the lower 48 kept say 16
+    bucket = ((flat >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
     bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    for b in range(buckets):
+    for b in np.flatnonzero(np.diff(bounds)):
         mine = order[bounds[b] : bounds[b + 1]]
-        if len(mine):
-            data = np.empty(len(mine), "<u8")
-            data[:] = (flat[mine] & np.uint64((1 << 48) - 1)) << np.uint64(16) | number[mine].astype(np.uint64)
-            yield b, batch, False, data.tobytes()
-    yield batch % buckets, batch, True, np.stack([classes, sizes, counted]).astype("<i8").tobytes()
+        data = np.empty(len(mine), "<u8")
+        data[:] = (flat[mine] & np.uint64((1 << 48) - 1)) << np.uint64(16) | number[mine].astype(np.uint64)
+        yield int(b), batch, False, data.tobytes()
+    yield batch % buckets, batch, True, np.stack([sizes, counted]).astype("<i8").tobytes() + b"".join(keys)
+
+
+def _directory(data: bytes, width: int) -> tuple[np.ndarray, np.ndarray, bytes]:
+    """Sizes, counts and keys of a directory row."""
+    n = len(data) // (16 + width)
+    sizes, counted = np.frombuffer(data, "<i8", 2 * n).reshape(2, n)
+    return sizes, counted, data[16 * n :]
 
 
 def _frame(rows: list[tuple], schema: str) -> pa.RecordBatch:
@@ -143,25 +156,29 @@ def _frame(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, names, strict=True)], names=[n for n, _ in names])
 
 
-def _bucket_of(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[tuple[int, bytes]]]:
-    """A task's postings sorted by shingle: shingles, batch ids, set numbers, repetitions; and its directories."""
-    tokens, source, directories = [], [], []
+def _bucket_of(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[int], list[tuple[int, bytes]]]:
+    """A task's postings sorted by shingle: shingles, places of their batches, set numbers, repetitions; the batches' ids;
+    and the task's directories."""
+    tokens, ids, directories = [], [], []
     for batch in batches:
         for _, own, is_directory, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if is_directory:
                 directories.append((own, data))
             else:
                 tokens.append(np.frombuffer(data, "<u8"))
-                source.append(np.full(len(tokens[-1]), own, np.int64))
+                ids.append(own)
     if not tokens:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), directories
-    flat, source_ = np.concatenate(tokens), np.concatenate(source)
-    order = np.argsort(flat >> np.uint64(16), kind="stable")
-    flat, source_ = flat[order], source_[order]
-    shingle = flat >> np.uint64(16)
-    first = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1]]))
-    times = np.diff(np.append(first, len(shingle)))
-    return shingle, source_, (flat & np.uint64(0xFFFF)).astype(np.int64), np.repeat(times, times), directories
+        return np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.uint16), np.zeros(0, np.int64), ids, directories
+    source = np.repeat(np.arange(len(tokens), dtype=np.int32), [len(x) for x in tokens])
+    flat = np.concatenate(tokens)
+    tokens.clear()
+    order = np.argsort(flat, kind="stable")
+    flat, source = flat[order], source[order]
+    number = (flat & np.uint64(0xFFFF)).astype(np.uint16)
+    flat >>= np.uint64(16)
+    first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+    times = np.diff(np.append(first, len(flat)))
+    return flat, source, number, np.repeat(times, times), ids, directories
 
 
 def _batch_id(number: int) -> int:
@@ -169,51 +186,67 @@ def _batch_id(number: int) -> int:
     return (TaskContext.get().partitionId() << 24) + number
 
 
-def _dealt(found: Iterator[tuple[int, np.ndarray]], buckets: int, hot_limit: int) -> Iterator[pa.RecordBatch]:
+def _dealt(found: Iterator[tuple[bytes, np.ndarray]], buckets: int, hot_limit: int) -> Iterator[pa.RecordBatch]:
     """Postings of the classes (key, set) in batches of bounded size; a class that a batch has twice counts once in it."""
-    own: dict[int, np.ndarray] = {}
+    own: dict[bytes, np.ndarray] = {}
     number = held = 0
     for key, s in found:
         if key not in own:
             own[key] = s
             held += len(s)
         if held >= BATCH_SHINGLES or len(own) >= BATCH_SETS:
-            yield _frame(list(_postings(list(own.values()), np.array(list(own), np.int64), _batch_id(number), buckets, hot_limit)), POSTINGS)
+            yield _frame(list(_postings(list(own), list(own.values()), _batch_id(number), buckets, hot_limit)), POSTINGS)
             own, held, number = {}, 0, number + 1
     if own:
-        yield _frame(list(_postings(list(own.values()), np.array(list(own), np.int64), _batch_id(number), buckets, hot_limit)), POSTINGS)
+        yield _frame(list(_postings(list(own), list(own.values()), _batch_id(number), buckets, hot_limit)), POSTINGS)
+    own.clear()
+    release_memory()
 
 
 def survivors(docs: DataFrame, shingles: int) -> DataFrame:
-    """class: those of which at least 75 % of the shingles occur in more than one document of other rows."""
+    """key: classes of which at least 75 % of the shingles occur in more than one class. What a bucket counts for a batch
+    goes back as one packed row."""
     buckets = max(partitions(docs.sparkSession), -(-shingles // BUCKET_SHINGLES))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = ((set_key(s), s) for batch in batches for s in sets_of(batch.column(1)) if len(s) > 1)
         yield from _dealt(found, buckets, BATCH_HOT)
 
-    out = "batch long, number long, times long, class long, size long"
-
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, source, number, times, directories = _bucket_of(batches)
+        _, source, number, times, ids, directories = _bucket_of(batches)
         here = (times > 1) & (number != NO_CLASS)
-        origin, place = np.unique(source[here], return_inverse=True)
-        keys, many = np.unique(place << 16 | number[here], return_counts=True)
-        none = pa.nulls(len(many), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(origin[keys >> 16]), pa.array(keys & 0xFFFF), pa.array(many), none, none], names=["batch", "number", "times", "class", "size"])
+        keys, many = np.unique(source[here].astype(np.int64) << 16 | number[here], return_counts=True)
+        del source, number, times, here
+        bounds = np.searchsorted(keys >> 16, np.arange(len(ids) + 1))
+        for k in np.flatnonzero(np.diff(bounds)):
+            mine = slice(bounds[k], bounds[k + 1])
+            yield _frame([(ids[k], False, 0, np.stack([keys[mine] & 0xFFFF, many[mine]]).astype("<u4").tobytes())], BACK)
         for batch, data in directories:
-            classes, sizes, counted = np.frombuffer(data, "<i8").reshape(3, -1)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(classes), batch)), pa.array(np.arange(len(classes))), pa.array(counted), pa.array(classes), pa.array(sizes)], names=["batch", "number", "times", "class", "size"])
+            yield _frame([(batch, True, 0, data)], BACK)
+        release_memory()
+
+    def keep(table: pa.Table) -> pa.Table:
+        parts, held = [], None
+        for is_directory, data in zip(table["directory"].to_pylist(), table["data"].to_pylist(), strict=True):
+            if is_directory:
+                held = _directory(data, 16)
+            else:
+                parts.append(np.frombuffer(data, "<u4").reshape(2, -1))
+        sizes, counted, keys = held
+        total = counted.copy()
+        for number, many in parts:
+            total[number] += many  # a bucket names each set once
+        left = np.flatnonzero(100 * total >= PERCENT * sizes)
+        return pa.table({"key": pa.array([keys[16 * i : 16 * i + 16] for i in left], pa.binary())})
 
-    counted = docs.mapInArrow(deal, POSTINGS).repartitionById(buckets, F.col("bucket")).mapInArrow(count, out)
-    sums = counted.groupBy("batch", "number").agg(F.sum("times").alias("times"), F.max("class").alias("class"), F.max("size").alias("size"))
-    return sums.where(F.col("times") * 100 >= F.col("size") * PERCENT).select("class").distinct()
+    counted = docs.mapInArrow(deal, POSTINGS).repartitionById(buckets, F.col("bucket")).mapInArrow(count, BACK)
+    return counted.groupBy("batch").applyInArrow(keep, "key binary").distinct()
 
 
 def sets_table(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """class, size, data: the sorted shingles of each class. Texts are hashed again; a filter of fixed size, and then a
-    join, keep the classes wanted, so no text is shuffled."""
-    place = F.pmod("class", F.lit(FILTER_BITS))
+    """class, size, data: the sorted shingles of each class (classes: key, class). Texts are hashed again; a filter of fixed
+    size, and then a join, keep the classes wanted, so no text is shuffled."""
+    place = F.conv(F.concat(*[F.substr(F.hex("key"), F.lit(2 * i + 1), F.lit(2)) for i in (2, 1, 0)]), 16, 10).cast("long")
     bits = classes.groupBy(F.floor(place / 32768).cast("int").alias("part")).agg(F.bitmap_construct_agg(F.pmod(place, F.lit(32768))).alias("bits")).collect()
     wanted = np.zeros(FILTER_BITS, bool)
     for r in bits:
@@ -221,19 +254,21 @@ def sets_table(docs: DataFrame, classes: DataFrame) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(np.packbits(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(sent.value).astype(bool)
-        seen: set[int] = set()
+        packed = sent.value
+        seen: set[bytes] = set()
         for batch in batches:
             rows = []
             for s in sets_of(batch.column(1)):
                 if len(s) > 1:
                     key = set_key(s)
-                    if bits[key % FILTER_BITS] and key not in seen:
+                    at = int.from_bytes(key[:3], "little")
+                    if packed[at >> 3] >> (7 - (at & 7)) & 1 and key not in seen:
                         seen.add(key)
                         rows.append((key, len(s), s.astype("<u8").tobytes()))
-            yield _frame(rows, "class long, size long, data binary")
+            yield _frame(rows, "key binary, size long, data binary")
+        release_memory()
 
-    found = docs.mapInArrow(run, "class long, size long, data binary").join(classes, "class")
+    found = docs.mapInArrow(run, "key binary, size long, data binary").join(classes, "key")
     return found.groupBy("class").agg(F.first("size").alias("size"), F.first("data").alias("data"))
 
 
@@ -243,37 +278,36 @@ def anchors(sets: DataFrame, shingles: int) -> DataFrame:
     buckets = max(partitions(sets.sparkSession), -(-shingles // BUCKET_SHINGLES))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = ((key.as_py(), np.frombuffer(data.as_buffer(), "<u8").astype(np.uint64)) for batch in batches for key, data in zip(batch.column(0), batch.column(2), strict=True))
+        found = ((key.as_py().to_bytes(8, "little"), np.frombuffer(data.as_buffer(), "<u8").astype(np.uint64)) for batch in batches for key, data in zip(batch.column(0), batch.column(2), strict=True))
         yield from _dealt(found, buckets, 1 << 62)
 
-    back = "batch long, directory boolean, bucket int, data binary"
-
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle, source, number, times, directories = _bucket_of(batches)
+        shingle, source, number, times, ids, directories = _bucket_of(batches)
         own = TaskContext.get().partitionId()
         here = np.flatnonzero(times > 1)
         here = here[np.argsort(source[here], kind="stable")]
-        for batch in np.unique(source[here]):
-            low, high = np.searchsorted(source[here], [batch, batch + 1])
-            mine = here[low:high]
-            rows = np.stack([number[mine], shingle[mine].astype(np.int64), times[mine]]).astype("<i8")
-            yield _frame([(int(batch), False, own, rows.tobytes())], back)
+        bounds = np.searchsorted(source[here], np.arange(len(ids) + 1))
+        for k in np.flatnonzero(np.diff(bounds)):
+            mine = here[bounds[k] : bounds[k + 1]]
+            rows = np.stack([number[mine].astype(np.int64), shingle[mine].astype(np.int64), times[mine]]).astype("<i8")
+            yield _frame([(ids[k], False, own, rows.tobytes())], BACK)
         for batch, data in directories:
-            yield _frame([(batch, True, -1, data)], back)
+            yield _frame([(batch, True, -1, data)], BACK)
+        release_memory()
 
     def pick(key: tuple, table: pa.Table) -> pa.Table:
-        parts, directory, buckets_ = [], None, []
+        parts, held, buckets_ = [], None, []
         for is_directory, bucket, data in zip(table["directory"].to_pylist(), table["bucket"].to_pylist(), table["data"].to_pylist(), strict=True):
-            got = np.frombuffer(data, "<i8").reshape(3, -1)
             if is_directory:
-                directory = got
+                held = _directory(data, 8)
             else:
-                parts.append(got)
-                buckets_.append(np.full(got.shape[1], bucket, np.int64))
+                parts.append(np.frombuffer(data, "<i8").reshape(3, -1))
+                buckets_.append(np.full(parts[-1].shape[1], bucket, np.int64))
         empty = pa.table({"shingle": pa.array([], pa.int64()), "class": pa.array([], pa.int64()), "weight": pa.array([], pa.float64())})
-        if directory is None or not parts:
+        if held is None or not parts:
             return empty
-        classes, sizes, _ = directory
+        sizes, _, keys = held
+        classes = np.frombuffer(keys, "<i8")
         number, shingle, times = np.concatenate(parts, 1)
         # 48 bits of the shingle and its bucket: one number for the global order, the same in all batches
         token = (shingle ^ (np.concatenate(buckets_) << np.int64(48))).astype(np.int64)
@@ -286,7 +320,7 @@ def anchors(sets: DataFrame, shingles: int) -> DataFrame:
         here = rank < prefix[number]
         return pa.table({"shingle": pa.array(token[here]), "class": pa.array(classes[number[here]]), "weight": pa.array(weight[number[here]])})
 
-    counted = sets.select("class", "size", "data").mapInArrow(deal, POSTINGS).repartitionById(buckets, F.col("bucket")).mapInArrow(count, back)
+    counted = sets.select("class", "size", "data").mapInArrow(deal, POSTINGS).repartitionById(buckets, F.col("bucket")).mapInArrow(count, BACK)
     return counted.groupBy("batch").applyInArrow(pick, "shingle long, class long, weight double")
 
 
@@ -297,20 +331,59 @@ def _sets(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     return table["class"].to_numpy(), table["size"].to_numpy(), [np.frombuffer(x, "<u8") for x in table["data"].to_pylist()]
 
 
+def _edges(pairs: list[tuple[int, int]]) -> pa.Table:
+    return pa.table({"a": pa.array([x for x, _ in pairs], pa.int64()), "b": pa.array([y for _, y in pairs], pa.int64())})
+
+
+def across(left: np.ndarray, right: np.ndarray, sizes: np.ndarray, sets: list[np.ndarray], gaps: np.ndarray | None = None) -> np.ndarray:
+    """Linked pairs between two lists of classes. gaps: their distances to one pivot; only pairs whose gaps differ by the
+    radius at most can be linked, so whoever lies outside all windows of the other side is left out before any test."""
+    if gaps is not None and len(left) and len(right):
+        reach = RADIUS + 1e-9
+        left = left[(gaps[left] >= gaps[right].min() - reach) & (gaps[left] <= gaps[right].max() + reach)]
+        right = right[(gaps[right] >= gaps[left].min() - reach) & (gaps[right] <= gaps[left].max() + reach)] if len(left) else right[:0]
+    common = overlaps([sets[i] for i in left], [sets[i] for i in right])
+    a, b = np.nonzero(linked(common, sizes[left][:, None], sizes[right][None, :])) if common.size else (np.zeros(0, int), np.zeros(0, int))
+    return np.stack([left[a], right[b]], 1)
+
+
+def join_part(keys: np.ndarray, sizes: np.ndarray, sets: list[np.ndarray], weights: np.ndarray) -> tuple[list[tuple[int, int]], int, int]:
+    """Links of a part that one task holds, by pivots: the heaviest class is the pivot, those within the radius are its
+    region, those within twice the radius visit it, and all beyond the radius are the next part. Returns the links that a
+    union-find needs, the number of pivots, and the number of pairs tested beside those with pivots."""
+    left = np.lexsort((keys, -weights))
+    pairs, pivots, tests = [np.zeros((0, 2), np.int64)], 0, 0
+    while len(left) > 1:
+        pivot, others = left[:1], left[1:]
+        pivots += 1
+        common = overlaps([sets[i] for i in others], [sets[pivot[0]]])[:, 0]
+        union = sizes[others] + sizes[pivot[0]] - common
+        inside = linked(common, sizes[others], sizes[pivot[0]])
+        near = ~inside & (2 * common >= union)
+        gaps = np.ones(len(keys))
+        gaps[others] = 1 - common / np.maximum(1, union)
+        pairs.append(np.stack([others[inside], np.repeat(pivot, inside.sum())], 1))
+        tests += int(inside.sum() * near.sum())
+        pairs.append(across(others[inside], others[near], sizes, sets, gaps))
+        left = others[~inside]
+    return forest(keys, np.concatenate(pairs)), pivots, tests
+
+
+def join_region(table: pa.Table) -> pa.Table:
+    keys, sizes, sets = _sets(table)
+    return _edges(join_part(keys, sizes, sets, table["weight"].to_numpy())[0])
+
+
 def join_block(table: pa.Table) -> pa.Table:
-    """Links of a region, or of two blocks of one (side 0 and 1); of two blocks only the pairs across them."""
+    """Links across two blocks (side 0 and 1), or inside one block whose rows are all of side 0."""
     keys, sizes, sets = _sets(table)
     side = table["side"].to_numpy()
-    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    if len(right):
-        common = overlaps([sets[i] for i in left], [sets[i] for i in right])
-        a, b = np.nonzero(linked(common, sizes[left][:, None], sizes[right][None, :]))
-        pairs = np.stack([left[a], right[b]], 1)
-    else:
-        common = overlaps(sets, sets)
-        pairs = np.argwhere(np.triu(linked(common, sizes[:, None], sizes[None, :]), 1))
-    found = forest(keys, pairs)
-    return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+    first, second = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    if len(second):
+        gaps = table["gap"].to_numpy()
+        return _edges(forest(keys, across(first, second, sizes, sets, None if np.isnan(gaps).any() else gaps)))
+    pairs = across(first, first, sizes, sets)
+    return _edges(forest(keys, pairs[pairs[:, 0] < pairs[:, 1]]))
 
 
 def _blocks(size: str) -> Column:
@@ -321,25 +394,34 @@ def _block(size: str) -> Column:
     return F.pmod(F.xxhash64("class", F.lit(11)), _blocks(size)).cast("int")
 
 
-def _all_blocks(members: DataFrame) -> DataFrame:
-    """Links of regions of any size: every two blocks of a region meet. members: region, many, class, size, data."""
-    cut = members.withColumn("block", _block("many")).withColumn("other", F.explode(F.sequence(F.lit(0), _blocks("many") - 1)))
-    cut = cut.select(
-        "region", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-        (F.col("block") > F.col("other")).cast("int").alias("side"), "class", "size", "data",
-    )
-    return cut.groupBy("region", "low", "high").applyInArrow(join_block, EDGES)
+def _bands(members: DataFrame) -> DataFrame:
+    """Links of large parts without regions. members: region, class, size, data. Linked sets differ in size by a factor of
+    4/3 at most, so they lie in the same or in neighbouring bands of a logarithmic scale; a band is cut into blocks, and
+    the blocks of a band meet each other and those of the next."""
+    cut = members.withColumn("band", F.floor(F.log(F.col("size").cast("double")) / math.log(100 / PERCENT) + 1e-9).cast("int"))
+    counts = written(cut.groupBy("region", "band").agg(F.count("*").alias("many")), "bands")
+    after = counts.select("region", (F.col("band") - 1).alias("band"), F.col("many").alias("next_many"))
+    before = counts.select("region", (F.col("band") + 1).alias("band"), F.col("many").alias("last_many"))
+    cut = cut.join(counts.join(after, ["region", "band"], "left").join(before, ["region", "band"], "left"), ["region", "band"]).withColumn("block", _block("many"))
+    kept = ["class", "size", "data", F.lit(float("nan")).alias("gap")]
+    inner = cut.withColumn("other", F.explode(F.sequence(F.lit(0), _blocks("many") - 1)))
+    inner = inner.select("region", F.col("band").alias("low_band"), F.col("band").alias("high_band"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), (F.col("block") > F.col("other")).cast("int").alias("side"), *kept)
+    up = cut.where("next_many is not null").withColumn("other", F.explode(F.sequence(F.lit(0), _blocks("next_many") - 1)))
+    up = up.select("region", F.col("band").alias("low_band"), (F.col("band") + 1).alias("high_band"), F.col("block").alias("low"), F.col("other").alias("high"), F.lit(0).alias("side"), *kept)
+    down = cut.where("last_many is not null").withColumn("other", F.explode(F.sequence(F.lit(0), _blocks("last_many") - 1)))
+    down = down.select("region", (F.col("band") - 1).alias("low_band"), F.col("band").alias("high_band"), F.col("other").alias("low"), F.col("block").alias("high"), F.lit(1).alias("side"), *kept)
+    return inner.unionByName(up).unionByName(down).groupBy("region", "low_band", "high_band", "low", "high").applyInArrow(join_block, EDGES)
 
 
 def _level(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One level of pivots. members: region, many, class, size, weight, data. Returns links, and the classes in no cell."""
+    """One level of pivots. members: region, many, class, size, weight, data. Returns links, and the classes in no region."""
     salt = F.pmod(F.xxhash64("class", F.lit(5)), F.lit(PIVOTS)).cast("int")
     best = members.groupBy("region", "many", salt.alias("salt")).agg(F.max(F.struct("weight", "class")).alias("best"))
     pivots = best.select("region", F.col("many").alias("region_many"), "salt", F.col("best.class").alias("class")).join(members.select("class", "size", "data"), "class")
     pivots = pivots.select("region", F.explode(F.sequence(F.lit(0), F.ceil(F.col("region_many") / BLOCK).cast("int") - 1)).alias("block"), "salt", "class", "size", "data")
     asked = members.select("region", _block("many").alias("block"), F.lit(-1).alias("salt"), "class", "size", "data").unionByName(pivots)
-    # cells: (pivot's number, whether the class is at home there); a class without a home has a row with cell -1
-    out = "region long, class long, cell int, home boolean, pivot long"
+    # cells: (pivot's number, whether the class is at home there, distance); a class without a home has a row with cell -1
+    out = "region long, class long, cell int, home boolean, pivot long, gap double"
 
     def measure(table: pa.Table) -> pa.Table:
         keys, sizes, sets = _sets(table)
@@ -354,27 +436,33 @@ def _level(members: DataFrame) -> tuple[DataFrame, DataFrame]:
         rows = []
         for i, row in enumerate(own):
             home = int(np.where(inside[i], likeness[i], -1.0).argmax()) if inside[i].any() else -1
-            rows.append((region, int(keys[row]), int(salts[centres[home]]) if home >= 0 else -1, True, int(keys[centres[home]]) if home >= 0 else None))
-            # of two cells the earlier one's classes visit the later one; those without a home visit all that they can reach
-            rows += [(region, int(keys[row]), int(salts[centres[c]]), False, None) for c in np.flatnonzero(near[i]) if home < c]
-        return pa.table({n: pa.array(c, t) for n, c, t in zip(("region", "class", "cell", "home", "pivot"), zip(*rows, strict=True) if rows else [[]] * 5, (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int64()), strict=True)})
+            rows.append((region, int(keys[row]), int(salts[centres[home]]) if home >= 0 else -1, True, int(keys[centres[home]]) if home >= 0 else None, 1 - likeness[i, home] if home >= 0 else None))
+            # of two regions the earlier one's classes visit the later one; those without a home visit all that they can reach
+            rows += [(region, int(keys[row]), int(salts[centres[c]]), False, None, 1 - likeness[i, c]) for c in np.flatnonzero(near[i]) if home < c]
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.float64())
+        return pa.table({n: pa.array(c, t) for n, c, t in zip(("region", "class", "cell", "home", "pivot", "gap"), zip(*rows, strict=True) if rows else [[]] * 6, kinds, strict=True)})
 
     cells = written(asked.groupBy("region", "block").applyInArrow(measure, out), "cells")
     stars = cells.where("home and cell >= 0 and class <> pivot").select(F.col("class").alias("a"), F.col("pivot").alias("b"))
-    counts = cells.where("cell >= 0").groupBy("region", "cell").agg(F.count_if("home").alias("homes"), F.count_if(~F.col("home")).alias("visits"))
-    met = cells.where("cell >= 0").join(counts.where("homes > 0 and visits > 0"), ["region", "cell"]).select("region", "cell", "class", "home", "homes", "visits")
+    reach = RADIUS + 1e-9
+    counts = cells.where("cell >= 0").groupBy("region", "cell").agg(
+        F.count_if("home").alias("homes"), F.count_if(~F.col("home")).alias("visits"), F.min(F.when(~F.col("home"), F.col("gap"))).alias("nearest"), F.max(F.when(F.col("home"), F.col("gap"))).alias("farthest")
+    )
+    # the window: a home too near to its pivot for the nearest visitor, or a visitor too far for the farthest home, has no link
+    met = cells.where("cell >= 0").join(counts.where("homes > 0 and visits > 0"), ["region", "cell"])
+    met = met.where(F.when(F.col("home"), F.col("gap") >= F.col("nearest") - reach).otherwise(F.col("gap") <= F.col("farthest") + reach))
     met = met.withColumn("block", F.when(F.col("home"), _block("homes")).otherwise(_block("visits")))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("home"), _blocks("visits")).otherwise(_blocks("homes")) - 1)))
-    met = met.select("region", "cell", F.when(F.col("home"), F.col("block")).otherwise(F.col("other")).alias("low"), F.when(F.col("home"), F.col("other")).otherwise(F.col("block")).alias("high"), F.when(F.col("home"), 0).otherwise(1).alias("side"), "class")
+    met = met.select("region", "cell", F.when(F.col("home"), F.col("block")).otherwise(F.col("other")).alias("low"), F.when(F.col("home"), F.col("other")).otherwise(F.col("block")).alias("high"), F.when(F.col("home"), 0).otherwise(1).alias("side"), "gap", "class")
     met = met.join(members.select("class", "size", "data"), "class")
-    across = met.groupBy("region", "cell", "low", "high").applyInArrow(join_block, EDGES)
-    rest = cells.where("cell < 0").select("region", "class")
-    return stars.unionByName(across), rest
+    # a group with visitors only would take them for one block
+    meet = lambda table: join_block(table) if 0 in table["side"].to_pylist() and 1 in table["side"].to_pylist() else _edges([])
+    return stars.unionByName(met.groupBy("region", "cell", "low", "high").applyInArrow(meet, EDGES)), cells.where("cell < 0").select("region", "class")
 
 
-def links(docs: DataFrame, shingles: int) -> DataFrame:
-    """a, b: links between classes whose connected components are those of all links."""
-    classes = written(survivors(docs, shingles), "classes")
+def links(docs: DataFrame, shingles: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b: links between classes whose connected components are those of all links; key, class: the classes)."""
+    classes = written(survivors(docs, shingles).withColumn("class", F.monotonically_increasing_id()), "classes")
     sets = written(sets_table(docs, classes), "sets")
     held = sets.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     at = written(anchors(sets, held), "anchors")
@@ -382,46 +470,47 @@ def links(docs: DataFrame, shingles: int) -> DataFrame:
     stars = at.join(centre, "shingle").where("class <> b").select(F.col("class").alias("a"), "b")
     region = written(connected(stars).select(F.col("node").alias("class"), F.col("label").alias("region")), "regions")
     weights = at.groupBy("class").agg(F.max("weight").alias("weight"))
-    members = region.join(weights, "class").join(sets, "class")
-    found = None
-    for level in range(LEVELS + 1):
-        sized = written(region.groupBy("region").agg(F.count("*").alias("many")), "sizes")
-        members = members.drop("many").join(sized, "region")
-        large = sized.where(F.col("many") > BLOCK).limit(1).count()
-        last = level == LEVELS or not large
-        part = _all_blocks(members if last else members.where(F.col("many") <= BLOCK))
-        found = part if found is None else found.unionByName(part)
-        if last:
-            return found
+    sized = written(region.groupBy("region").agg(F.count("*").alias("many")), "sizes")
+    members = region.join(weights, "class").join(sets, "class").join(sized, "region")
+    found = members.where(F.col("many") <= BLOCK).groupBy("region").applyInArrow(join_region, EDGES)
+    while sized.where(F.col("many") > BLOCK).limit(1).count():
         big = written(members.where(F.col("many") > BLOCK), "members")
         more, rest = _level(big)
         found = found.unionByName(more)
         region = written(rest, "rest")
-        members = region.join(big.drop("region", "many"), "class")
+        left = written(region.groupBy("region").agg(F.count("*").alias("left")).join(sized, "region"), "left")
+        sized = left.where("left * 2 <= many").select("region", F.col("left").alias("many"))  # pivots go on where they divide
+        rows = region.join(big.drop("region", "many"), "class")
+        found = found.unionByName(_bands(rows.join(left.where("left * 2 > many").select("region"), "region")))
+        members = rows.join(sized, "region")
+        found = found.unionByName(members.where(F.col("many") <= BLOCK).groupBy("region").applyInArrow(join_region, EDGES))
+    return found, classes
 
 
 def link_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id: the smallest doc_id reachable over links, itself included.
 
     Texts without words (null, empty, blank) have no shingles and are linked with nothing. Rows of equal sets are linked;
-    rows that repeat come out as often. A null doc_id takes part in links, and names no component unless it is alone.
-    Classes are told apart by 64-bit keys of their sets, shingles by 64-bit hashes. Empty table: no rows.
+    rows that repeat come out as often; other columns are not read, whatever their names. A null doc_id takes part in
+    links, and names no component unless it is alone. Sets are told apart by 128 bits, shingles of a pair by 64. Empty
+    table: no rows.
     """
     rows = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].alias("text"))
-    told = written(describe(rows), "described")
+    told = written(describe(rows), "described", keep=True)
     total = told.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
-    classes = told.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
+    named = told.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("component_id"))
     if total:
-        labels = connected(written(links(rows, total), "links"))
-        label = classes.join(labels.withColumnRenamed("node", "class"), "class", "left").select("class", "least", F.coalesce("label", "class").alias("label"))
-        label = written(label, "labels")
-        named = label.groupBy("label").agg(F.min("least").alias("component_id"))
-        classes = label.join(named, "label").select("class", "component_id")
-    else:
-        classes = classes.select("class", F.col("least").alias("component_id"))
-    out = told.where("n_shingles > 0").join(classes, "class").select("doc_id", "n_shingles", "component_id")
+        with temporary():
+            found, classes = links(rows, total)
+            labels = connected(written(found, "links"))
+            label = classes.join(labels.withColumnRenamed("node", "class"), "class").select("key", "label")
+            label = written(named.join(label, "key"), "labels", keep=True)
+        linked_ = label.join(label.groupBy("label").agg(F.min("component_id").alias("least")), "label").select("key", "least")
+        named = named.join(linked_, "key", "left").select("key", F.coalesce("least", "component_id").alias("component_id"))
+    out = told.where("n_shingles > 0").join(named, "key").select("doc_id", "n_shingles", "component_id")
     return out.unionByName(told.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document of the table with the size of its shingle set and the smallest doc_id that it is linked to."""
     return link_documents(documents(spark, sf_dir))

@@ -244,7 +244,7 @@ def identify(docs: DataFrame, langs: list[str], pieces: dict[str, list[float]],
     at = kept.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = process_cache()
+        own = process_cache("language")
         if own.get("language_model") != token:
             own.update(language_model=token, language_scorer=Scorer(*sent.value))
         for batch in batches:

@@ -23,7 +23,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Random numbers of the 256 bytes (A-Z have those of a-z), white space flags, powers of the base and their inverses."""
-    kept = process_cache().get("shingle_tables")
+    kept = process_cache("shingles").get("shingle_tables")
     if kept is None or len(kept[2]) < n:
         byte = np.random.default_rng(_SEED).integers(1, _MASK, 256, np.uint64, endpoint=True)
         byte[65:91] = byte[97:123]
@@ -37,7 +37,7 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
                 out[done : 2 * done] = out[:done] * np.uint64(pow(base, done, 1 << 64))
                 done *= 2
             powers.append(out)
-        kept = process_cache()["shingle_tables"] = (byte, space, *powers)
+        kept = process_cache("shingles")["shingle_tables"] = (byte, space, *powers)
     return kept
 
 
@@ -93,10 +93,11 @@ def _chunk(data: np.ndarray, offsets: np.ndarray, missing: np.ndarray) -> Iterat
             yield np.unique(runs[at[i] : at[i + 1] - WORDS + 1])
 
 
-def set_key(s: np.ndarray) -> int:
-    """A 64-bit key of the whole set, as a signed number."""
-    if not len(s):
-        return 0
-    h = mix(s ^ np.uint64(0xA0761D6478BD642F))
-    whole = (int(h.sum()) ^ (int(np.bitwise_xor.reduce(h)) * _BASE) ^ len(s)) & _MASK
-    return whole - (1 << 64) if whole >> 63 else whole
+def set_key(s: np.ndarray) -> bytes:
+    """A key of the whole set, 128 bits."""
+    out = b""
+    for salt in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB):
+        h = mix(s ^ np.uint64(salt))
+        whole = ((int(h.sum(dtype=np.uint64)) ^ (int(np.bitwise_xor.reduce(h)) * _BASE) ^ len(s)) & _MASK) if len(s) else 0
+        out += whole.to_bytes(8, "little")
+    return out

@@ -204,7 +204,7 @@ def score_documents(docs: DataFrame, model: Model, text_column: str = "text") ->
     docs, at, token = docs.select(*kept), kept.index(text_column), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = process_cache()
+        own = process_cache("toxicity")
         if own.get("toxic_key") != token:
             own["toxic_key"], own["toxic"] = token, model.matcher()
         for batch in batches:

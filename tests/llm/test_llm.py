@@ -99,6 +99,56 @@ def test_jaccard(docs, none):
     assert jaccard.link_documents(twice).count() == 10
 
 
+def clustered(draw, groups, each, words=60):
+    """Sets in groups of near copies, and what links them."""
+    sets = []
+    for g in range(groups):
+        base = [g * 10_000 + i for i in range(words)]
+        for k in range(each):
+            own = list(base)
+            for _ in range(draw.randint(0, 6)):
+                own[draw.randrange(words)] = g * 10_000 + 5_000 + draw.randrange(2_000)
+            sets.append(np.unique(np.array(own, np.uint64)))
+    sets = [np.array(s, np.uint64) for s in sorted({tuple(s.tolist()) for s in sets})]
+    pairs = [(a, b) for a in range(len(sets)) for b in range(a) if 100 * len(np.intersect1d(sets[a], sets[b])) >= 75 * len(np.union1d(sets[a], sets[b]))]
+    return sets, pairs
+
+
+def labels_of(n, pairs):
+    parent = list(range(n))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        parent[max(root(a), root(b))] = min(root(a), root(b))
+    return [root(x) for x in range(n)]
+
+
+def test_pivots_join_a_part():
+    sets, pairs = clustered(random.Random(3), 4, 25)
+    sizes, n = np.array([len(s) for s in sets]), len(sets)
+    found, pivots, tests = jaccard.join_part(np.arange(n), sizes, sets, np.ones(n))
+    assert labels_of(n, found) == labels_of(n, pairs)
+    assert 4 <= pivots < n / 2 and tests + pivots * n < n * (n - 1) / 2
+
+
+def test_pivots_and_bands_join_large_parts(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 8)
+    sets, pairs = clustered(random.Random(4), 5, 12)
+    n = len(sets)
+    members = spark.createDataFrame([(1, n, k, len(s), 1.0 + k % 7, s.astype("<u8").tobytes()) for k, s in enumerate(sets)], "region long, many long, class long, size long, weight double, data binary")
+    star, rest = jaccard._level(members)
+    found, left = [(r.a, r.b) for r in star.collect()], [r["class"] for r in rest.collect()]
+    assert len(left) < n - 8  # the pivots' regions took more than the pivots
+    inside = [(a, b) for a, b in pairs if a in left and b in left]
+    assert labels_of(n, found + inside) == labels_of(n, pairs)
+    bands = [(r.a, r.b) for r in jaccard._bands(members).collect()]
+    assert labels_of(n, bands) == labels_of(n, pairs)
+
+
 def test_components(spark):
     draw = random.Random(2)
     pairs = [(draw.randrange(400), draw.randrange(400)) for _ in range(250)] + [(k, k + 1) for k in range(1000, 1100)]
