@@ -398,7 +398,7 @@ def _bands(members: DataFrame) -> DataFrame:
     """Links of large parts without regions. members: region, class, size, data. Linked sets differ in size by a factor of
     4/3 at most, so they lie in the same or in neighbouring bands of a logarithmic scale; a band is cut into blocks, and
     the blocks of a band meet each other and those of the next."""
-    cut = members.withColumn("band", F.floor(F.log(F.col("size").cast("double")) / math.log(100 / PERCENT) + 1e-9).cast("int"))
+    cut = members.select("region", "class", "size", "data").withColumn("band", F.floor(F.log(F.col("size").cast("double")) / math.log(100 / PERCENT) + 1e-9).cast("int"))
     counts = written(cut.groupBy("region", "band").agg(F.count("*").alias("many")), "bands")
     after = counts.select("region", (F.col("band") - 1).alias("band"), F.col("many").alias("next_many"))
     before = counts.select("region", (F.col("band") + 1).alias("band"), F.col("many").alias("last_many"))

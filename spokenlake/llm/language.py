@@ -7,6 +7,7 @@ its words. The probabilities are learned by expectation-maximisation (forward-ba
 
 from __future__ import annotations
 
+import math
 import unicodedata
 import uuid
 from collections import Counter
@@ -17,10 +18,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, process_cache
+from .common import documents, forget, process_cache, written
 
 UNDETERMINED = "und"
-LONGEST_PIECE = 12
 #: Documents of each language to learn from, about; and rounds of expectation-maximisation.
 SAMPLE_DOCUMENTS = 150
 ROUNDS = 2
@@ -29,8 +29,9 @@ UNKNOWN, PRIOR = 1e-9, 0.02
 MEMO_WORDS = 300_000
 #: Documents whose words are scored together.
 SLICE = 256
-#: Code points of a word beyond this are scored as further words, so that one word takes bounded time for each code point.
-WORD_SPLIT = 24
+#: Words up to so many code points are summed together as plain numbers; longer ones alone and as logarithms, so that
+#: their small probabilities stay above zero. Both give the same sums.
+PLAIN = 24
 
 
 def public_pieces(path: str) -> list[str]:
@@ -39,7 +40,7 @@ def public_pieces(path: str) -> list[str]:
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = (model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)))
-    return sorted({p.lower() for p in pieces if len(p) <= LONGEST_PIECE})
+    return sorted({p.lower() for p in pieces})
 
 
 def raw_words(text: str) -> Counter:
@@ -51,9 +52,8 @@ def letters_of(word: str) -> str:
     return word if word.isalpha() else "".join(c for c in word if c.isalpha())
 
 
-def parts_of(word: str) -> list[str]:
-    marked = "▁" + word
-    return [marked[i : i + WORD_SPLIT] for i in range(0, len(marked), WORD_SPLIT)]
+def marked(word: str) -> str:
+    return "▁" + word
 
 
 def trie_of(pieces: dict) -> dict:
@@ -67,24 +67,28 @@ def trie_of(pieces: dict) -> dict:
     return root
 
 
-def forward(parts: list[str], trie: dict, probabilities: np.ndarray) -> np.ndarray:
-    """For each part the summed probability of all its segmentations, by language.
+def forward(words: list[str], trie: dict, probabilities: np.ndarray, longest: int) -> np.ndarray:
+    """For each word the logarithm of the summed probability of all its segmentations, by language. longest: code points of
+    the longest piece.
 
-    The trie gives the pieces' row numbers. Parts of one length go forward together, position by position: the sum at a
+    The trie gives the pieces' row numbers. Words of one length go forward together, position by position: the sum at a
     position adds, for each piece that ends there, the sum where it begins times its probability.
     """
-    out = np.zeros((len(parts), probabilities.shape[1]))
+    out = np.zeros((len(words), probabilities.shape[1]))
     by_size: dict[int, list[int]] = {}
-    for k, part in enumerate(parts):
-        by_size.setdefault(len(part), []).append(k)
+    for k, word in enumerate(words):
+        if len(word) > PLAIN:
+            out[k] = forward_long(word, trie, probabilities)
+        else:
+            by_size.setdefault(len(word), []).append(k)
     for n, group in by_size.items():
-        most = min(n, LONGEST_PIECE)
+        most = min(n, longest)
         where, rows = [], []
         for w, k in enumerate(group):
-            part, base = parts[k], w * n * most
+            word, base = words[k], w * n * most
             for i in range(n):
                 node, at = trie, base + i * most
-                for c in part[i : i + most]:
+                for c in word[i : i + most]:
                     node = node.get(c)
                     if node is None:
                         break
@@ -104,10 +108,38 @@ def forward(parts: list[str], trie: dict, probabilities: np.ndarray) -> np.ndarr
                 rows_ = table[:, j - size, size - 1]
                 if rows_.any():
                     sums[j] += sums[j - size] * probabilities[rows_]
-        out[group] = sums[n]
+        out[group] = np.log(sums[n])
     return out
 
 
+def forward_long(word: str, trie: dict, probabilities: np.ndarray) -> np.ndarray:
+    """The same for one word of any length, in time and memory proportional to it; sums are kept as a number and the
+    logarithm of a factor."""
+    n = len(word)
+    ahead: dict[int, np.ndarray] = {0: np.ones(probabilities.shape[1])}
+    scale = np.zeros(probabilities.shape[1])
+    for i in range(n):
+        sums = ahead.pop(i)
+        node, single = trie, False
+        for j in range(i, n):
+            node = node.get(word[j])
+            if node is None:
+                break
+            row = node.get(None)
+            if row is not None:
+                single |= j == i
+                part = sums * probabilities[row]
+                ahead[j + 1] = ahead[j + 1] + part if j + 1 in ahead else part
+        if not single:
+            part = sums * probabilities[1]
+            ahead[i + 1] = ahead[i + 1] + part if i + 1 in ahead else part
+        if i % 16 == 15:  # what lies ahead, relative to the next position
+            unit = ahead[i + 1]
+            scale += np.log(unit)
+            ahead = {k: v / unit for k, v in ahead.items()}
+    return scale + np.log(ahead[n])
+
+
 class Scorer:
     """Words' log probabilities by language, kept for up to MEMO_WORDS words of a process."""
 
@@ -115,20 +147,18 @@ class Scorer:
         self.langs = langs
         self.trie = trie_of({p: i + 2 for i, p in enumerate(pieces)})
         self.probabilities = np.array([[0.0] * len(langs), [UNKNOWN] * len(langs), *pieces.values()]) if langs else np.zeros((2, 0))
+        self.longest = max(map(len, pieces), default=1)
         self.rows: dict[str, int] = {}
         self.logs = np.zeros((0, len(langs)))
 
     def learn(self, words: list[str]) -> None:
         if len(self.rows) + len(words) > MEMO_WORDS:
             self.rows, self.logs = {}, self.logs[:0]
-        parts, owner = [], []
-        for k, w in enumerate(words):
-            for part in parts_of(letters_of(w)) if letters_of(w) else ():
-                parts.append(part)
-                owner.append(k)
+        bare = [letters_of(w) for w in words]
+        owner = [k for k, w in enumerate(bare) if w]
         new = np.zeros((len(words), len(self.langs)))
-        if parts:
-            np.add.at(new, owner, np.log(np.maximum(forward(parts, self.trie, self.probabilities), 1e-300)))
+        if owner:
+            new[owner] = forward([marked(bare[k]) for k in owner], self.trie, self.probabilities, self.longest)
         first = len(self.rows)
         self.rows.update((w, first + k) for k, w in enumerate(words))
         self.logs = np.concatenate([self.logs[:first], new])
@@ -144,39 +174,66 @@ class Scorer:
             rows = np.fromiter(map(self.rows.__getitem__, seen), np.int64, len(seen))
             logs, times = self.logs[rows], np.fromiter(seen.values(), np.float64, len(seen))
             told = logs[:, :1].any(1) if len(self.langs) else np.zeros(0, bool)  # words without letters have no log
-            n = times[told].sum()
-            if not n:
+            if not told.any():
                 yield UNDETERMINED, 0.0
                 continue
             sums = times @ logs
             best = int(sums.argmax())
-            yield self.langs[best], float(1.0 / np.exp(min(n, 40) / n * (sums - sums[best])).sum())
+            yield self.langs[best], float(1.0 / np.exp(sums - sums[best]).sum())
 
 
-def expected(part: str, weight: float, trie: dict, counts: Counter) -> None:
-    """Adds the expected count of each piece over all segmentations of a part."""
-    n = len(part)
-    ahead = [1.0] + [0.0] * n
-    back = [0.0] * n + [1.0]
-    edges = []
-    for i in range(n):
-        node = trie
-        for j in range(i, n):
-            node = node.get(part[j])
+def edges_of(word: str, trie: dict) -> Iterator[tuple[int, int, float]]:
+    """Begin, end and probability of each piece of the word, by begin; a code point without a piece of its own is one."""
+    for i in range(len(word)):
+        node, single = trie, False
+        for j in range(i, len(word)):
+            node = node.get(word[j])
             if node is None:
                 break
             if None in node:
-                edges.append((i, j + 1, node[None]))
-                ahead[j + 1] += ahead[i] * node[None]
-        if None not in trie.get(part[i], ()):
-            edges.append((i, i + 1, UNKNOWN))
-            ahead[i + 1] += ahead[i] * UNKNOWN
+                single |= j == i
+                yield i, j + 1, node[None]
+        if not single:
+            yield i, i + 1, UNKNOWN
+
+
+def expected(word: str, weight: float, trie: dict, counts: Counter) -> None:
+    """Adds the expected count of each piece over all segmentations of a word, by sums forward and backward."""
+    if len(word) > PLAIN:
+        expected_long(word, weight, trie, counts)
+        return
+    n = len(word)
+    ahead, back = [1.0] + [0.0] * n, [0.0] * n + [1.0]
+    edges = list(edges_of(word, trie))
+    for i, j, p in edges:
+        ahead[j] += ahead[i] * p
     for i, j, p in reversed(edges):
         back[i] += p * back[j]
     for i, j, p in edges:
-        share = ahead[i] * p * back[j] / ahead[n]
-        if share > 1e-6:
-            counts[part[i:j]] += weight * share
+        counts[word[i:j]] += weight * (ahead[i] * p * back[j] / ahead[n])
+
+
+def expected_long(word: str, weight: float, trie: dict, counts: Counter) -> None:
+    """The same with a power of two for each position, so that sums over words of any length stay above zero."""
+    n = len(word)
+    ahead, back = [1.0] + [0.0] * n, [0.0] * n + [1.0]
+    up, down = [0] * (n + 1), [0] * (n + 1)
+
+    def add(values: list[float], powers: list[int], at: int, value: float, power: int) -> None:
+        value, more = math.frexp(value)
+        power += more
+        if values[at] == 0.0 or power > powers[at]:
+            values[at], powers[at] = value + math.ldexp(values[at], max(-1000, powers[at] - power)), power
+        else:
+            values[at] += math.ldexp(value, max(-1000, power - powers[at]))
+
+    edges = list(edges_of(word, trie))
+    for i, j, p in edges:
+        add(ahead, up, j, ahead[i] * p, up[i])
+    for i, j, p in reversed(edges):
+        add(back, down, i, p * back[j], down[j])
+    for i, j, p in edges:
+        counts[word[i:j]] += weight * math.ldexp(ahead[i] * p * back[j] / ahead[n], max(-1000, min(1000, up[i] + down[j] - up[n])))
 
 
 def learn(rows: DataFrame, vocabulary: list[str], sample: int = SAMPLE_DOCUMENTS, rounds: int = ROUNDS) -> tuple[list[str], dict[str, list[float]]]:
@@ -203,7 +260,7 @@ def learn(rows: DataFrame, vocabulary: list[str], sample: int = SAMPLE_DOCUMENTS
                         seen[lang, w] += n
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.string()), pa.array(list(seen.values()), pa.int64())], names=["lang", "word", "n"])
 
-    words = taken.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).persist()
+    words = written(taken.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "words", keep=True)
     even = 1.0 / len(vocabulary)
     model = {lang: dict.fromkeys(vocabulary, even) for lang in langs}
     for _ in range(rounds):
@@ -216,8 +273,7 @@ def learn(rows: DataFrame, vocabulary: list[str], sample: int = SAMPLE_DOCUMENTS
                 for lang, word, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     if lang not in tries:
                         tries[lang] = trie_of(sent.value[lang])
-                    for part in parts_of(word):
-                        expected(part, n, tries[lang], sums.setdefault(lang, Counter()))
+                    expected(marked(word), n, tries[lang], sums.setdefault(lang, Counter()))
             flat = [(lang, p, v) for lang, c in sums.items() for p, v in c.items() if p in sent.value[lang]]
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in flat], t) for i, t in enumerate((pa.string(), pa.string(), pa.float64()))], names=["lang", "piece", "n"])
 
@@ -229,14 +285,16 @@ def learn(rows: DataFrame, vocabulary: list[str], sample: int = SAMPLE_DOCUMENTS
             whole = sum(counts[lang].values()) + PRIOR * len(vocabulary)
             model[lang] = {p: (counts[lang].get(p, 0.0) + PRIOR) / whole for p in vocabulary}
         sent.unpersist()
-    words.unpersist()
+    forget(words)
     return langs, {p: [model[lang][p] for lang in langs] for p in vocabulary}
 
 
 def identify(docs: DataFrame, langs: list[str], pieces: dict[str, list[float]], text_column: str = "text") -> DataFrame:
-    """docs with lang_pred and score, the winner's posterior under equal priors with the evidence of at most 40 words.
+    """docs with lang_pred and score, the winner's posterior under equal priors.
 
     ``und`` with score 0 where the text is null, has no letter, or no language was learned. Ties go to the first language.
+    Rows that repeat give a row each, and an empty table none; words and texts of any length are scored whole. All other
+    columns pass through; columns lang_pred and score are replaced.
     """
     sent, token = docs.sparkSession.sparkContext.broadcast((langs, pieces)), uuid.uuid4().hex
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
@@ -274,6 +332,8 @@ def learned(docs: DataFrame, path: str | None = None) -> tuple[list[str], dict[s
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of each document, told by a model of those outside the held-out fifth; a null doc_id is not held out,
+    and nothing is learned from it."""
     docs = documents(spark, sf_dir)
     rows = docs.select("doc_id", F.coalesce(fold_of("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "text")
     return identify(rows, *learned(docs)).select("doc_id", "held_out", "lang_pred", "score")

@@ -210,7 +210,32 @@ def test_forward_sums_all_segmentations():
         return 1.0 if not w else sum((pieces[w[:j]][k] if w[:j] in pieces else language.UNKNOWN if j == 1 else 0.0) * brute(w[j:], k) for j in range(1, len(w) + 1))
 
     words = ["▁ab", "▁abb", "▁bbabx", "x", "▁"]
-    assert np.allclose(language.forward(words, trie, table), [[brute(w, k) for k in range(2)] for w in words], rtol=1e-9)
+    assert np.allclose(np.exp(language.forward(words, trie, table, 3)), [[brute(w, k) for k in range(2)] for w in words], rtol=1e-9)
+    for w in ("▁abbabab", "▁" + "ab" * 11):
+        assert np.allclose(language.forward_long(w, trie, table), language.forward([w], trie, table, 3)[0], rtol=1e-12)
+    endless = language.forward(["▁" + "abx" * 50_000], trie, table, 3)
+    assert np.isfinite(endless).all() and endless[0, 0] < -1e5
+
+
+def segmentations(w):
+    return [[]] if not w else [[w[:j], *rest] for j in range(1, len(w) + 1) for rest in segmentations(w[j:])]
+
+
+def test_expected_counts_cover_all_segmentations():
+    pieces = {"▁a": 0.1, "b": 0.3, "▁ab": 0.05, "a": 0.2, "▁": 0.1, "bb": 0.01, "bab": 0.02}
+    for word in ("▁ab", "▁abbab", "▁xbab", "b"):
+        want, whole = collections.Counter(), 0.0
+        for parts in segmentations(word):
+            p = np.prod([pieces[x] if x in pieces else language.UNKNOWN if len(x) == 1 else 0.0 for x in parts])
+            whole += p
+            for x in parts:
+                want[x] += p
+        got = collections.Counter()
+        language.expected(word, 2.0, language.trie_of(pieces), got)
+        assert all(np.isclose(got[x], 2 * v / whole, rtol=1e-9) for x, v in want.items())
+    long = collections.Counter()
+    language.expected("▁" + "xab" * 3000, 1.0, language.trie_of(pieces), long)
+    assert abs(sum(len(k) * v for k, v in long.items()) - 9001) < 1e-3
 
 
 def test_toxicity(spark, docs, none):
@@ -332,6 +357,30 @@ def test_mixing(docs, none):
     assert mixing.mix_documents(none)[0].count() == 0
 
 
+def test_multinomial(spark):
+    drawn = spark.range(4000).select(mixing.multinomial(F.lit(200), 8, F.col("id")).alias("c")).collect()
+    counts = np.array([r.c for r in drawn])
+    assert counts.shape == (4000, 8) and (counts.sum(1) == 200).all()
+    assert np.allclose(counts.mean(0), 25, atol=0.4) and np.allclose(counts.var(0), 200 / 8 * 7 / 8, rtol=0.12)
+    assert abs(np.corrcoef(counts[:, 0], counts[:, 1])[0, 1] + 1 / 7) < 0.06
+    none = spark.range(1).select(mixing.multinomial(F.lit(0), 4, F.col("id")).alias("c")).first().c
+    assert none == [0, 0, 0, 0]
+
+
+def test_slots_follow_the_draws(docs):
+    taken, slots = mixing.mix_documents(docs, block_words=8)
+    got = slots.collect()
+    assert {r.shard for r in got} == set(range(mixing.SHARDS))
+    by = collections.defaultdict(list)
+    for r in got:
+        by[r.source].append((r.position, r.shard, r.block))
+    for rows_ in by.values():
+        rows_.sort()
+        assert [p for p, _, _ in rows_] == list(range(len(rows_)))
+        blocks = max(b for _, _, b in rows_) + 1
+        assert len({b for _, _, b in rows_[:blocks]}) == min(blocks, len(rows_))  # no block twice before all were taken
+
+
 def test_permutation(spark):
     for n in (1, 2, 3, 7, 64, 1000):
         got = spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n), F.lit(9)).alias("p")).collect()
@@ -365,7 +414,7 @@ def luhn(s):
 def test_pii(spark, docs, none):
     texts = ["a 4111 1111 1111 1111 b 4111111111111111", "joe.doe_12@mail7.example.com x", "+1 (017) 555-7713 and +1-017-555-7713", "ip 97.51.17.173 10.0.0.256", "on 2024-02-29 and 29.02.2024 but 2023-02-30", "GB82 WEST 1234 5698 7654 32", "123-45-6789 000-11-2222", "9c8b45435718dcc700c184a7e303cdc64c6a8f7f", None, "", "plain 12, 3.5 and 2024", "X" * 100_000 + "@", "1234567890123456"]
     table = spark.createDataFrame([(i, t, i) for i, t in enumerate(texts)], "doc_id long, text string, n_private long")
-    got = {r.doc_id: r for r in pii.pseudonymise(table).collect()}
+    got = {r.doc_id: r for r in pii.pseudonymise(table, "k1").collect()}
     assert [got[i].n_private for i in range(len(texts))] == [2, 1, 2, 1, 2, 1, 1, 1, 0, 0, 0, 0, 1]
     for i in range(len(texts)):
         shape = lambda t: re.sub("[A-Z]", "A", re.sub("[a-z]", "a", re.sub("[0-9]", "9", t))) if t is not None else None
@@ -378,8 +427,8 @@ def test_pii(spark, docs, none):
     iban = got[5].text.replace(" ", "")
     assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
     assert got[4].text.split()[1] == "-".join(reversed(got[4].text.split()[3].split(".")))
-    assert pii.pseudonymise(none).count() == 0
-    assert pii.pseudonymise(docs).where(F.col("n_private") > 0).count() == 0
+    assert pii.pseudonymise(none, "k1").count() == 0
+    assert pii.pseudonymise(docs, "k1").where(F.col("n_private") > 0).count() == 0
 
 
 def test_pii_beside_other_words(spark):
@@ -387,7 +436,7 @@ def test_pii_beside_other_words(spark):
     texts = [f"to {i} {w}" for i, w in zip(ibans, ("EUR", "SEK", "BBVA", "AB12"))]
     texts += ["at 2024-02-29T10:00:00Z", "2024-01-05/2024-02-05", "on 12/31/2024.", "3782 822463 10005", "6759 6498 2643 8451 007", "4111 1111 1111 1111 123", "a/2024-01-05/b 2024/13/13 13/13/2024", "1111 222222 33333"]
     table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id: r for r in pii.pseudonymise(table).collect()}
+    got = {r.doc_id: r for r in pii.pseudonymise(table, "k1").collect()}
     assert [got[i].n_private for i in range(len(texts))] == [1, 1, 1, 1, 1, 2, 1, 1, 1, 1, 0, 0]
     for i, iban in enumerate(ibans):
         new = got[i].text[3 : 3 + len(iban)]
@@ -404,6 +453,57 @@ def test_pii_beside_other_words(spark):
     assert got[9].text.endswith(" 123") and luhn(got[9].text[:19].replace(" ", ""))
 
 
+def brute_permute(value, key, tag, alphabets):
+    """The Feistel network on a string, in plain Python."""
+    half = len(value) // 2
+    a, b = value[:half], value[half:]
+
+    def turn(part, other, r):
+        mask = hashlib.sha256("|".join([key, tag, str(r), str(len(value)), other]).encode()).digest()
+        out = ""
+        for i, c in enumerate(part):
+            for alphabet in alphabets:
+                if c in alphabet:
+                    c = alphabet[(alphabet.index(c) + mask[i % 32]) % len(alphabet)]
+                    break
+            out += c
+        return out
+
+    for r in range(pii.ROUNDS):
+        a, b = (turn(a, b, r), b) if r % 2 == 0 else (a, turn(b, a, r))
+    return a + b
+
+
+def test_pii_against_brute_force(spark):
+    draw = random.Random(6)
+    digits = lambda n: "".join(draw.choices("0123456789", k=n))
+    numbers = [digits(n) for n in (13, 20, 31)]
+    tokens = ["".join(draw.choices("0123456789abcdef", k=n)) for n in (32, 64, 128)] + ["".join(draw.choices("abcdef", k=40))]
+    mails = ["Joe.Doe_12@Mail7.example.com", "joe.doe_12@mail7.example.com", "a" * 90 + "@x.y.z.a.b.c.d.e.f.g.org"]
+    texts = [*(f"n {n} e" for n in numbers if not luhn(n) or len(n) > 19), *(f"t {x} e" for x in tokens), *(f"m {m} e" for m in mails)]
+    table = spark.createDataFrame([(i, t, "f", 5) for i, t in enumerate(texts)], "doc_id long, text string, _found string, _new int")
+    out = pii.pseudonymise(table, "k1")
+    got = [r for r in out.orderBy("doc_id").collect()]
+    assert out.columns == ["doc_id", "text", "_found", "_new", "n_private"] and {(r._found, r._new) for r in got} == {("f", 5)}
+    for text, r in zip(texts, got):
+        kind, value = text[0], text[2:-2]
+        if kind == "m":
+            body, last = value.rsplit(".", 1)
+            want = brute_permute(body.lower(), "k1", "email", (pii.DIGITS, pii.LOWERS)) + "." + last
+            assert r.text[2:-2].lower() == want and [c.isupper() for c in r.text[2:-2]] == [c.isupper() for c in value]
+        else:
+            assert r.text[2:-2] == brute_permute(value, "k1", {"n": "number", "t": "secret"}[kind], (pii.DIGITS if kind == "n" else pii.HEX,))
+        assert r.n_private == 1
+    plan = out._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "k1" not in re.sub(r"[0-9a-f]{32}", "", plan)
+    phones = spark.createDataFrame([(1, "call 555 123 4567 or 5552234567; 1700000000 and 1999-12-31 or 3024-01-31")], "doc_id long, text string")
+    moved = pii.pseudonymise(phones, "k1").first()
+    assert moved.n_private == 4 and "1700000000" in moved.text
+    assert pii.pseudonymise(table.unionByName(table), "k1").distinct().count() == len(texts)
+    with pytest.raises(ValueError):
+        pii.pseudonymise(table, "")
+
+
 def test_feistel_is_a_permutation(spark):
     three = spark.range(1000).select(pii.permute_text(F.lpad(F.col("id").cast("string"), 3, "0"), F.lit("k"), "t").alias("p"))
     assert three.distinct().count() == 1000
