@@ -9,15 +9,19 @@ run, an identity token) is permuted as well; everything else is left as it is.
 
 from __future__ import annotations
 
+import uuid
+import warnings
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents
 
-#: For tests and benches; a deployment sets spark.spokenlake.pii.key.
-DEFAULT_KEY = "spokenlake-test-key"
+#: The setting that holds the secret key, and what the registered queries take, with a warning, where it is not set.
+KEY_SETTING, DEMO_KEY = "spark.spokenlake.pii.key", "spokenlake-demo-key"
 ROUNDS = 6
-#: 400 Gregorian years have 146,097 days, 189 x 773; dates are permuted among those of 1700 to 2099.
+#: 400 Gregorian years have 146,097 days, 189 x 773; dates are permuted among those of their 400 years (1700 to 2099, 2100
+#: to 2499 and so on).
 DATE_ROWS, DATE_COLUMNS, FIRST_DAY = 189, 773, "1700-01-01"
 
 # Alphabets, and the patterns of each kind in the order in which they are tried.
@@ -38,16 +42,16 @@ def _iban_pattern() -> str:
 
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 KINDS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
-    "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![A-Za-z0-9])",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}(?![A-Za-z0-9])",
+    "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![A-Za-z0-9])",
     "iban": _iban_pattern(),
     "ip": rf"(?<![0-9A-Za-z.]){OCTET}(?:\.{OCTET}){{3}}(?!\.?[0-9A-Za-z])",
     # the year first, also with a time or as one end of an interval; or last, after day and month in either order
-    "date": r"(?<![0-9A-Za-z.-])(?:(?:(?<!/)|(?<=[0-9Zz]/))(?:1[789]|20)[0-9]{2}-[01][0-9]-[0-3][0-9](?:(?![0-9A-Za-z/-])|(?=[Tt][0-9]{2}|/[0-9P]))|(?<!/)(?:(?:1[789]|20)[0-9]{2}/[01][0-9]/[0-3][0-9]|(?:[0-3][0-9]([./])[01][0-9]|[01][0-9]([./])[0-3][0-9])(?:\1|\2)(?:1[789]|20)[0-9]{2})(?![0-9A-Za-z/-]))",
+    "date": r"(?<![0-9A-Za-z.-])(?:(?:(?<!/)|(?<=[0-9Zz]/))(?:1[3-9]|[2-8][0-9]|9[0-2])[0-9]{2}-[01][0-9]-[0-3][0-9](?:(?![0-9A-Za-z/-])|(?=[Tt][0-9]{2}|/[0-9P]))|(?<!/)(?:(?:1[3-9]|[2-8][0-9]|9[0-2])[0-9]{2}/[01][0-9]/[0-3][0-9]|(?:[0-3][0-9]([./])[01][0-9]|[01][0-9]([./])[0-3][0-9])(?:\1|\2)(?:1[3-9]|[2-8][0-9]|9[0-2])[0-9]{2})(?![0-9A-Za-z/-]))",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
-    "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9A-Za-z])",
-    # 13 to 19 digits: in a row, in fours with any rest, or as 4-6-4, 4-6-5, 4-5-6, 5-4-5 and 6-7 to 6-13
-    "number": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}(?:[ -][0-9]{1,3})?|[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}|[0-9]{4}[ -][0-9]{5}[ -][0-9]{6}|[0-9]{5}[ -][0-9]{4}[ -][0-9]{5}|[0-9]{6}[ -][0-9]{7,13})(?![0-9A-Za-z])",
+    "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}|[2-9][0-9]{2}[2-9][0-9]{6})(?![0-9A-Za-z])",
+    # 13 digits or more in a row; 13 to 19 in fours with any rest, or as 4-6-4, 4-6-5, 4-5-6, 5-4-5 and 6-7 to 6-13
+    "number": r"(?<![0-9A-Za-z])(?:[0-9]{13,}+|[0-9]{4}(?:[ -][0-9]{4}){3}(?:[ -][0-9]{1,3})?|[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}|[0-9]{4}[ -][0-9]{5}[ -][0-9]{6}|[0-9]{5}[ -][0-9]{4}[ -][0-9]{5}|[0-9]{6}[ -][0-9]{7,13})(?![0-9A-Za-z])",
 }
 
 
@@ -146,11 +150,11 @@ def _card(value: Column, key: Column) -> Column:
 def _number(value: Column, key: Column) -> Column:
     """Whole if its check digit holds; else its first four fours, if they are there, without the rest, which can be a word
     of its own. Numbers that fail are permuted if they are a run or four fours, and otherwise left."""
-    holds = lambda v: F.pmod(luhn_sum(digits_of(v)), F.lit(10)) == 0
+    holds = lambda v: (F.length(digits_of(v)) <= 19) & (F.pmod(luhn_sum(digits_of(v)), F.lit(10)) == 0)
     fours = value.rlike("^[0-9]{4}([ -][0-9]{4}){3}[ -]")
     main = F.when(holds(value) | ~fours, value).otherwise(F.substr(value, F.lit(1), F.lit(19)))
     tail = F.substr(value, F.length(main) + 1, F.length(value))
-    shaped = main.rlike("^([0-9]{13,19}|[0-9]{4}([ -][0-9]{4}){3})$")
+    shaped = main.rlike("^([0-9]{13,}|[0-9]{4}([ -][0-9]{4}){3})$")
     made = F.when(holds(main), _card(main, key)).when(shaped, refill(main, permute_text(digits_of(main), key, "number")))
     return F.concat(made, tail)
 
@@ -190,7 +194,8 @@ def _date(value: Column, key: Column) -> Column:
     day = F.try_to_date(F.when(first, F.concat_ws("-", parts)).otherwise(F.concat_ws("-", F.reverse(parts))), "yyyy-MM-dd")
     american = F.when(~first & day.isNull(), F.try_to_date(F.concat_ws("-", F.slice(parts, 3, 1), F.slice(parts, 1, 2)), "yyyy-MM-dd"))
     begin = F.lit(FIRST_DAY).cast("date")
-    moved = lambda n: permute_number(n, key, "date", DATE_ROWS, DATE_COLUMNS)
+    days = DATE_ROWS * DATE_COLUMNS
+    moved = lambda n: permute_number(F.pmod(n, F.lit(days)), key, "date", DATE_ROWS, DATE_COLUMNS) + F.floor(n / days).cast("long") * days
     late = lambda n: F.dayofmonth(F.date_add(begin, n.cast("int"))) > 12
     number = F.datediff(F.coalesce(day, american), begin).cast("long")
     walked = F.reduce(F.when(american.isNotNull(), F.sequence(F.lit(1), F.lit(128))).otherwise(F.array().cast("array<int>")), moved(number), lambda n, _: F.when(late(n), n).otherwise(moved(n)))
@@ -207,10 +212,13 @@ def _phone(value: Column, key: Column) -> Column:
 
 
 def _email(value: Column, key: Column) -> Column:
-    """Name and domain are permuted in their classes; the last label stays."""
-    last = F.regexp_extract(value, r"\.[A-Za-z]{2,24}$", 0)
+    """Name and domain are permuted in their classes as small letters, and capitals stay where they were, so that spellings
+    of one address stay linked; the last label stays."""
+    last = F.regexp_extract(value, r"\.[A-Za-z]{2,}$", 0)
     body = F.substr(value, F.lit(1), F.length(value) - F.length(last))
-    return F.concat(permute_text(body, key, "email", (DIGITS, LOWERS, UPPERS)), last)
+    made = permute_text(F.translate(body, UPPERS, LOWERS), key, "email", (DIGITS, LOWERS))
+    cased = F.zip_with(F.split(made, ""), F.split(body, ""), lambda new, old: F.when(old.rlike("^[A-Z]$"), F.upper(new)).otherwise(new))
+    return F.concat(F.array_join(cased, ""), last)
 
 
 def pseudonym(value: Column, key: Column) -> Column:
@@ -229,25 +237,40 @@ def pseudonym(value: Column, key: Column) -> Column:
     )
 
 
-def pseudonymise(docs: DataFrame, key: str | None = None, text_column: str = "text") -> DataFrame:
+def key_of(spark: SparkSession) -> str:
+    """The key of KEY_SETTING; where it is not set the public demo key, with a warning: its pseudonyms can be undone by
+    anyone."""
+    found = spark.conf.get(KEY_SETTING, None)
+    if not found:
+        warnings.warn(f"{KEY_SETTING} is not set: the pseudonyms are made with a public key", stacklevel=2)
+    return found or DEMO_KEY
+
+
+def pseudonymise(docs: DataFrame, key: str, text_column: str = "text") -> DataFrame:
     """docs with its texts pseudonymised, and n_private, the number of values replaced.
 
-    Texts without candidates stay as they are, null stays null (n_private 0). All other columns pass through, whatever
-    their names; a column n_private is replaced. Runs in the scan, without a shuffle.
+    Texts without candidates stay as they are, null stays null (n_private 0); texts are read whole, whatever their length.
+    All other columns pass through, whatever their names; a column n_private is replaced. Rows that repeat come out the
+    same; empty table: no rows. The key comes as a value of a one-row table, so plans and event logs do not show it. Runs
+    in the scan, without a shuffle.
     """
-    secret = F.lit(key or docs.sparkSession.conf.get("spark.spokenlake.pii.key", DEFAULT_KEY))
-    text = docs[text_column]
-    may = text.rlike("[0-9@]")
-    found = F.when(may, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
-    step = docs.withColumn("_found", found)
-    new = F.transform("_found", lambda v: pseudonym(v, secret))
-    step = step.withColumn("_new", F.when(F.size("_found") > 0, new))
-    kept = F.zip_with("_found", "_new", lambda old, v: F.coalesce(v, old))
-    between = F.split(F.col(text_column), PATTERN, -1)
+    if not key:
+        raise ValueError(f"a secret key is needed, such as that of {KEY_SETTING}")
+    mark = uuid.uuid4().hex
+    secret, found, new, count = (f"_{n}_{mark}" for n in ("key", "found", "new", "count"))
+    given = docs.sparkSession.sql("SELECT * FROM VALUES (:secret) AS t(secret)", args={"secret": key}).scalar()
+    text = F.col(text_column)
+    may = text.rlike("[0-9@]|[a-f]{32}|[A-F]{32}")
+    step = docs.withColumn(found, F.when(may, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))).withColumn(secret, given)
+    step = step.withColumn(new, F.when(F.size(found) > 0, F.transform(found, lambda v: pseudonym(v, F.col(secret)))))
+    kept = F.zip_with(found, new, lambda old, v: F.coalesce(v, old))
+    between = F.split(text, PATTERN, -1)
     made = F.array_join(F.zip_with(between, kept, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    step = step.withColumn("n_private", F.when(F.col("_new").isNotNull(), F.size(F.filter("_new", lambda v: v.isNotNull()))).otherwise(0).cast("long"))
-    return step.withColumn(text_column, F.when(F.col("n_private") > 0, made).otherwise(F.col(text_column))).drop("_found", "_new")
+    step = step.withColumn(count, F.when(F.col(new).isNotNull(), F.size(F.filter(new, lambda v: v.isNotNull()))).otherwise(0).cast("long"))
+    step = step.withColumn(text_column, F.when(F.col(count) > 0, made).otherwise(text)).withColumn("n_private", F.col(count))
+    return step.drop(secret, found, new, count)
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudonymise(documents(spark, sf_dir)).select("doc_id", "text", "n_private")
+    """The documents' texts with pseudonyms, and how many each has."""
+    return pseudonymise(documents(spark, sf_dir), key_of(spark)).select("doc_id", "text", "n_private")
