@@ -41,8 +41,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces personal data by pseudonyms of the same format; n_chars stays right, as formats keep their length."""
-    return pii.pseudonymise(docs.select(*COLUMNS)).select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
+    """Replaces personal data by pseudonyms of the same format; n_chars is counted anew, as addresses of the
+    internet protocol can change their length."""
+    return pii.pseudonymise(docs.select(*COLUMNS), pii.key_of(spark)).select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
