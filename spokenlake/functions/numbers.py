@@ -69,6 +69,39 @@ def needs_probe(gap_ms: Column, status: Column) -> Column:
     return (status == "no_transcript") | ((status == "low_coverage") & (gap_ms > 2000))
 
 
-def boundary_loss(natural: Column, silence: Column, quietness: Column, full_silence: int = 19) -> Column:
-    quality = (2.0 / 3.0) * F.least(F.lit(1.0), silence / full_silence) + (1.0 / 3.0) * quietness
+def quietness(energy: Column, least: Column, most: Column) -> Column:
+    """1 for the quietest, 0 for the loudest; 1 where all are equal."""
+    return F.when(most == least, 1.0).otherwise(1.0 - (energy - least) / (most - least))
+
+
+def boundary_loss(natural: Column, silence: Column, quiet: Column, full_silence: int = 19) -> Column:
+    quality = (2.0 / 3.0) * F.least(F.lit(1.0), silence / full_silence) + (1.0 / 3.0) * quiet
     return F.when(natural, 0.05).otherwise(0.05 + 0.75 * (1.0 - quality))
+
+
+def segment_loss(size: Column, least: int, most: int) -> Column:
+    target = (least + most) / 2.0
+    return 0.25 * F.abs(size - target) / target + F.greatest(F.lit(0.0), (least - size) / float(least))
+
+
+def format_rate(per_minute: Column) -> Column:
+    return F.when(per_minute.isNull(), "unlimited").otherwise(F.format_string("%.2f/min", per_minute.cast("double")))
+
+
+def mono(channels: Column) -> Column:
+    """The mean of a sample's channels, clipped to 16 bits."""
+    mean = F.reduce(channels, F.lit(0.0), lambda a, x: a + x) / F.size(channels)
+    return F.greatest(F.lit(-32768), F.least(F.lit(32767), F.bround(mean, 0))).cast("int")
+
+
+def confidence(log_probs: Column) -> Column:
+    return F.exp(F.array_max(log_probs))
+
+
+def utc_text(at: Column) -> Column:
+    """ISO text of an instant, in a session whose time zone is UTC."""
+    return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def utc_label(at: Column) -> Column:
+    return F.date_format(at, "yyyyMMdd_HHmmss")

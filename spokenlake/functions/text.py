@@ -57,11 +57,55 @@ def has_speech(c: Column) -> Column:
 
 def excerpt(evidence: Column, name: Column, size: int = 300) -> Column:
     """At most ``size`` characters around the name's first place, moved back at the end; the beginning without a place."""
-    at = F.instr(F.lower(evidence), F.lower(strip(name))) - 1
+    at = F.coalesce(find_name(evidence, name), F.lit(-1))
     start = F.greatest(F.lit(0), F.least(F.length(evidence), F.greatest(F.lit(0), at - size // 2) + size) - size)
     return F.when(F.length(evidence) <= size, evidence).otherwise(F.substring(evidence, F.when(at < 0, 0).otherwise(start) + 1, F.lit(size)))
 
 
+def find_name(source: Column, name: Column) -> Column:
+    """Where the name first stands in the source, white space and case aside: a position from 0 in the source as it is, or
+    null. Each sign is folded alone, so a place is found also where folding changes lengths."""
+    kept = F.filter(F.transform(F.split(source, ""), lambda c, i: F.struct(ws_remove(F.lower(c)).alias("c"), i.alias("i"))), lambda x: x["c"] != "")
+    folded = F.array_join(F.transform(kept, lambda x: x["c"]), "")
+    at = F.instr(folded, F.lower(ws_remove(name))) - 1
+    # only where folding makes a sign longer does the place in the folded text differ from the place among the kept signs
+    plain = F.length(folded) == F.size(kept)
+    ends = lambda k: F.reduce(k, F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + F.length(x["c"]))))
+    number = F.when(plain, at).otherwise(F.array_position(F.transform(ends(F.when(~plain, kept)), lambda e: e > at), F.lit(True)).cast("int") - 2)
+    return F.when((at >= 0) & (ws_remove(name) != ""), F.get(kept, number)["i"])
+
+
+def context_excerpt(text: Column, start: Column, stop: Column, size: int = 20) -> Column:
+    """The signs around [start, stop): before, after, and whether the text goes on beyond them."""
+    low, high = F.greatest(F.lit(0), start - size), F.least(F.length(text), stop + size)
+    return F.struct(
+        F.substring(text, (low + 1).cast("int"), (start - low).cast("int")).alias("before"), F.substring(text, (stop + 1).cast("int"), (high - stop).cast("int")).alias("after"),
+        (low > 0).alias("prefix_truncated"), (high < F.length(text)).alias("suffix_truncated"),
+    )
+
+
+def segment_format(c: Column) -> Column:
+    """mp3 or wav; null for any other name."""
+    found = F.lower(strip(c))
+    return F.when(found.isin("mp3", "wav"), found)
+
+
+def plain_lines(c: Column) -> Column:
+    """A Markdown answer as plain text: lines that are a code fence out, heading marks off."""
+    c = F.regexp_replace(F.regexp_replace(c, r"\r\n?", "\n"), r"(?m)^[ \t]*```[A-Za-z0-9_-]*[ \t]*$\n?", "")
+    return strip(F.regexp_replace(c, r"(?m)^[ \t]{0,3}#{1,6}[ \t]+", ""))
+
+
+def split_names(c: Column) -> Column:
+    """A configured list: names between commas (also full-width ones) and line ends, stripped, blank ones out."""
+    return F.filter(F.transform(F.split(c, "[\n,，]+"), strip), lambda x: x != "")
+
+
+def looks_like_markup(head: Column) -> Column:
+    """Whether a body's first signs are those of HTML, XML or JSON, which an audio file never begins with."""
+    return F.lower(F.regexp_replace(F.left(head, F.lit(64)), f"^{WS}+", "")).rlike(r"^(<!doctype html|<html|<\?xml|\{|\[)")
+
+
 def strip_code_fence(c: Column) -> Column:
     inner = F.regexp_extract(strip(c), r"(?s)^```(?:json)?\s*(.*?)\s*```$", 1)
     return F.when(inner != "", inner).otherwise(strip(c))
@@ -109,10 +153,11 @@ def trace_id(index: Column, eid: Column) -> Column:
 
 
 def audio_extension(url: Column) -> Column:
+    """The suffix of an http(s) address of audio, in small letters; null for others."""
     # The audio suffixes.
-    known = (".aac", ".flac", ".m4a", ".m4b", ".mp3", ".mp4", ".ogg", ".opus", ".wav", ".webm", ".wma")
-    found = F.lower(F.regexp_extract(F.try_parse_url(url, F.lit("PATH")), r"(\.[^./]+)$", 1))
-    return F.when(found.isin(*known), found)
+    known = (".aac", ".aiff", ".ape", ".flac", ".m4a", ".mp3", ".mp4", ".ogg", ".wav", ".webm", ".wma")
+    found = F.lower(F.regexp_extract(F.try_parse_url(url, F.lit("PATH")), r"[^/](\.[^./]+)$", 1))
+    return F.when(url.rlike("(?i)^https?://[^/?#]") & found.isin(*known), found)
 
 
 def media_type_ok(content_type: Column) -> Column:

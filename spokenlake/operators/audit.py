@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 from difflib import SequenceMatcher
@@ -9,6 +10,8 @@ from difflib import SequenceMatcher
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+# A line that is a code fence, the marks of a heading, and the share of content that may go.
+FENCE, HEADING = re.compile(r"\s*```[A-Za-z0-9_-]*\s*"), re.compile(r"^\s{0,3}#{1,6}\s+")
 MOST_DELETED = 0.05
 OUT = "doc_id long, idx int, verdict string, deleted long, source long"
 
@@ -17,17 +20,16 @@ def content(text: str) -> str:
     return "".join(c for c in text if not c.isspace() and not unicodedata.category(c).startswith("P"))
 
 
+def plain(text: str) -> str:
+    return "\n".join(HEADING.sub("", line, count=1) for line in text.splitlines() if not FENCE.fullmatch(line)).strip()
+
+
 def verdict(original: str, formatted: str) -> tuple[str, int, int]:
-    """(verdict, characters deleted, characters of content). Equal ends are cut off first, which changes no verdict."""
-    a, b = content(original), content(formatted)
-    size = len(a)
+    """(verdict, characters deleted, characters of content); fences and heading marks of the edited text do not count."""
+    a, b = content(original), content(plain(formatted))
+    size, gone = len(a), 0
     if a == b:
         return "valid", 0, size
-    head = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
-    a, b = a[head:], b[head:]
-    tail = next((i for i, (x, y) in enumerate(zip(reversed(a), reversed(b), strict=False)) if x != y), min(len(a), len(b)))
-    a, b = a[: len(a) - tail], b[: len(b) - tail]
-    gone = 0
     for op, i, j, _, _ in SequenceMatcher(None, a, b, autojunk=False).get_opcodes():
         if op in ("insert", "replace"):
             return "rewrite", gone, size

@@ -27,12 +27,11 @@ def flag_blacklisted(mentions: DataFrame, names: list[str]) -> DataFrame:
 
 
 def summary(mentions: DataFrame) -> DataFrame:
-    """Occurrences by stripped, case-sensitive name, with their groups in order; most frequent first."""
-    grouped = mentions.groupBy(T.strip(F.col("name")).alias("name")).agg(
-        F.count("*").alias("occurrence_count"), F.array_sort(F.collect_list(F.struct("grp", "pos"))).alias("at")
-    )
-    listed = grouped.select("name", "occurrence_count", F.array_join(F.transform("at", lambda x: x["grp"].cast("string")), ",").alias("episodes"))
-    return listed.orderBy(F.desc("occurrence_count"), "name")
+    """Occurrences by stripped, case-sensitive name, most frequent first: a row for each, in the groups' order, with the
+    name's count. A name's occurrences never meet in one row or task, however many they are."""
+    named = mentions.select(T.strip(F.col("name")).alias("name"), "grp", "pos")
+    counts = named.groupBy("name").agg(F.count("*").alias("occurrence_count"))
+    return named.join(counts, "name").select("name", "occurrence_count", "grp", "pos").orderBy(F.desc("occurrence_count"), "name", "grp", "pos")
 
 
 def distinct_excerpts(mentions: DataFrame, k: int = 2) -> DataFrame:
@@ -47,11 +46,11 @@ def validate_evidence(mentions: DataFrame, sources: DataFrame) -> DataFrame:
     """sources: grp, source. A mention holds if some source of its group contains its evidence (white space aside), and the
     evidence its name (white space and case aside)."""
     bare = sources.select("grp", T.ws_remove(F.col("source")).alias("bare"))
-    joined = mentions.join(bare, "grp", "left")
-    inside = F.coalesce(F.bool_or(F.contains("bare", T.ws_remove(F.col("evidence")))), F.lit(False))
     named = F.contains(F.lower(T.ws_remove(F.col("evidence"))), F.lower(T.ws_remove(F.col("name"))))
-    out = joined.groupBy("grp", "pos", named.alias("named")).agg(inside.alias("found"))
-    return out.select("grp", "pos", (F.col("found") & F.col("named")).alias("valid"))
+    asked = mentions.select("grp", F.struct("pos", T.ws_remove(F.col("evidence")).alias("evidence"), named.alias("named")).alias("m"))
+    asked = asked.groupBy("grp").agg(F.collect_list("m").alias("ms"))  # the lines of one group, which its source holds too
+    tested = asked.join(bare, "grp", "left").select("grp", F.explode(F.transform("ms", lambda m: F.struct(m["pos"].alias("pos"), (m["named"] & F.coalesce(F.contains(F.col("bare"), m["evidence"]), F.lit(False))).alias("ok")))).alias("t"))
+    return tested.groupBy("grp", F.col("t.pos").alias("pos")).agg(F.bool_or("t.ok").alias("valid"))
 
 
 def validate_merged(results: DataFrame, candidates: DataFrame) -> DataFrame:

@@ -5,11 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spokenlake.functions import text as T
+
 
 def reuse_reason(work: DataFrame, state: DataFrame, key: str, signature: str) -> DataFrame:
-    """reason: reuse, or the first thing that stands against it."""
+    """reason: reuse, or the first thing that stands against it. state: key, status, signature, and, where it has them,
+    prompt, response and saved_url, against the work's url."""
     joined = work.join(state, key, "left")
-    reason = F.when(F.col("status").isNull(), "new").when(F.col("status") != "success", "not_success").when(~F.col("signature").eqNullSafe(F.lit(signature)), "signature_changed").otherwise("reuse")
+    reason = F.when(F.col("status").isNull(), "new").when(F.col("status") != "success", "not_success")
+    for text in ("prompt", "response"):
+        if text in state.columns:
+            reason = reason.when(F.coalesce(T.non_blank(F.col(text)), F.lit("")) == "", f"blank_{text}")
+    if "saved_url" in state.columns:
+        reason = reason.when(~F.col("saved_url").eqNullSafe(F.col("url")), "url_changed")
+    reason = reason.when(~F.col("signature").eqNullSafe(F.lit(signature)), "signature_changed").otherwise("reuse")
     return joined.select(key, reason.alias("reason"))
 
 

@@ -60,8 +60,8 @@ def sessions(rows: DataFrame, key: str, at: Column, gap: int) -> DataFrame:
 
 def next_where(rows: DataFrame, key: str, order: str, flag: str) -> DataFrame:
     """The smallest later position at which flag holds."""
-    after = W.partitionBy(key).orderBy(order).rowsBetween(1, W.unboundedFollowing)
-    return rows.withColumn("next", F.first(F.when(F.col(flag), F.col(order)), ignorenulls=True).over(after))
+    after = W.partitionBy(key).orderBy(F.desc(order)).rowsBetween(W.unboundedPreceding, -1)  # a growing frame: linear
+    return rows.withColumn("next", F.last(F.when(F.col(flag), F.col(order)), ignorenulls=True).over(after))
 
 
 PACKED = "doc_id long, chunk long, first_idx long, last_idx long, n_chars long"
@@ -96,3 +96,36 @@ def pack(segments: DataFrame, most: int, overlap: bool) -> DataFrame:
 
     sized = segments.select("doc_id", F.col("idx").cast("long"), F.length("text").cast("long"))
     return sized.repartition("doc_id").sortWithinPartitions("doc_id", "idx").mapInArrow(run, PACKED)
+
+
+def boundary_records(boundaries: DataFrame, overlap: int) -> DataFrame:
+    """boundaries: doc_id, stop, is_natural -> in order, where each segment begins, where its output begins (``overlap``
+    frames earlier after a forced cut), and which boundary is the last."""
+    w = by("doc_id", order="stop")
+    start = F.coalesce(F.lag("stop").over(w), F.lit(0))
+    forced = ~F.coalesce(F.lag("is_natural").over(w), F.lit(True))
+    out = boundaries.withColumn("start", start).withColumn("output_start", F.greatest(F.lit(0), start - F.when(forced, overlap).otherwise(0)))
+    return out.withColumn("is_terminal", F.lead("stop").over(w).isNull()).select("doc_id", "stop", "is_natural", "start", "output_start", "is_terminal")
+
+
+def subtoken_tags(tokens: DataFrame, predictions: DataFrame, tags: list[str]) -> DataFrame:
+    """tokens: doc_id, frame, parts; predictions: doc_id, predictions (tag numbers, one a part) -> the tag of the last part."""
+    last = F.sum("parts").over(by("doc_id", order="frame").rowsBetween(W.unboundedPreceding, 0))
+    at = tokens.withColumn("_last", last).join(predictions, "doc_id")
+    names = F.array(*[F.lit(t) for t in tags])
+    return at.select("doc_id", "frame", F.get(names, F.get("predictions", F.col("_last").cast("int") - 1)).alias("tag"))
+
+
+def progress(rows: DataFrame, key: str, step: int = 10) -> DataFrame:
+    """rows: key, done, total -> those at which another multiple of ``step`` per cent is crossed."""
+    crossed = F.floor(F.col("done") * 100 / (F.col("total") * step))
+    marked = rows.withColumn("_s", crossed).withColumn("_before", F.coalesce(F.lag("_s").over(by(key, order="done")), F.lit(0)))
+    return marked.where("_s > _before").select(key, "done", "total", (F.col("_s") * step).cast("long").alias("crossed"))
+
+
+def joined_islands(frames: DataFrame, value: Column, gap: int, least: int) -> DataFrame:
+    """Runs that pauses shorter than ``gap`` frames join, with ``least`` or more frames that hold; a trailing pause is out."""
+    w = by("doc_id", order="frame")
+    held = frames.where(value).withColumn("_new", F.coalesce(F.col("frame") - F.lag("frame").over(w) - 1 >= gap, F.lit(True)).cast("int"))
+    grouped = held.withColumn("_k", F.sum("_new").over(w)).groupBy("doc_id", "_k").agg(F.min("frame").alias("start"), (F.max("frame") + 1).alias("stop"), F.count("*").alias("speech"))
+    return grouped.where(F.col("speech") >= least).drop("_k")

@@ -22,3 +22,15 @@ def tree_paths(nodes: DataFrame, tree: str, node: str, parent: str) -> DataFrame
         if level.isEmpty():
             return out
         out = out.unionByName(level)
+
+
+def render(paths: DataFrame, tree: str) -> DataFrame:
+    """paths: tree, path, depth, author, created_at, text -> comments: two lines for each, indented by depth, in the order
+    of the paths' numbers."""
+    # The heads of comments and replies.
+    head = F.when(F.col("depth") == 1, F.lit("评论 ")).otherwise(F.lit("回复 "))
+    indent = F.repeat(F.lit("  "), F.col("depth") - 1)
+    lines = F.concat(indent, head, "path", F.lit("｜作者："), "author", F.lit("｜时间："), "created_at", F.lit("\n"), indent, "text")
+    keys = F.transform(F.split("path", r"\."), lambda x: x.cast("int"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct(keys.alias("keys"), lines.alias("lines")))), lambda x: x["lines"])
+    return paths.groupBy(tree).agg(F.array_join(ordered, "\n").alias("comments"))

@@ -40,7 +40,7 @@ def _first(spark: SparkSession, d: str) -> DataFrame:
 # Mentions
 
 
-@query(f"WITH {X.MEN} SELECT trim(name) AS name, count(*) AS occurrence_count, string_agg(CAST(grp AS VARCHAR), ',' ORDER BY grp, pos) AS episodes FROM once WHERE name_key NOT IN {_BLACK} GROUP BY 1")
+@query(f"WITH {X.MEN} SELECT trim(name) AS name, count(*) OVER (PARTITION BY trim(name)) AS occurrence_count, grp, pos FROM once WHERE name_key NOT IN {_BLACK}")
 def mention_summary(spark: SparkSession, d: str) -> DataFrame:
     return M.summary(_first(spark, d).where("not blacklisted"))
 
@@ -84,7 +84,7 @@ def merged_name_validation(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""SELECT 'Feed ' || page_id AS feed_title, 'https://feed.example.com/' || page_id AS feed_url, left(sha256('https://feed.example.com/' || page_id), 16) AS feed_id, 'Item ' || page_id AS title,
-CASE WHEN page_id % 2 = 0 THEN left(sha256(url), 24) ELSE left(sha256(url), 20) END AS episode_id, CASE WHEN page_id % 3 <> 0 AND page_id % 5 <> 0 THEN page_id * 100 END AS audio_length_bytes, '.mp3' AS extension FROM pages""")
+CASE WHEN page_id % 2 = 0 THEN left(sha256(url), 24) ELSE left(sha256(url), 20) END AS episode_id, CASE WHEN page_id % 3 <> 0 AND page_id % 5 <> 0 THEN page_id * 100 END AS audio_length_bytes, '.mp3' AS extension, '00:10' AS duration FROM pages""")
 def rss_episode_scan(spark: SparkSession, d: str) -> DataFrame:
     from spokenlake.sources.rss import episodes
 
@@ -93,11 +93,11 @@ def rss_episode_scan(spark: SparkSession, d: str) -> DataFrame:
     size = F.when(F.col("page_id") % 3 == 0, F.lit("")).when(F.col("page_id") % 5 == 0, F.lit("-7")).otherwise((F.col("page_id") * 100).cast("string"))
     safe = lambda c: F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     xml = F.concat(
-        F.lit("<rss><channel><title> Feed "), F.col("page_id").cast("string"), F.lit(" </title><item><title>Item "), F.col("page_id").cast("string"), F.lit("</title><guid>"), safe(guid),
-        F.lit("</guid><pubDate>Mon, 01 Jan 2024 00:00:00 GMT</pubDate><enclosure url=\"https://cdn.example.com/a.MP3?x=1\" type=\"audio/mpeg\" length=\""), size, F.lit("\"/></item></channel></rss>"),
+        F.lit("<rss xmlns:itunes=\"http://www.itunes.com/dtds/podcast-1.0.dtd\"><channel><title> Feed "), F.col("page_id").cast("string"), F.lit(" </title><item><title>Item "), F.col("page_id").cast("string"), F.lit("</title><guid>"), safe(guid),
+        F.lit("</guid><pubDate>Mon, 01 Jan 2024 00:00:00 GMT</pubDate><itunes:duration>00:10</itunes:duration><itunes:title>other</itunes:title><enclosure url=\"https://cdn.example.com/a.MP3?x=1\" type=\"audio/mpeg\" length=\""), size, F.lit("\"/></item></channel></rss>"),
     )
     feeds = p.select(F.concat(F.lit("https://feed.example.com/"), F.col("page_id").cast("string")).alias("feed_url"), xml.alias("xml"))
-    return episodes(feeds).select("feed_title", "feed_url", "feed_id", "title", "episode_id", "audio_length_bytes", "extension")
+    return episodes(feeds).select("feed_title", "feed_url", "feed_id", "title", "episode_id", "audio_length_bytes", "extension", "duration")
 
 
 @query(f"""WITH {X.DOW} SELECT feed, count(*) AS episodes, count(*) FILTER (status = 'downloaded') AS downloaded, count(*) FILTER (status = 'skipped') AS skipped, count(*) FILTER (status = 'failed') AS failed, count(*) FILTER (status = 'pending') AS pending, CAST(sum(coalesce(bytes, 0)) AS BIGINT) AS bytes FROM dow GROUP BY 1""")
@@ -122,14 +122,14 @@ def catalog_resolve(spark: SparkSession, d: str) -> DataFrame:
     return resolve(p, catalog_table(spark, {"one": "https://catalog.example.com/one", "two": "https://catalog.example.com/two"})).select("page_id", "feed_url")
 
 
-@query("""SELECT page_id, 'T ' || url AS title, CASE WHEN page_id % 4 = 0 THEN 'notes' ELSE 'about ' || page_id END AS content, CASE WHEN page_id % 3 <> 0 THEN 'https://cdn.example.com/' || page_id || '.m4a' END AS audio_url, 'Pod' AS podcast_title FROM pages""")
+@query("""SELECT page_id, 'T ' || url AS title, CASE WHEN page_id % 4 = 0 THEN 'notes & more' || chr(10) || chr(10) || 'a < b' ELSE 'about ' || page_id END AS content, CASE WHEN page_id % 3 <> 0 THEN 'https://cdn.example.com/' || page_id || '.m4a' END AS audio_url, 'Pod' AS podcast_title FROM pages""")
 def page_json_block(spark: SparkSession, d: str) -> DataFrame:
     from spokenlake.sources.pages import episode_pages
 
     p = X.table(spark, d, "pages")
     page_id = F.col("page_id").cast("string")
     episode = F.struct(
-        F.concat(F.lit("T "), F.col("url")).alias("title"), F.when(F.col("page_id") % 4 == 0, F.lit(" ")).otherwise(F.concat(F.lit("about "), page_id, F.lit("\r\n"))).alias("description"), F.lit("<p>notes</p>").alias("shownotes"),
+        F.concat(F.lit("T "), F.col("url")).alias("title"), F.when(F.col("page_id") % 4 == 0, F.lit(" ")).otherwise(F.concat(F.lit("about "), page_id, F.lit("\r\n"))).alias("description"), F.lit("<p>notes &amp; more</p><ul><li>a &amp;lt; b</li></ul>").alias("shownotes"),
         F.when(F.col("page_id") % 3 != 0, F.struct(F.concat(F.lit("https://cdn.example.com/"), page_id, F.lit(".m4a")).alias("url"))).alias("enclosure"), F.struct(F.lit(" Pod ").alias("title")).alias("podcast"),
     )
     body = F.to_json(F.struct(F.struct(F.struct(episode.alias("episode")).alias("pageProps")).alias("props")))
@@ -158,9 +158,9 @@ def html_strip(spark: SparkSession, d: str) -> DataFrame:
 
 @query(None)
 def safe_name_truncate(spark: SparkSession, d: str) -> DataFrame:
-    from spokenlake.functions.python_text import safe_name
+    from spokenlake.functions.python_text import folder_names
 
-    return X.table(spark, d, "pages").select("page_id", safe_name("url").alias("name"))
+    return X.table(spark, d, "pages").select("page_id", folder_names("html", "url", F.col("page_id").cast("string")).alias("name"))
 
 
 # Text
@@ -326,8 +326,8 @@ def cut_candidate_dedupe(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {X.FRA}, n AS (SELECT doc_id, frame, energy, count(*) OVER (PARTITION BY doc_id) AS n FROM fra) SELECT doc_id, frame AS cut, energy FROM n QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY energy, abs(frame * 2 - n), frame) = 1")
 def quietest_cut(spark: SparkSession, d: str) -> DataFrame:
     f = X.frames(spark, d)
-    n = f.groupBy("doc_id").agg(F.count("*").alias("n"))
-    best = f.join(n, "doc_id").groupBy("doc_id").agg(F.min(F.struct("energy", F.abs(F.col("frame") * 2 - F.col("n")).alias("off"), "frame")).alias("b"))
+    counted = f.withColumn("n", F.count("*").over(W.partitionBy("doc_id")))  # the aggregate after it needs no other exchange
+    best = counted.groupBy("doc_id").agg(F.min(F.struct("energy", F.abs(F.col("frame") * 2 - F.col("n")).alias("off"), "frame")).alias("b"))
     return best.select("doc_id", F.col("b.frame").alias("cut"), F.col("b.energy").alias("energy"))
 
 
@@ -381,7 +381,8 @@ def quality_report(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {X.SEG}, b AS (SELECT least((end_ms - start_ms) // 10000, 3) AS bucket, end_ms - start_ms AS ms FROM seg) SELECT CAST(bucket AS BIGINT) AS bucket, count(*) AS n, CAST(sum(ms) AS BIGINT) AS total, min(ms) AS least, max(ms) AS most, CAST(round_even(median(ms), 0) AS BIGINT) AS median, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 6) AS share FROM b GROUP BY 1")
 def duration_summary_histogram(spark: SparkSession, d: str) -> DataFrame:
     b = X.segments(spark, d).select((F.col("end_ms") - F.col("start_ms")).alias("ms")).withColumn("bucket", F.least(F.floor(F.col("ms") / 10_000), F.lit(3)).cast("long"))
-    g = b.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("ms").alias("total"), F.min("ms").alias("least"), F.max("ms").alias("most"), F.bround(F.median("ms"), 0).cast("long").alias("median"))
+    times = b.groupBy("bucket", "ms").agg(F.count("*").alias("k"))  # the median of a bucket sees each value once
+    g = times.groupBy("bucket").agg(F.sum("k").alias("n"), F.sum(F.col("ms") * F.col("k")).alias("total"), F.min("ms").alias("least"), F.max("ms").alias("most"), F.bround(F.percentile("ms", 0.5, F.col("k")), 0).cast("long").alias("median"))
     return g.withColumn("share", F.round(F.lit(100.0) * F.col("n") / F.sum("n").over(W.partitionBy()), 6))
 
 
@@ -481,3 +482,6 @@ def watermark_sessions(spark: SparkSession, d: str) -> DataFrame:
     from spokenlake.streaming.sessions import event_sessions
 
     return event_sessions(X.table(spark, d, "events"))
+
+
+from spokenlake.plans import checks, more  # noqa: E402,F401 - they register their queries

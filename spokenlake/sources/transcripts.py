@@ -12,12 +12,13 @@ SEGMENT = f"STRUCT<index: INT, start_ms: BIGINT, end_ms: BIGINT, text: STRING, c
 MANIFEST = f"title STRING, created_at STRING, segment_count INT, text STRING, segments ARRAY<{SEGMENT}>, index INT, start_ms BIGINT, end_ms BIGINT"
 
 
-def segments(spark: SparkSession, paths: str | list[str], pruned: bool = False) -> DataFrame:
-    """Segments of manifests, or of single-segment files. ``pruned`` reads only index, times and text.
+def segments(spark: SparkSession, paths: str | list[str], pruned: bool = False, lines: bool = False) -> DataFrame:
+    """Segments of manifests, or of single-segment files. ``pruned`` reads only index, times and text; ``lines`` reads one
+    manifest a line, as ``write_manifest`` writes them, where files hold one each otherwise.
 
     Rows whose times are missing or not 0 <= start < end are returned with ``valid`` false, for the caller to refuse.
     """
-    raw = spark.read.schema(MANIFEST).option("multiLine", True).json(paths).withColumn("path", F.input_file_name())
+    raw = spark.read.schema(MANIFEST).option("multiLine", not lines).json(paths).withColumn("path", F.input_file_name())
     single = F.array(F.struct("index", "start_ms", "end_ms", "text", F.lit(None).cast(TIMED).alias("character_timestamps"), F.lit(None).cast(TIMED).alias("sentences"), F.lit(None).cast("string").alias("audio_path")))
     rows = raw.select("path", "title", F.explode(F.coalesce("segments", single)).alias("s"))
     names = ["index", "start_ms", "end_ms", "text"] + ([] if pruned else ["character_timestamps", "sentences", "audio_path"])

@@ -9,14 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _home(spark: SparkSession) -> str:
-    return spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spokenlake-stream-")
+def new_home(spark: SparkSession) -> str:
+    """A folder for a stream's log and checkpoints that all executors share."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{found or 'file://' + tempfile.mkdtemp(prefix='spokenlake-stream-')}/upsert-{uuid.uuid4().hex}"
 
 
-def upsert_latest(spark: SparkSession, source: str) -> DataFrame:
+def upsert_latest(spark: SparkSession, source: str, home: str | None = None) -> DataFrame:
     """Reads what is new in ``source`` (availableNow), appends each batch's partial state to a log under its batch id, so a
-    replayed batch replaces itself, and returns the state: the newest status of each user and the number of its updates."""
-    home = f"{_home(spark)}/upsert-{uuid.uuid4().hex}"
+    replayed batch replaces itself, and returns the state: the newest status of each user and the number of its updates.
+
+    home: where the log and the stream's position are kept; a call with the home of an earlier one reads only new files.
+    """
+    home = home or new_home(spark)
     schema = spark.read.parquet(source).schema
 
     def fold(batch: DataFrame, epoch: int) -> None:

@@ -11,5 +11,5 @@ def event_sessions(events: DataFrame, gap: str = "6 hours", late: str = "1 day")
     timed = events.select("user_id", F.col("ts").cast("timestamp").alias("ts"))
     if events.isStreaming:
         timed = timed.withWatermark("ts", late)
-    found = timed.groupBy("user_id", F.session_window("ts", gap).alias("w")).agg(F.count("*").alias("n"), F.min("ts").alias("first"), F.max("ts").alias("last"))
-    return found.select("user_id", F.unix_seconds("first").alias("start"), (F.unix_seconds("last") + 21_600).alias("stop"), "n")
+    found = timed.groupBy("user_id", F.session_window("ts", gap).alias("w")).agg(F.count("*").alias("n"))
+    return found.select("user_id", F.unix_seconds("w.start").alias("start"), F.unix_seconds("w.end").alias("stop"), "n")
