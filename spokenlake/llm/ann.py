@@ -14,7 +14,8 @@ from pyspark.sql import Window as W
 
 #: Vectors to fit centroids and codebooks on, about.
 SAMPLE_VECTORS = 20_000
-LISTS, PROBES = 64, 46
+#: The share of true neighbours whose lists are probed, as measured on sampled queries; and how many those are.
+AIM, ASKED, NEIGHBOURS = 0.97, 256, 20
 PARTS, CODES = 16, 64
 ROUNDS = 10
 #: Candidates of a block whose exact scores give the first bar; rows of a list that one task holds at most, about.
@@ -46,11 +47,32 @@ def kmeans(points: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
 class Index:
     """Coarse centroids and residual codebooks."""
 
-    def __init__(self, sample: np.ndarray, lists: int = LISTS, parts: int = PARTS, codes: int = CODES, seed: int = 7):
-        self.parts = next(p for p in range(min(parts, sample.shape[1]), 0, -1) if sample.shape[1] % p == 0)
-        self.coarse = kmeans(sample, lists, ROUNDS, seed)
-        rest = (sample - self.coarse[self.assign(sample)]).reshape(len(sample), self.parts, -1)
-        self.books = [kmeans(rest[:, m], codes, ROUNDS, seed + 1 + m) for m in range(self.parts)]
+    def __init__(self, coarse: np.ndarray, books: list[np.ndarray]):
+        self.coarse, self.books, self.parts = coarse, books, len(books)
+
+    @classmethod
+    def fitted(cls, sample: np.ndarray, lists: int, parts: int = PARTS, codes: int = CODES, seed: int = 7) -> Index:
+        parts = next(p for p in range(min(parts, sample.shape[1]), 0, -1) if sample.shape[1] % p == 0)
+        own = cls(kmeans(sample, lists, ROUNDS, seed), [])
+        rest = (sample - own.coarse[own.assign(sample)]).reshape(len(sample), parts, -1)
+        return cls(own.coarse, [kmeans(rest[:, m], codes, ROUNDS, seed + 1 + m) for m in range(parts)])
+
+    def near(self, q: np.ndarray) -> np.ndarray:
+        """The lists in the order in which a query probes them."""
+        return np.argsort(-(q @ self.coarse.T), axis=1, kind="stable")
+
+    def probes(self, sample: np.ndarray, aim: float = AIM) -> int:
+        """The fewest probes that reach ``aim`` of the true neighbours of sampled queries within the sample."""
+        asked = sample[:: max(1, len(sample) // ASKED)]
+        scores = asked @ sample.T
+        scores[np.arange(len(asked)), np.arange(0, len(sample), max(1, len(sample) // ASKED))] = -np.inf
+        k = min(NEIGHBOURS, len(sample) - 1)
+        if k < 1:
+            return len(self.coarse)
+        best = np.argpartition(-scores, k - 1, axis=1)[:, :k]
+        place = np.argsort(self.near(asked), axis=1)  # of each list in each query's order
+        ranks = np.sort(place[np.arange(len(asked))[:, None], self.assign(sample)[best]].ravel())
+        return int(ranks[min(len(ranks) - 1, int(np.ceil(aim * len(ranks))))]) + 1
 
     def assign(self, x: np.ndarray) -> np.ndarray:
         return ((self.coarse**2).sum(1) - 2 * x @ self.coarse.T).argmin(1)
@@ -70,55 +92,74 @@ class Index:
         return [split[:, m] @ b.T for m, b in enumerate(self.books)]
 
 
-def fit(rows: DataFrame, id_column: str, vector: str, sample: int = SAMPLE_VECTORS) -> Index | None:
-    """An index fitted on about ``sample`` vectors taken by a hash of the id; None for an empty table."""
-    n = rows.count()
-    if not n:
+def lists_for(n: int, sample: int) -> int:
+    """Lists grow with the square root of the rows; a sampled fit needs some points for each."""
+    return max(1, min(int(n**0.5 / 2) + 1, sample // 16, 1 << 12))
+
+
+def fit(rows: DataFrame, id_column: str, vector: str, sample: int = SAMPLE_VECTORS) -> tuple[Index, int] | None:
+    """An index and its number of probes, fitted on about ``sample`` vectors taken by a hash of the id; None for an empty
+    table. The length of its vectors is the most frequent one, of equally frequent ones the longer."""
+    sizes = rows.groupBy(F.size(vector).alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("size")).limit(1).collect()
+    if not sizes:
         return None
+    size, n = sizes[0]["size"], sizes[0]["n"]
     share = F.pmod(F.xxhash64(id_column), F.lit(1_000_000)) / 1_000_000
-    size = rows.select(F.max(F.size(vector))).first()[0]
     taken = rows.where((share < min(1.0, sample / n)) & (F.size(vector) == size)).select(id_column, vector).toPandas().sort_values(id_column)
     if not len(taken):
         taken = rows.where(F.size(vector) == size).orderBy(id_column).limit(CODES).select(id_column, vector).toPandas()
-    return Index(np.array(taken[vector].tolist(), np.float64))
+    points = np.array(taken[vector].tolist(), np.float64)
+    index = Index.fitted(points, lists_for(n, len(points)))
+    return index, index.probes(points)
 
 
-def search(queries: DataFrame, rows: DataFrame, k: int = 20, id_column: str = "vec_id", vector: str = "embedding", probes: int = PROBES) -> DataFrame:
+def search(queries: DataFrame, rows: DataFrame, k: int = 20, id_column: str = "vec_id", vector: str = "embedding", probes: int | None = None) -> DataFrame:
     """For each query its k best rows of the probed lists: query_id, rank, vec_id, score; ties go to the smaller id.
 
     Every row is indexed. A list is cut into blocks of about ``BLOCK_ROWS`` rows by a hash of the id, and a query goes to
     all blocks of its lists, so a list that holds a third of all rows is many tasks. In a block the tables' best
     ``RERANK`` (ties to the smaller id) are scored by exact inner products in double precision; then every other row whose
     table score plus its error bound reaches the k-th of them is scored too, and the best k of all leave the block.
-    Vectors that are null, zero, or hold null or non-finite components take no part, nor do rows without an id. A row is
-    no candidate of a query with its own id. Vectors of a length other than the longest are left out too.
+    Lists grow with the square root of the rows, and as many are probed as sampled queries need (``probes`` overrides).
+    Vectors that are null, zero, or hold null or non-finite components take no part, nor do rows without an id, nor
+    vectors whose length is not the table's most frequent one, as no inner product with them is defined. A row is no
+    candidate of a query with its own id. Where an id repeats, its best score counts, and each of its vectors asks for
+    the id's list. Other columns are not read. Empty table: no rows.
     """
     spark = rows.sparkSession
     clean = lambda t: valid(t.where(F.col(id_column).isNotNull()), vector).select(F.col(id_column).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
     rows, queries = clean(rows), clean(queries)
-    index = fit(rows, "id", "v")
+    fitted = fit(rows, "id", "v")
     out = "query_id long, rank int, vec_id long, score double"
-    if index is None:
+    if fitted is None:
         return spark.createDataFrame([], out)
+    index, probes = fitted[0], probes or fitted[1]
     dims = index.coarse.shape[1]
     rows, queries = rows.where(F.size("v") == dims), queries.where(F.size("v") == dims)
-    sent = spark.sparkContext.broadcast(index)  # LISTS centroids and CODES entries of codebook: a fixed size
+    sent = spark.sparkContext.broadcast((index.coarse, index.books))  # plain arrays; 4,096 centroids and CODES entries at most
+    made: list[Index] = []
+
+    def own() -> Index:
+        if not made:
+            made.append(Index(*sent.value))
+        return made[0]
+
     matrix = lambda column: np.asarray(column.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(column), dims)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = matrix(batch.column(1))
-            lists = sent.value.assign(x)
-            codes = sent.value.encode(x, lists)
+            lists = own().assign(x)
+            codes = own().encode(x, lists)
             yield pa.RecordBatch.from_arrays([pa.array(lists.astype(np.int32)), batch.column(0), batch.column(1), pa.array([c.tobytes() for c in codes], pa.binary())], names=["list", "id", "v", "codes"])
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = np.argsort(-(matrix(batch.column(1)) @ sent.value.coarse.T), axis=1, kind="stable")[:, :probes]
+            near = own().near(matrix(batch.column(1)))[:, :probes]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(near.astype(np.int32).tolist(), pa.list_(pa.int32()))], names=["id", "v", "lists"])
 
     indexed = rows.mapInArrow(assign, "list int, id long, v array<double>, codes binary")
-    sizes = {r["list"]: r.n for r in indexed.groupBy("list").agg(F.count("*").alias("n")).collect()}  # LISTS rows at most
+    sizes = {r["list"]: r.n for r in indexed.groupBy("list").agg(F.count("*").alias("n")).collect()}  # a row a list
     blocks = {i: max(1, -(-n // BLOCK_ROWS)) for i, n in sizes.items()}
     many = F.create_map(*[F.lit(x) for i, b in blocks.items() for x in (i, b)])
     indexed = indexed.withColumn("block", F.pmod(F.xxhash64("id"), many[F.col("list")].cast("long")).cast("int"))
@@ -129,23 +170,23 @@ def search(queries: DataFrame, rows: DataFrame, k: int = 20, id_column: str = "v
         empty = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         if not left.num_rows or not right.num_rows:
             return empty
-        own: Index = sent.value
+        index = own()
         order = np.argsort(right["id"].to_numpy(), kind="stable")
         ids = right["id"].to_numpy()[order]
         x = matrix(right["v"].combine_chunks())[order]
-        codes = np.frombuffer(b"".join(right["codes"].to_pylist()), np.uint8).reshape(len(ids), own.parts)[order]
+        codes = np.frombuffer(b"".join(right["codes"].to_pylist()), np.uint8).reshape(len(ids), index.parts)[order]
         q_ids, q = left["id"].to_numpy(), matrix(left["v"].combine_chunks())
-        centre = own.coarse[right["list"][0].as_py()]
-        base, hidden = q @ centre, own.errors(x, codes, centre)
+        centre = index.coarse[right["list"][0].as_py()]
+        base, hidden = q @ centre, index.errors(x, codes, centre)
         # far more than sums in double precision can be off
         slack = 1e-9 * (np.linalg.norm(q, axis=1) * (np.linalg.norm(x, axis=1).max() + np.linalg.norm(centre) + hidden.sum(1).max()))
-        made: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for start in range(0, len(q), 256):
             part = slice(start, start + 256)
             rough = np.repeat(base[part, None], len(ids), 1)
-            for m, table in enumerate(own.tables(q[part])):
+            for m, table in enumerate(index.tables(q[part])):
                 rough += table[:, codes[:, m]]
-            most = rough + np.linalg.norm(q[part].reshape(-1, own.parts, dims // own.parts), axis=2) @ hidden.T
+            most = rough + np.linalg.norm(q[part].reshape(-1, index.parts, dims // index.parts), axis=2) @ hidden.T
             near = q[part] @ x.T  # right but for its last bits, which depend on the block
             for i, (q_id, vector) in enumerate(zip(q_ids[part], q[part], strict=True)):
                 rough[i, ids == q_id] = -np.inf
@@ -159,15 +200,16 @@ def search(queries: DataFrame, rows: DataFrame, k: int = 20, id_column: str = "v
                     more = np.flatnonzero(reach)
                     best, exact = np.concatenate([best, more]), np.concatenate([exact, (x[more] * vector).sum(1)])
                 keep = np.lexsort((ids[best], -exact))[:k]
-                made.append((np.full(len(keep), q_id), ids[best][keep], exact[keep]))
-        return pa.table({"query_id": pa.array(np.concatenate([a for a, _, _ in made]), pa.int64()), "vec_id": pa.array(np.concatenate([b for _, b, _ in made]), pa.int64()), "score": pa.array(np.concatenate([c for _, _, c in made]), pa.float64())})
+                found.append((np.full(len(keep), q_id), ids[best][keep], exact[keep]))
+        return pa.table({"query_id": pa.array(np.concatenate([a for a, _, _ in found]), pa.int64()), "vec_id": pa.array(np.concatenate([b for _, b, _ in found]), pa.int64()), "score": pa.array(np.concatenate([c for _, _, c in found]), pa.float64())})
 
     found = asked.groupBy("list", "block").cogroup(indexed.groupBy("list", "block")).applyInArrow(join, "query_id long, vec_id long, score double")
     best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.dropDuplicates(["query_id", "vec_id"]).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    ranked = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of each vector whose id is divisible by 20."""
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
     return search(rows.where(F.col("vec_id") % 20 == 0), rows)
