@@ -1,7 +1,9 @@
 """K-d tree partitioning: nodes are split at distributed weighted medians along their widest metadata dimension.
 
-The points are documents; their dimensions come from the text alone (size, checksum, code points by byte), so equal texts
-are one point and never part. A node that is to hold s shards is cut where its bytes divide as floor(s / 2) to the rest.
+The points are documents; their dimensions are metadata of the text alone (size, code points by byte, shares of blanks,
+line ends, full stops and commas), so equal texts are one point and never part. A text whose copies exceed a shard's
+bytes gets a shard of its own first. A node that is to hold s shards is cut at about half its bytes, and each side gets
+shards by its weight.
 The cut is found with histograms: each pass sums the bytes of all open nodes by bins of their current interval and goes
 on inside the bin that holds the cut. Only bins, at most ``BINS`` for each of the at most s nodes, reach the driver.
 """
@@ -23,6 +25,10 @@ TOLERANCE = 0.002
 STEPS, TIES = 1 << 24, 1 << 37
 
 
+#: Dimensions that are shares of code points, and which ones they count.
+COUNTED = {"d_blanks": " ", "d_lines": "\n", "d_stops": ".", "d_commas": ","}
+
+
 @dataclass
 class Node:
     shards: int
@@ -33,23 +39,24 @@ class Node:
     before: int = 0
     weight: int = 0
     cut: int | None = None
+    left: int = 0
 
 
 def points(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, size (UTF-8 bytes plus 1; null text: 1), checksum, hash, and the three dimensions as 61-bit keys."""
+    """doc_id, size (UTF-8 bytes plus 1; null text: 1), checksum, hash, and the dimensions as 61-bit keys."""
     text = F.coalesce(docs[text_column], F.lit(""))
-    rows = docs.select(docs[id_column].cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("hash"), F.length(text).alias("chars"))
+    rows = docs.select(docs[id_column].cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("hash"), F.length(text).alias("chars"), *[(F.octet_length(text) - F.octet_length(F.replace(text, F.lit(sign)))).alias(d) for d, sign in COUNTED.items()])
     scaled = {
         "d_size": F.least(F.lit(1.0), F.log2("size") / 40),
         "d_chars": F.col("chars") / F.col("size"),
-        "d_sum": F.col("text_crc32") / float(1 << 32),
+        **{d: F.col(d) / F.greatest(F.col("chars"), F.lit(1)) for d in COUNTED},
     }
     tie = F.pmod("hash", F.lit(TIES))
     key = lambda c: F.least(F.floor(c * STEPS), F.lit(STEPS - 1)).cast("long") * TIES + tie
     return rows.select("doc_id", "size", "text_crc32", "hash", *[key(c).alias(d) for d, c in scaled.items()])
 
 
-DIMENSIONS = ("d_size", "d_chars", "d_sum")
+DIMENSIONS = ("d_size", "d_chars", *COUNTED)
 
 
 def _inside(node: Node) -> Column:
@@ -91,14 +98,14 @@ def _cut(rows: DataFrame, nodes: list[Node]) -> None:
             by.setdefault(r.n, {})[r.b] = r.w
         left = []
         for i, n in enumerate(open_):
-            goal = n.weight * (n.shards // 2) / n.shards
+            goal = n.weight * (n.shards // 2) / n.shards  # about half
             step = max(1, -(-(n.high - n.low) // BINS))
             at = n.before
             for b, w in sorted(by.get(i, {}).items()):
                 low, high = n.low + b * step, min(n.high, n.low + (b + 1) * step)
                 if at + w >= goal:
                     if min(goal - at, at + w - goal) <= TOLERANCE * n.weight or step == 1:
-                        n.cut = low if goal - at <= at + w - goal else high
+                        n.cut, n.left = (low, at) if goal - at <= at + w - goal and at else (high, at + w)
                     else:
                         n.low, n.high, n.before = low, high, at
                         left.append(n)
@@ -119,24 +126,47 @@ def tree(rows: DataFrame, shards: int = SHARDS) -> list[Node]:
                 continue
             cut = n.cut if n.cut is not None else 0
             dim = n.dim or DIMENSIONS[0]
-            grown += [Node(n.shards // 2, [*n.where, (dim, -(1 << 62), cut)]), Node(n.shards - n.shards // 2, [*n.where, (dim, cut, 1 << 62)])]
+            first = max(1, min(n.shards - 1, round(n.shards * n.left / n.weight))) if n.weight else n.shards // 2
+            grown += [Node(first, [*n.where, (dim, -(1 << 62), cut)]), Node(n.shards - first, [*n.where, (dim, cut, 1 << 62)])]
         nodes = grown
     return nodes
 
 
+def heavy(rows: DataFrame, shards: int) -> list[int]:
+    """Hashes of the texts whose copies exceed a shard's bytes, heaviest first; fewer than shards."""
+    total = rows.agg(F.sum("size")).first()[0] or 0
+    weights = rows.groupBy("hash").agg(F.sum("size").alias("w")).where(F.col("w") * shards > total).orderBy(F.desc("w"), "hash").limit(shards - 1).collect() if shards > 1 else []
+    found: list[int] = []
+    for r in weights:  # what is left is for the shards that are left
+        if r.w * (shards - len(found)) <= total:
+            break
+        found.append(r.hash)
+        total -= r.w
+    return found
+
+
 def shard_documents(docs: DataFrame, shards: int = SHARDS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Law ``bytes``: shards of near equal size, equal texts together.
 
-    Returns doc_id, size, text_crc32, law, shard, slot (from 0 without gaps in each shard, by a two-level running count),
-    grown_shard (null). Null text counts as empty. One text whose copies hold more than a shard's bytes makes its shard
-    larger, as copies never part. Rows that repeat get a slot each; empty table: no rows.
+    Returns doc_id, size, text_crc32, law, shard, slot (from 0 without gaps in each shard, by a two-level running count in
+    an order of ids and texts that no file layout changes), grown_shard (null). Null text counts as empty; texts are
+    measured whole. Only one text whose copies hold more than a shard's bytes makes its shard larger, as copies never
+    part. Ties of a dimension are cut by the text's hash. Rows that repeat get a slot each; other columns are not read,
+    whatever their names; empty table: no rows.
     """
-    rows = written(points(docs, id_column, text_column), "points")  # 60 bytes a document, read once for each level
-    leaves = tree(rows, shards)
-    placed = rows.withColumn("shard", _number(leaves).cast("int")).withColumn("one", F.lit(1)).withColumn("row", F.monotonically_increasing_id())
-    placed = running_total(placed.withColumn("order", F.struct(F.coalesce("doc_id", F.lit(-1)), "hash", "row")), ["shard"], "order", "one", "slot", buckets=256)
-    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+    rows = written(points(docs, id_column, text_column), "points")  # 80 bytes a document, read once for each level
+    alone = heavy(rows, shards)
+    rest = rows.where(~F.col("hash").isin(alone)) if alone else rows
+    shard = _number(tree(rest, shards - len(alone))) + len(alone)
+    for k, h in enumerate(alone):
+        shard = F.when(F.col("hash") == h, k).otherwise(shard)
+    # rows of one id and text are one group with a count, so their number burdens no task
+    groups = rows.withColumn("shard", shard.cast("int")).groupBy("doc_id", "size", "text_crc32", "hash", "shard").agg(F.count("*").alias("many"))
+    placed = running_total(groups.withColumn("order", F.struct(F.coalesce("doc_id", F.lit(-1)), F.col("doc_id").isNull(), "hash")), ["shard"], "order", "many", "first", buckets=256)
+    slots = placed.withColumn("slot", F.explode(F.sequence(F.col("first").cast("long"), (F.col("first") + F.col("many") - 1).cast("long"))))
+    return slots.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard and slot of each document of the table."""
     return shard_documents(documents(spark, sf_dir))
