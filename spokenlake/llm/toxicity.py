@@ -1,13 +1,14 @@
 """Toxicity: a weighted lexicon matched by Aho-Corasick on folded text.
 
-Folding maps look-alike letters and digit substitutions to plain letters, lower-cases, and turns every other ASCII sign
-into a blank. The lexicon (word beginnings with the log odds of their document frequencies), the phrases in which its
+Folding maps look-alike letters and digit substitutions to plain letters, lower-cases, and turns every sign that is
+neither a letter nor a digit, of any script, into a blank. The lexicon (word beginnings with the log odds of their document frequencies), the phrases in which its
 entries are harmless, and the two numbers of a logistic curve are learned from a bounded sample of labelled documents.
 """
 
 from __future__ import annotations
 
 import math
+import re
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -18,14 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, process_cache
+from .common import documents, forget, process_cache, written
 
-#: Labelled documents of each class to learn from, about; entries of the lexicon at most (a bound on the model's size).
+#: Labelled documents of each class to learn from, about: the bound on what is learned from, and so on the model's size.
 SAMPLE_DOCUMENTS = 3000
-LEXICON = 4000
-#: Lengths of word beginnings that can enter the lexicon; and the least log odds, clean documents and share of toxic ones.
+#: Lengths of word beginnings that can enter the lexicon, shorter words whole; the least smoothed log odds, toxic documents,
+#: and clean documents of an exception phrase.
 SHORTEST, LONGEST = 4, 12
-LEAST_ODDS, LEAST_DOCUMENTS, LEAST_SHARE = 3.0, 3, 0.015
+LEAST_ODDS, LEAST_DOCUMENTS = 3.0, 12
 EXCEPTION_DOCUMENTS = 3
 #: Exponent of the text's length (in thousands of words) by which the matched weight is divided.
 LENGTH_POWER = 0.15
@@ -45,6 +46,8 @@ def _table() -> dict[int, str]:
 
 
 FOLDED = _table()
+#: What is neither a letter nor a digit, in any script.
+SIGNS = re.compile(r"[\W_]")
 
 
 def fold(text: str) -> str:
@@ -60,7 +63,13 @@ def fold(text: str) -> str:
                     chars[at] = SUBSTITUTES[sign]
                 at = text.find(sign, at + 1)
         text = "".join(chars)
-    return f" {text.translate(FOLDED)} "
+    text = text.translate(FOLDED)
+    return f" {text if text.isascii() else SIGNS.sub(' ', text)} "
+
+
+def features(folded: str) -> set[str]:
+    """What a text offers to the lexicon: beginnings of its words, and words that are shorter."""
+    return {f" {w[:k]}" for w in set(folded.split()) for k in range(SHORTEST, min(LONGEST, len(w)) + 1)} | {f" {w} " for w in set(folded.split()) if len(w) < SHORTEST}
 
 
 @dataclass
@@ -92,7 +101,13 @@ def matches(matcher: ahocorasick.Automaton | None, folded: str) -> list[tuple[in
             found[at] = max(weight, found.get(at, 0.0))
         else:
             covered.append((at, end))
-    return [(at, w) for at, w in found.items() if not any(a <= at < b for a, b in covered)]
+    out, spans, reach, k = [], sorted(covered), -1, 0
+    for at in sorted(found):  # one walk over both, as spans that begin no later than a hit cover it if they reach beyond it
+        while k < len(spans) and spans[k][0] <= at:
+            reach, k = max(reach, spans[k][1]), k + 1
+        if at >= reach:
+            out.append((at, found[at]))
+    return out
 
 
 def strength(hits: list[tuple[int, float]], folded: str) -> float:
@@ -105,20 +120,21 @@ def strength(hits: list[tuple[int, float]], folded: str) -> float:
 def _select(counts: dict[str, tuple[int, int]], toxic: int, clean: int) -> dict[str, float]:
     """Word beginnings with high odds. A longer one replaces a shorter one that it nearly always continues; one whose
     beginning is already as telling adds nothing."""
-    least = max(LEAST_DOCUMENTS, LEAST_SHARE * toxic)
-    odds = {f: math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1)) for f, (t, c) in counts.items() if t >= least}
-    odds = {f: v for f, v in odds.items() if v >= LEAST_ODDS}
+    odds = {f: math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1)) for f, (t, c) in counts.items()}
+    longer_of: dict[str, list[str]] = {}
+    for g in odds:
+        longer_of.setdefault(g[:-1], []).append(g)
     out: dict[str, float] = {}
     for f in sorted(odds, key=lambda f: (len(f), f)):
         if any(g in out and out[g] >= odds[f] - 1.0 for g in (f[:k] for k in range(2, len(f)))):
             continue
         while True:
-            longer = max((g for g in odds if len(g) == len(f) + 1 and g.startswith(f)), key=lambda g: (counts[g][0], g), default=None)
+            longer = max(longer_of.get(f, ()), key=lambda g: (counts[g][0], g), default=None)
             if longer is None or counts[longer][0] < 0.95 * counts[f][0]:
                 break
             f = longer
         out[f] = odds[f]
-    return dict(sorted(out.items(), key=lambda x: (-x[1], x[0]))[:LEXICON])
+    return dict(sorted(out.items()))
 
 
 def _curve(points: list[tuple[float, int]]) -> tuple[float, float]:
@@ -143,7 +159,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) ->
     """A model from docs (doc_id, text) and labels (doc_id, toxic), which holds only rows that may be learned from.
 
     About ``sample`` label rows of each class are taken by a hash; as their number is bounded they are broadcast to the
-    documents. Feature counts are summed over the cluster; only features frequent in toxic documents reach the driver.
+    documents. Of equal texts one is learned from. Feature counts are summed over the cluster; only features with the
+    least odds reach the driver. Without toxic rows the model scores all texts low.
     """
     labels = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
     sizes = {int(r.toxic): r.n for r in labels.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -152,20 +169,22 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) ->
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
     limit = F.when(F.col("toxic") == 1, min(1.0, sample / sizes[1])).otherwise(min(1.0, sample / max(1, sizes.get(0, 0))))
     taken = labels.where(share < limit).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    rows = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(taken), "doc_id").select("toxic", "text").persist()
+    rows = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(taken), "doc_id")
+    rows = written(rows.groupBy(F.xxhash64("text").alias("h")).agg(F.max("toxic").alias("toxic"), F.first("text").alias("text")).select("toxic", "text"), "labelled", keep=True)
+    whole = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    toxic, clean = whole.get(1, 0), whole.get(0, 0)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: dict[str, list[int]] = {"": [0, 0]}
+            seen: dict[str, list[int]] = {}
             for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                seen[""][1 - toxic] += 1
-                for f in {f" {w[:k]}" for w in set(fold(text).split()) for k in range(SHORTEST, min(LONGEST, len(w)) + 1)}:
+                for f in features(fold(text)):
                     seen.setdefault(f, [0, 0])[1 - toxic] += 1
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array([v[0] for v in seen.values()], pa.int64()), pa.array([v[1] for v in seen.values()], pa.int64())], names=["f", "t", "c"])
 
     sums = rows.mapInArrow(count, "f string, t long, c long").groupBy("f").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
-    found = {r.f: (r.t, r.c) for r in sums.where((F.col("f") == "") | (F.col("t") >= LEAST_DOCUMENTS) & (F.col("t") * 4 > F.col("c"))).collect()}
-    toxic, clean = found.pop("", (0, 0))
+    odds = F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (clean + 1))
+    found = {r.f: (r.t, r.c) for r in sums.where((F.col("t") >= LEAST_DOCUMENTS) & (odds >= LEAST_ODDS)).collect()}
     model = Model(_select(found, toxic, clean), [])
 
     def phrases(batches: Iterator[pa.RecordBatch], model: Model = model) -> Iterator[pa.RecordBatch]:
@@ -185,7 +204,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) ->
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array([v[0] for v in seen.values()], pa.int64()), pa.array([v[1] for v in seen.values()], pa.int64())], names=["f", "t", "c"])
 
     harmless = rows.mapInArrow(phrases, "f string, t long, c long").groupBy("f").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
-    model.exceptions = sorted(r.f for r in harmless.where((F.col("t") == 0) & (F.col("c") >= EXCEPTION_DOCUMENTS)).orderBy(F.desc("c"), "f").limit(LEXICON).collect())
+    model.exceptions = sorted(r.f for r in harmless.where((F.col("t") == 0) & (F.col("c") >= EXCEPTION_DOCUMENTS)).collect())
 
     def strengths(batches: Iterator[pa.RecordBatch], model: Model = model) -> Iterator[pa.RecordBatch]:
         matcher = model.matcher()
@@ -194,12 +213,17 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) ->
             yield pa.RecordBatch.from_arrays([pa.array([round(strength(matches(matcher, t), t), 6) for t in folded], pa.float64()), batch.column(0)], names=["x", "y"])
 
     model.slope, model.offset = _curve(sorted((r.x, r.y) for r in rows.mapInArrow(strengths, "x double, y int").collect()))
-    rows.unpersist()
+    forget(rows)
     return model
 
 
 def score_documents(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
-    """docs with score, predicted (score >= 0.7) and hits, the number of lexicon entries found. Null text counts as empty."""
+    """docs with score, predicted (score >= 0.7) and hits, the number of lexicon entries found.
+
+    Null text counts as empty; texts are read whole, in time proportional to their length. Rows that repeat give a row
+    each; an empty table gives none. Of several entries at one place the heaviest counts. Other columns pass through;
+    columns score, predicted and hits are replaced.
+    """
     kept = [c for c in docs.columns if c not in ("score", "predicted", "hits")]
     docs, at, token = docs.select(*kept), kept.index(text_column), uuid.uuid4().hex
 
@@ -222,8 +246,10 @@ def score_documents(docs: DataFrame, model: Model, text_column: str = "text") ->
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of each document, by a lexicon of labelled ones outside the held-out third; a null doc_id is not held
+    out, and nothing is learned from it."""
     docs = documents(spark, sf_dir)
-    fold_of = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3, F.lit(1))
+    fold_of = F.crc32(F.col("doc_id").cast("string")) % 3
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic").where(fold_of != 1)
-    rows = docs.select("doc_id", (fold_of == 1).alias("held_out"), "text")
+    rows = docs.select("doc_id", F.coalesce(fold_of == 1, F.lit(False)).alias("held_out"), "text")
     return score_documents(rows, learn(docs, labels)).select("doc_id", "held_out", "score", "predicted", "hits")

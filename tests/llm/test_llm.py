@@ -5,6 +5,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -168,6 +169,59 @@ def test_components(spark):
     assert got == {x: root(x) for x in parent}
 
 
+def brute_likeness(a, b):
+    """Likeness from the texts themselves: seeds where both fingerprints agree, grown sign by sign."""
+    if a == b:
+        return 1.0
+    x, y = fingerprint.Mark(a), fingerprint.Mark(b)
+    size, left, right = min(fingerprint.WINDOW, len(a), len(b)), bytearray(len(a)), bytearray(len(b))
+    if not size:
+        return 0.0
+    for s in np.flatnonzero((x.slots == y.slots) & (x.slots != fingerprint.EMPTY)):
+        i, j = int(x.places[s]), int(y.places[s])
+        if a[i : i + size] != b[j : j + size] or (left[i] and right[j] and len(a) > 50_000):
+            continue
+        low = 0
+        while low < min(i, j) and a[i - low - 1] == b[j - low - 1]:
+            low += 1
+        high = size
+        while i + high < len(a) and j + high < len(b) and a[i + high] == b[j + high]:
+            high += 1
+        left[i - low : i + high] = b"\x01" * (low + high)
+        right[j - low : j + high] = b"\x01" * (low + high)
+    return (sum(left) + sum(right)) / (len(a) + len(b))
+
+
+def test_fingerprint_slots_and_hot_ids(spark):
+    for text in ("", "ab", "abcdefgh", "the quick brown fox jumps over the lazy dog"):
+        mark = fingerprint.Mark(text)
+        size = min(8, len(text))
+        spans = [fingerprint.PrefixHash(fingerprint.codes_of(text[i : i + size])).whole() for i in range(len(text) - size + 1)] if text else []
+        least = {}
+        for i, h in enumerate(spans):
+            h = np.uint64(h)
+            with np.errstate(over="ignore"):
+                h = (h ^ (h >> np.uint64(29))) * fingerprint._MIX[0]
+                h = (h ^ (h >> np.uint64(32))) * fingerprint._MIX[1]
+            v = (int(h) >> 20 & 0xFFFFFF, i)
+            least[int(h) >> 58] = min(v, least.get(int(h) >> 58, v))
+        for s in range(fingerprint.SLOTS):
+            assert mark.slots[s] == (least[s][0] % fingerprint.EMPTY if s in least else fingerprint.EMPTY)
+            assert s not in least or mark.places[s] == least[s][1]
+    a = "one two three four five six seven eight nine ten " * 9
+    half = fingerprint.likeness(fingerprint.Mark(a[:200] + "x" * 200), fingerprint.Mark(a[:200] + "y" * 200))
+    assert 0.45 < half <= 0.51
+    data = [(None, f"text {i} of no id") for i in range(500)] + [(i, f"other {i}") for i in range(300)] + [(7, "again")] * 3
+    got = fingerprint.fingerprint_documents(spark.createDataFrame(data, "doc_id long, text string").repartition(5)).collect()
+    assert len(got) == 803 and sum(r.doc_id is None for r in got) == 500 and sum(r.doc_id == 7 for r in got) == 4
+    by = {r.doc_id: r for r in got if r.doc_id not in (None, 7)}
+    for i in (50, 299):
+        after = f"other {i + 1}" if i < 299 else None
+        text = f"other {i}"
+        if after:
+            assert by[i].edited_sha256 == hashlib.sha256((text[: len(text) - len(text) // 2] + after[: len(text) // 2]).encode()).hexdigest()
+
+
 def test_fingerprint(docs, none):
     text = "abcabcabcx"
     h = fingerprint.PrefixHash(fingerprint.codes_of(text))
@@ -176,7 +230,7 @@ def test_fingerprint(docs, none):
             n = next((k for k in range(len(text)) if i + k >= len(text) or j + k >= len(text) or text[i + k] != text[j + k]), len(text))
             assert fingerprint.longest_common_extension(h, i, h, j) == n
     got = {r.doc_id: r for r in fingerprint.fingerprint_documents(docs).collect()}
-    order = sorted(((d if d is not None else -(1 << 63)), d, t or "") for d, t, *_ in rows())
+    order = sorted(((d if d is not None else -(1 << 63)), d, t or "") for d, t, *_ in rows())  # ids do not repeat here
     for k, (_, doc_id, text) in enumerate(order):
         after = order[(k + 1) % len(order)][2]
         half = len(text) // 2
@@ -185,6 +239,8 @@ def test_fingerprint(docs, none):
         assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
         assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
         assert r.common_prefix == next((i for i, (x, y) in enumerate(zip(text, edited)) if x != y), min(len(text), len(edited)))
+        assert abs(r.near_next - brute_likeness(text, after)) < 1e-12 and (r.near_next == 1.0) == (text == after)
+        assert abs(r.near_edited - brute_likeness(text, edited)) < 1e-12
     same = {got[i].fingerprint for i in range(200, 230)}
     assert len(same) == 1 and got[200].near_next == 1.0
     assert fingerprint.fingerprint_documents(none).count() == 0
@@ -252,6 +308,30 @@ def test_toxicity(spark, docs, none):
     assert toxicity.fold("Id1ot, 1D10T! ѕtuріd st$ff") == " idiot  idiot  stupid stsff "
 
 
+def test_toxicity_matches_against_brute_force(spark):
+    draw = random.Random(11)
+    letters = lambda n: "".join(draw.choices("ab", k=n))
+    for _ in range(300):
+        weights = {" " + letters(draw.randint(1, 3)): 1.0 + k for k in range(4)}
+        phrases = [f" {letters(2)} {letters(2)} " for _ in range(3)]
+        folded = f" {' '.join(letters(draw.randint(1, 3)) for _ in range(30))} "
+        found = {at: max(w for e, w in weights.items() if folded.startswith(e, at)) for at in range(len(folded)) if any(folded.startswith(e, at) for e in weights)}
+        spans = [(at, at + len(p) - 1) for p in phrases for at in range(len(folded)) if folded.startswith(p, at)]
+        want = sorted((at, w) for at, w in found.items() if not any(a <= at < b for a, b in spans))
+        assert sorted(toxicity.matches(toxicity.Model(weights, phrases).matcher(), folded)) == want
+    start = time.time()
+    assert toxicity.matches(toxicity.Model({" bad": 1.0}, [" bad can "]).matcher(), " " + "bad can " * 200_000) == []
+    assert time.time() - start < 20
+    assert toxicity.fold("x\u201cBad\u201d\u2014word\u00a0end_1") .split() == ["x", "bad", "word", "end", "i"]
+    assert toxicity.features(" abcde fg ") == {" abcd", " abcde", " fg "}
+    texts = [(i, 1, f"so{i} xq z{i}") for i in range(40)] + [(100 + i, 0, f"so{i} z{i} fine") for i in range(40)]
+    table = spark.createDataFrame(texts, "doc_id long, toxic int, text string")
+    model = toxicity.learn(table, table.select("doc_id", "toxic"))
+    assert set(model.weights) == {" xq "}  # a word below four letters
+    many = toxicity._select({f" {chr(97 + k // 676)}{chr(97 + k // 26 % 26)}{chr(97 + k % 26)}xy": (50, 0) for k in range(9000)}, 100, 100)
+    assert len(many) == 9000
+
+
 def test_exceptions_cover_their_entries():
     model = toxicity.Model({" trash": 2.0}, [" trash can "])
     m = model.matcher()
