@@ -2,7 +2,9 @@
 
 The hashes of all runs of ``GRAM`` words of a document join those of the templates. A hit at word i of the document and
 word j of a template votes for the diagonal i - j, where the template would start. Neighbouring diagonals, as words that
-were put in or left out make them, are merged; a merged span that covers enough of its template gives its label.
+were put in or left out make them, are merged. A merged span is verified: its runs must be the template's words, and only
+those count that stand in the document in the template's order. A span that so covers enough of its template gives its
+label, unless a better one covers the same words.
 """
 
 from __future__ import annotations
@@ -23,20 +25,51 @@ KELVIN = "\u212a"
 
 # The base phrases and their labels.
 PHRASES = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
-# Wording of well-known public license notices, as words, and their labels.
+# Texts of well-known public licenses and their notices, as words, and their labels.
 TEMPLATES = (
     ("released under the mit license", "mit"),
-    ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "mit"),
     ("licensed under the apache license version 2 0", "apache-2"),
-    ("you may not use this file except in compliance with the license you may obtain a copy of the license at", "apache-2"),
     ("licensed under cc by nc 4 0", "cc-by-nc"),
     ("licensed under a creative commons attribution noncommercial 4 0 international license", "cc-by-nc"),
     ("licensed under a creative commons attribution 4 0 international license", "cc-by"),
     ("licensed under the gnu general public license version 3", "gpl-3"),
-    ("this program is free software you can redistribute it and or modify it under the terms of the gnu general public license", "gpl"),
-    ("redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "bsd"),
-    ("all rights reserved", "all-rights-reserved"),
-)
+    (
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction "
+        "including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so "
+        "subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software the software is provided as is "
+        "without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors "
+        "or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or "
+        "other dealings in the software", "mit",
+    ),
+    (
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "mit",
+    ),
+    (
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in "
+        "all copies the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall "
+        "the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or "
+        "other tortious action arising out of or in connection with the use or performance of this software", "isc",
+    ),
+    (
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met redistributions of source code must retain the above "
+        "copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and the following "
+        "disclaimer in the documentation and or other materials provided with the distribution", "bsd",
+    ),
+    (
+        "you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed to in "
+        "writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language "
+        "governing permissions and limitations under the license", "apache-2",
+    ),
+    (
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the "
+        "license or at your option any later version this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or "
+        "fitness for a particular purpose see the gnu general public license for more details", "gpl-3",
+    ),
+    (
+        "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is granted to "
+        "anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely", "zlib",
+    ),
+)
 
 
 def plain_words(text: Column) -> Column:
@@ -59,13 +92,34 @@ def template_table(spark: SparkSession, phrases: tuple = PHRASES, templates: tup
     return table.withColumn("gram", F.xxhash64("words"))
 
 
+def in_order(hits: Column) -> Column:
+    """covered, start, stop of hits (place, at) sorted by place: each place counts once, at the first spot that lies after
+    those of the places before it; what stands out of order does not count. start is where the span begins."""
+    begin = F.struct(F.lit(0).alias("covered"), F.lit(-1).alias("place"), F.lit(-1).alias("at"), F.lit(None).cast("int").alias("start"))
+
+    def step(s: Column, h: Column) -> Column:
+        after = (h["place"] > s["place"]) & (h["at"] > s["at"])
+        return F.when(after, F.struct((s["covered"] + 1).alias("covered"), h["place"].alias("place"), h["at"].alias("at"), F.coalesce(s["start"], h["at"]).alias("start"))).otherwise(s)
+
+    return F.reduce(hits, begin, step, lambda s: F.struct(s["covered"].alias("covered"), s["start"].alias("start"), s["at"].alias("stop")))
+
+
+def best_spans(spans: Column) -> Column:
+    """Without spans that a better one of another label meets: one that covers more runs, of equals more of its template."""
+    better = lambda a, b: (a["covered"] > b["covered"]) | ((a["covered"] == b["covered"]) & (a["share"] > b["share"]))
+    meets = lambda a, b: (a["start"] <= b["stop"]) & (b["start"] <= a["stop"]) & (a["label"] != b["label"])
+    return F.filter(spans, lambda b: ~F.exists(spans, lambda a: meets(a, b) & better(a, b)))
+
+
 def scan_documents(docs: DataFrame, phrases: tuple = PHRASES, templates: tuple = TEMPLATES, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans; a row for each document.
 
     n_base counts the places where a base phrase stands; first_word and last_word are their smallest and largest starts
-    (null without any). labels adds those of the spans found; score is the largest covered share of a template, 0 without
-    any. spans lists them: template, label, first word, last word, covered share. Null and empty texts have no words.
-    Rows that repeat give the same row again. Only runs that hit a template leave the scan.
+    (null without any). labels adds those of the spans found; score is the largest covered share of their templates, 1 with
+    a base phrase, 0 without any. spans lists them: template, label, first word, last word, covered share, covered runs;
+    of spans that meet the better one stays, and of equally good ones all. Null and empty texts have no words; texts are
+    read whole. Rows that repeat give the same row again; other columns are not read; empty table: no rows. Only runs that
+    hit a template leave the scan.
     """
     spark = docs.sparkSession
     text = docs[text_column]
@@ -78,21 +132,23 @@ def scan_documents(docs: DataFrame, phrases: tuple = PHRASES, templates: tuple =
     votes = hits.groupBy("doc_id", "key", "template", "base", "label", "runs", (F.col("at") - F.col("place")).alias("diagonal")).agg(F.collect_set("place").alias("places"))
     line = W.partitionBy("doc_id", "key", "template").orderBy("diagonal")
     votes = votes.withColumn("apart", F.coalesce(F.col("diagonal") - F.lag("diagonal").over(line) > NEAR, F.lit(True)).cast("int")).withColumn("span", F.sum("apart").over(line))
+    whole = F.col("base") & (F.size("places") == F.col("runs"))
+    # of a hit its place in the template and in the document
+    stands = F.transform("places", lambda p: F.struct(p.alias("place"), (F.col("diagonal") + p).alias("at")))
     spans = votes.groupBy("doc_id", "key", "template", "base", "label", "runs", "span").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("covered"),
-        F.count_if(F.col("base") & (F.size("places") == F.col("runs"))).alias("exact"),
-        F.min(F.when(F.col("base") & (F.size("places") == F.col("runs")), F.col("diagonal"))).alias("first"),
-        F.max(F.when(F.col("base") & (F.size("places") == F.col("runs")), F.col("diagonal"))).alias("last"),
-        F.min(F.col("diagonal") + F.array_min("places")).alias("start"),
-        F.max(F.col("diagonal") + F.array_max("places") + GRAM - 1).alias("stop"),
-    )
+        F.array_sort(F.flatten(F.collect_list(stands))).alias("hits"), F.count_if(whole).alias("exact"), F.min(F.when(whole, F.col("diagonal"))).alias("first"), F.max(F.when(whole, F.col("diagonal"))).alias("last"),
+    )
+    spans = spans.withColumn("v", in_order(F.col("hits"))).select("*", F.col("v.covered").alias("covered"), F.col("v.start").alias("start"), (F.col("v.stop") + GRAM - 1).alias("stop")).drop("hits", "v")
     share = F.col("covered") / F.col("runs")
-    kept = F.when(share >= COVER, F.struct("template", "label", F.greatest("start", F.lit(0)).alias("start"), "stop", share.alias("share")))
+    kept = F.when(share >= COVER, F.struct("template", "label", "start", "stop", share.alias("share"), "covered"))
     found = spans.groupBy("doc_id", "key").agg(
         F.sum("exact").alias("n_base"), F.min("first").cast("long").alias("first_word"), F.max("last").cast("long").alias("last_word"),
-        F.array_join(F.array_sort(F.collect_set(F.when(F.col("exact") > 0, F.col("label")))), ",").alias("base_labels"),
-        F.array_join(F.array_sort(F.collect_set(F.when((share >= COVER) | (F.col("exact") > 0), F.col("label")))), ",").alias("labels"),
-        F.max(share).alias("score"), F.array_sort(F.collect_list(kept)).alias("spans"),
+        F.array_sort(F.collect_set(F.when(F.col("exact") > 0, F.col("label")))).alias("base"), F.array_sort(F.collect_list(kept)).alias("all_spans"),
+    )
+    found = found.withColumn("spans", best_spans(F.col("all_spans"))).drop("all_spans")
+    found = found.select(
+        "doc_id", "key", "n_base", "first_word", "last_word", F.array_join("base", ",").alias("base_labels"), F.array_join(F.array_sort(F.array_union("base", F.transform("spans", lambda s: s["label"]))), ",").alias("labels"),
+        F.greatest(F.array_max(F.transform("spans", lambda s: s["share"])), F.when(F.col("n_base") > 0, 1.0)).alias("score"), "spans",
     )
     f = found.withColumnsRenamed({"doc_id": "_doc", "key": "_key"})
     joined = counted.join(f, counted["doc_id"].eqNullSafe(f["_doc"]) & (counted["key"] == f["_key"]), "left")
@@ -103,4 +159,5 @@ def scan_documents(docs: DataFrame, phrases: tuple = PHRASES, templates: tuple =
 
 
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License labels of each document of the table."""
     return scan_documents(documents(spark, sf_dir)).drop("spans")

@@ -527,6 +527,25 @@ def test_licenses(spark, docs, none):
         assert labels <= set(r.labels.split(",")) and 0 <= r.score <= 1
         if r.doc_id == 901:
             assert r.labels == "mit" and r.n_base == 0
+    nc = "This is a Creative Commons Attribution-NonCommercial 4.0 International License, all rights reserved"
+    mit = next(x for x, label in licenses.TEMPLATES if label == "mit" and len(x) > 500)
+    backwards = " ".join(reversed("licensed under the gnu general public license version 3".split()))
+    shuffled = "international license 4 0 international noncommercial 4 0 attribution noncommercial 4 commons attribution noncommercial creative commons attribution"
+    cases = [(nc, "cc-by-nc"), ("licensed under a Creative Commons Attribution 4.0 International License", "cc-by"), ("All rights reserved.", ""), (mit, "mit"), (mit.replace("express", "expressly stated"), "mit"), (backwards, ""), (shuffled, ""), (mit + " and licensed under the gnu general public license version 3", "gpl-3,mit")]
+    got = licenses.scan_documents(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.labels for r in got] == [label for _, label in cases]
+    for r, (text, _) in zip(got, cases):
+        w = word.findall(text.translate(LOWER))
+        want = 0.0
+        for span in r.spans or []:
+            runs = [x.split() for x, _ in (*licenses.PHRASES, *licenses.TEMPLATES)][span.template]
+            at, hit = span.start, 0
+            for k in range(len(runs) - 2):  # greedy, as the runs stand in the template
+                here = next((i for i in range(at, len(w) - 2) if w[i : i + 3] == runs[k : k + 3] and abs((i - k) - (at - k)) < 40), None)
+                if here is not None:
+                    hit, at = hit + 1, here + 1
+            want = max(want, hit / (len(runs) - 2))
+        assert abs(r.score - want) < 1e-9 or r.n_base
     assert licenses.scan_documents(none).count() == 0
 
 
