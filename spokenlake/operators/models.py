@@ -137,3 +137,66 @@ def staged(items: DataFrame, steps: list[Callable[[DataFrame], DataFrame]], writ
                 if attempt == most or not write:
                     raise
     return items
+
+
+def table_model(rows: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[str, list]]], schema: str) -> DataFrame:
+    """A batch model: columns in, columns out, any number of rows for each batch. ``make`` opens it once in each task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = make()
+        for batch in batches:
+            got = model(batch.to_pydict())
+            yield pa.RecordBatch.from_pydict(got)
+
+    return rows.mapInArrow(run, schema)
+
+
+def piped(rows: DataFrame, command: list[str], request: str = "request") -> DataFrame:
+    """rows with response: each request, a line of JSON, goes to a child process of its task, which answers with a line.
+    The process lives as long as the task; if it ends early the task fails and is tried again."""
+    names = rows.columns
+    at = names.index(request)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import subprocess
+
+        with subprocess.Popen(command, stdin=subprocess.PIPE, stdout=subprocess.PIPE, text=True, encoding="utf-8", bufsize=1) as worker:
+            for batch in batches:
+                out = []
+                for line in batch.column(at).to_pylist():
+                    worker.stdin.write(line + "\n")
+                    worker.stdin.flush()
+                    answer = worker.stdout.readline()
+                    if not answer:
+                        raise RuntimeError("the worker process ended")
+                    out.append(answer.rstrip("\n"))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=[*names, "response"])
+            worker.stdin.close()
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", response string"
+    return rows.mapInArrow(run, schema)
+
+
+def transcribed(segments: DataFrame, model: Callable[[str, str], str], key: str = "doc_id") -> DataFrame:
+    """segments: key, idx, request, cached -> key, idx, text: each segment is asked in order with the text before it; one
+    that is cached is not asked again. A task streams through its keys' sorted rows and holds one text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: tuple = (None, "")
+        for batch in batches:
+            out: list[tuple] = []
+            for k, i, request, cached in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                before = last[1] if last[0] == k else ""
+                last = (k, cached if cached is not None else model(request, before))
+                out.append((k, i, last[1]))
+            yield pa.RecordBatch.from_arrays([pa.array([o[n] for o in out], t) for n, t in enumerate((pa.int64(), pa.int64(), pa.string()))], names=[key, "idx", "text"])
+
+    given = segments.select(F.col(key).cast("long").alias(key), F.col("idx").cast("long").alias("idx"), "request", "cached")
+    return given.repartition(key).sortWithinPartitions(key, "idx").mapInArrow(run, f"{key} long, idx long, text string")
+
+
+def greedy(scores, eos: int):
+    """Column: the likeliest symbol of each step (of equal ones the first) up to the end symbol."""
+    best = F.transform(scores, lambda s: (F.array_position(s, F.array_max(s)) - 1).cast("int"))
+    end = F.array_position(best, eos)
+    return F.when(end > 0, F.slice(best, 1, (end - 1).cast("int"))).otherwise(best)

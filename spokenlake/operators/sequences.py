@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from spokenlake.functions import numbers as N
 from spokenlake.functions import text as T
 
 
@@ -129,3 +130,31 @@ def joined_islands(frames: DataFrame, value: Column, gap: int, least: int) -> Da
     held = frames.where(value).withColumn("_new", F.coalesce(F.col("frame") - F.lag("frame").over(w) - 1 >= gap, F.lit(True)).cast("int"))
     grouped = held.withColumn("_k", F.sum("_new").over(w)).groupBy("doc_id", "_k").agg(F.min("frame").alias("start"), (F.max("frame") + 1).alias("stop"), F.count("*").alias("speech"))
     return grouped.where(F.col("speech") >= least).drop("_k")
+
+
+def sentences(lines: DataFrame, char_ms: int) -> DataFrame:
+    """lines: doc_id, idx, text, start_ms; each character takes ``char_ms``. Sentences end after their marks; the rest of a
+    line is one too. start_ms and end_ms are those of the first and last character that is no white space; a sentence
+    without any is left out."""
+    # The marks that end a sentence.
+    parts = lines.select("doc_id", "idx", "start_ms", F.posexplode(F.split("text", "(?<=[。！？!?；;])")).alias("pos", "sentence"))
+    before = F.coalesce(F.sum(F.length("sentence")).over(by("doc_id", "idx", order="pos").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    lead = F.length("sentence") - F.length(F.regexp_replace("sentence", f"^{T.WS}+", ""))
+    tail = F.length(F.regexp_replace("sentence", f"{T.WS}+$", ""))
+    found = parts.withColumn("_before", before).where(T.strip(F.col("sentence")) != "")
+    return found.select("doc_id", "idx", T.strip(F.col("sentence")).alias("sentence"), (F.col("start_ms") + char_ms * (F.col("_before") + lead)).alias("start_ms"), (F.col("start_ms") + char_ms * (F.col("_before") + tail)).alias("end_ms"))
+
+
+def assess(frames: DataFrame, covered: Column, frame_ms: int = 16, long_gap_ms: int = 2000) -> DataFrame:
+    """frames: doc_id, frame, is_speech; covered: whether aligned text covers a frame -> one assessment a document: the
+    share of speech between the first and last covered frame, the longest uncovered speech (of equal ones the first),
+    and what follows from them."""
+    marked = frames.withColumn("_c", covered)
+    span = marked.where("_c").groupBy("doc_id").agg(F.min("frame").alias("lo"), (F.max("frame") + 1).alias("hi"))
+    inside = F.col("is_speech") & (F.col("frame") >= F.col("lo")) & (F.col("frame") < F.col("hi"))
+    share = marked.join(span, "doc_id", "left").groupBy("doc_id").agg(F.count_if("is_speech").alias("speech"), F.count_if(inside).alias("covered"), F.count("lo").alias("aligned"))
+    gap = longest_run(marked, F.col("is_speech") & ~F.col("_c")).select("doc_id", (F.col("start") * frame_ms).alias("gap_start_ms"), (F.col("size") * frame_ms).alias("gap_ms"))
+    out = share.join(gap, "doc_id", "left").withColumn("gap_ms", F.coalesce("gap_ms", F.lit(0))).withColumn("gap_start_ms", F.coalesce("gap_start_ms", F.lit(0)))
+    status = F.when(F.col("speech") == 0, "no_speech").otherwise(N.coverage_status(F.lit(True), F.col("aligned") > 0, F.col("covered") / F.col("speech")))
+    out = out.withColumn("status", status).withColumn("long_gap", F.col("gap_ms") > long_gap_ms)
+    return out.select("doc_id", "speech", "covered", "gap_start_ms", "gap_ms", "status", N.anomalous(F.col("gap_ms"), F.col("status")).alias("anomalous"), N.needs_probe(F.col("gap_ms"), F.col("status")).alias("probe"))

@@ -254,3 +254,79 @@ def wav_frames(spark: SparkSession, d: str) -> DataFrame:
     head = F.concat(F.lit("52494646"), size(n * 512 + 36), F.lit("57415645666D74201000000001000100803E0000007D00000200100064617461"), size(n * 512))
     files = X.table(spark, d, "pages").select(F.col("page_id").cast("string").alias("path"), F.unhex(F.concat(head, F.repeat(wave, n * 128))).alias("content"))
     return A.frames(files).groupBy(F.col("path").cast("long").alias("page_id")).agg(F.count("*").alias("frames"), F.sum("energy").alias("energy"))
+
+
+# Sentences, decoding, plug-ins
+
+
+_MARK = "regexp_replace(text, '([。！？!?；;])', '\\1' || chr(1), 'g')"
+
+
+@query(rf"""WITH {X.SEG}, p AS (SELECT doc_id, idx, start_ms, unnest(string_split({_MARK}, chr(1))) AS s, generate_subscripts(string_split({_MARK}, chr(1)), 1) AS pos FROM seg),
+b AS (SELECT *, coalesce(sum(length(s)) OVER (PARTITION BY doc_id, idx ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM p)
+SELECT doc_id, idx, {X.strip_sql('s')} AS sentence, CAST(start_ms + 60 * (before + length(s) - length(regexp_replace(s, '^{X.WSC}+', ''))) AS BIGINT) AS start_ms, CAST(start_ms + 60 * (before + length(regexp_replace(s, '{X.WSC}+$', ''))) AS BIGINT) AS end_ms FROM b WHERE {X.strip_sql('s')} <> ''""")
+def sentences(spark: SparkSession, d: str) -> DataFrame:
+    return S.sentences(X.segments(spark, d), 60)
+
+
+@query(f"WITH {X.FRA}, f AS (SELECT doc_id, CAST(frame // 12 AS BIGINT) AS clip, frame, energy % 7 AS t FROM fra), e AS (SELECT doc_id, clip, min(frame) FILTER (t = 0) AS stop FROM f GROUP BY 1, 2) SELECT f.doc_id, f.clip, coalesce(string_agg(CAST(t AS VARCHAR), ' ' ORDER BY frame) FILTER (stop IS NULL OR frame < stop), '') AS tokens FROM f JOIN e USING (doc_id, clip) GROUP BY 1, 2")
+def greedy_decode(spark: SparkSession, d: str) -> DataFrame:
+    f = X.frames(spark, d).select("doc_id", F.floor(F.col("frame") / 12).cast("long").alias("clip"), "frame", F.transform(F.sequence(F.lit(0), F.lit(6)), lambda k: F.when(k == F.col("energy") % 7, 0.9).otherwise(0.1)).alias("scores"))
+    g = f.groupBy("doc_id", "clip").agg(F.transform(F.array_sort(F.collect_list(F.struct("frame", "scores"))), lambda x: x["scores"]).alias("scores"))
+    return g.select("doc_id", "clip", F.array_join(F.transform(P.greedy(F.col("scores"), 0), lambda t: t.cast("string")), " ").alias("tokens"))
+
+
+_GAPS = "g AS (SELECT doc_id, frame, frame - row_number() OVER (PARTITION BY doc_id ORDER BY frame) AS k FROM fra WHERE is_speech AND frame * 37 % 100 < 30), i AS (SELECT doc_id, min(frame) AS start, count(*) AS size FROM g GROUP BY doc_id, k QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY count(*) DESC, min(frame)) = 1)"
+
+
+@query(f"""WITH {X.FRA}, {_GAPS}, s AS (SELECT doc_id, min(frame) AS lo, max(frame) + 1 AS hi FROM fra WHERE is_speech AND frame * 37 % 100 >= 30 GROUP BY 1),
+a AS (SELECT f.doc_id, count(*) FILTER (is_speech) AS speech, count(*) FILTER (is_speech AND frame >= lo AND frame < hi) AS covered, count(lo) AS aligned FROM fra f LEFT JOIN s USING (doc_id) GROUP BY 1),
+b AS (SELECT a.doc_id, speech, covered, coalesce(start * 16, 0) AS gap_start_ms, coalesce(size * 16, 0) AS gap_ms, CASE WHEN speech = 0 THEN 'no_speech' WHEN aligned = 0 THEN 'alignment_failed' WHEN covered / speech::DOUBLE < 0.6 THEN 'low_coverage' ELSE 'sufficient' END AS status FROM a LEFT JOIN i USING (doc_id))
+SELECT *, gap_ms > 2000 OR status NOT IN ('no_speech', 'sufficient') AS anomalous, status = 'no_transcript' OR (status = 'low_coverage' AND gap_ms > 2000) AS probe FROM b""")
+def assess_transcription(spark: SparkSession, d: str) -> DataFrame:
+    return S.assess(X.frames(spark, d), F.col("is_speech") & (F.col("frame") * 37 % 100 >= 30))
+
+
+@query(f"WITH {X.SEG} SELECT doc_id, CAST(idx AS BIGINT) AS idx, CASE WHEN idx % 4 = 0 THEN '100' ELSE CAST(idx % 4 + CASE WHEN idx >= 4 THEN 100 ELSE 0 END AS VARCHAR) END AS text FROM seg")
+def sequential_transcription(spark: SparkSession, d: str) -> DataFrame:
+    """Each segment is transcribed with the one before it; every fourth is cached."""
+    s = X.segments(spark, d).select("doc_id", "idx", F.lit("next").alias("request"), F.when(F.col("idx") % 4 == 0, "100").alias("cached"))
+    return P.transcribed(s, lambda request, before: str(int(before or 0) + 1))
+
+
+@query("SELECT doc_id, CAST(length(text) AS BIGINT) AS n FROM documents")
+def worker_process(spark: SparkSession, d: str) -> DataFrame:
+    """Requests and responses as JSON lines of a child process."""
+    import sys
+
+    program = "import json, sys\nfor line in sys.stdin:\n    r = json.loads(line)\n    print(json.dumps({'n': len(r['text'])}), flush=True)"
+    rows = X.table(spark, d, "documents").select("doc_id", F.to_json(F.struct("text")).alias("request"))
+    return P.piped(rows, [sys.executable, "-c", program]).select("doc_id", F.from_json("response", "n long")["n"].alias("n"))
+
+
+@query("SELECT page_id, CASE WHEN page_id % 6 = 0 THEN NULL ELSE '<p>' || url || '</p>' END AS html, page_id % 6 <> 0 AS ok FROM pages")
+def page_loading(spark: SparkSession, d: str) -> DataFrame:
+    """Pages come from a loader that is plugged in; what cannot be loaded is a row that says so."""
+
+    def loader(urls: list[str]) -> list[str]:
+        if urls[0] == "":
+            raise P.Retryable("timeout")
+        return [f"<p>{u}</p>" for u in urls]
+
+    rows = X.table(spark, d, "pages").select("page_id", F.when(F.col("page_id") % 6 == 0, "").otherwise(F.col("url")).alias("url"))
+    return P.call(rows, [loader], prompt="url", wait=_no_wait).select("page_id", F.col("answer").alias("html"), "ok")
+
+
+@query("SELECT conv_id, turn, upper(role) || '.' AS text FROM conversations WHERE role <> 'system'")
+def batch_model(spark: SparkSession, d: str) -> DataFrame:
+    """A table-valued model, opened once a task: a stand-in for a punctuation restorer, which drops some rows."""
+
+    def make():
+        def punctuate(columns: dict) -> dict:
+            kept = [k for k, r in enumerate(columns["role"]) if r != "system"]
+            return {"conv_id": [columns["conv_id"][k] for k in kept], "turn": [columns["turn"][k] for k in kept], "text": [columns["role"][k].upper() + "." for k in kept]}
+
+        return punctuate
+
+    c = X.table(spark, d, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role")
+    return P.table_model(c, make, "conv_id long, turn long, text string")

@@ -13,7 +13,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from spokenlake import sinks
+from spokenlake import cli, sinks
 from spokenlake.functions import python_text as P
 from spokenlake.functions import text as T
 from spokenlake.operators import audit, dynamic, models, sequences
@@ -222,3 +222,13 @@ def test_transcripts(spark, tmp_path):
     rows = spark.createDataFrame([("t", 2, 5, 9, "b"), ("t", 1, 0, 5, "a")], "title string, index int, start_ms long, end_ms long, text string")
     transcripts.write_manifest(rows, str(tmp_path / "out"))
     assert [(r.text, r["index"]) for r in transcripts.segments(spark, str(tmp_path / "out"), pruned=True, lines=True).orderBy("index").collect()] == [("a", 1), ("b", 2)]
+
+
+def test_cli(spark, capsys, tmp_path):
+    assert cli.main(["batch_totals", "/root/testdata/sf0.001", "--rows", "2"]) == 0
+    assert len(capsys.readouterr().out.splitlines()) == 2
+    assert cli.main(["batch_totals", "/root/testdata/sf0.001", "--table", str(tmp_path / "t")]) == 0
+    assert spark.read.json(str(tmp_path / "t")).count() == 20
+    assert cli.main(["no_such_query", "x"]) == 1
+    with pytest.raises(SystemExit):
+        cli.main(["a", "b", "--rows", "0"])
