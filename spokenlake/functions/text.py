@@ -57,22 +57,36 @@ def has_speech(c: Column) -> Column:
 
 def excerpt(evidence: Column, name: Column, size: int = 300) -> Column:
     """At most ``size`` characters around the name's first place, moved back at the end; the beginning without a place."""
-    at = F.coalesce(find_name(evidence, name), F.lit(-1))
-    start = F.greatest(F.lit(0), F.least(F.length(evidence), F.greatest(F.lit(0), at - size // 2) + size) - size)
-    return F.when(F.length(evidence) <= size, evidence).otherwise(F.substring(evidence, F.when(at < 0, 0).otherwise(start) + 1, F.lit(size)))
+
+    def cut(at: Column) -> Column:
+        start = F.greatest(F.lit(0), F.least(F.length(evidence), F.greatest(F.lit(0), at - size // 2) + size) - size)
+        return F.substring(evidence, F.when(at < 0, 0).otherwise(start) + 1, F.lit(size))
+
+    # the place is looked for once, and only where the evidence has to be cut
+    return F.when(F.length(evidence) <= size, evidence).otherwise(F.transform(F.array(F.coalesce(find_name(evidence, name), F.lit(-1))), cut)[0])
 
 
 def find_name(source: Column, name: Column) -> Column:
     """Where the name first stands in the source, white space and case aside: a position from 0 in the source as it is, or
-    null. Each sign is folded alone, so a place is found also where folding changes lengths."""
-    kept = F.filter(F.transform(F.split(source, ""), lambda c, i: F.struct(ws_remove(F.lower(c)).alias("c"), i.alias("i"))), lambda x: x["c"] != "")
-    folded = F.array_join(F.transform(kept, lambda x: x["c"]), "")
-    at = F.instr(folded, F.lower(ws_remove(name))) - 1
-    # only where folding makes a sign longer does the place in the folded text differ from the place among the kept signs
-    plain = F.length(folded) == F.size(kept)
-    ends = lambda k: F.reduce(k, F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + F.length(x["c"]))))
-    number = F.when(plain, at).otherwise(F.array_position(F.transform(ends(F.when(~plain, kept)), lambda e: e > at), F.lit(True)).cast("int") - 2)
-    return F.when((at >= 0) & (ws_remove(name) != ""), F.get(kept, number)["i"])
+    null. The place is found in the folded text without white space and counted back over the source's words; where
+    folding changes a length, over its signs."""
+    wanted = F.lower(ws_remove(name))
+    at = F.instr(F.lower(ws_remove(source)), wanted) - 1
+    begin = F.struct(F.lit(0).alias("seen"), F.lit(0).alias("place"), F.lit(None).cast("int").alias("found"))
+
+    def word(s: Column, w: Column) -> Column:
+        size = F.length(w)
+        here = F.when(s["found"].isNull() & (at < s["seen"] + size), s["place"] + at - s["seen"]).otherwise(s["found"])
+        return F.struct((s["seen"] + size).alias("seen"), (s["place"] + size + 1).alias("place"), here.alias("found"))
+
+    def sign(s: Column, c: Column) -> Column:
+        size = F.length(ws_remove(F.lower(c)))
+        here = F.when(s["found"].isNull() & (at < s["seen"] + size), s["place"]).otherwise(s["found"])
+        return F.struct((s["seen"] + size).alias("seen"), (s["place"] + 1).alias("place"), here.alias("found"))
+
+    by_words = F.reduce(F.split(source, WS), begin, word, lambda s: s["found"])
+    by_signs = F.reduce(F.split(source, ""), begin, sign, lambda s: s["found"])
+    return F.when((at >= 0) & (wanted != ""), F.when(F.length(F.lower(source)) == F.length(source), by_words).otherwise(by_signs))
 
 
 def context_excerpt(text: Column, start: Column, stop: Column, size: int = 20) -> Column:
