@@ -34,15 +34,16 @@ def shared_dir(spark: SparkSession) -> str:
 def written(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """df as a Parquet table in the shared folder: cuts the lineage and survives lost executors.
 
-    Inside ``temporary()`` the table goes when the block ends, unless it is to be kept.
+    Inside ``temporary()`` the table goes when the block ends; one that is to be kept goes with the block around it, if
+    there is one.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/spokenlake/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_at = path
-    if _TEMPORARY and not keep:
-        _TEMPORARY[-1].append(out)
+    if len(_TEMPORARY) > keep:
+        _TEMPORARY[-1 - keep].append(out)
     return out
 
 

@@ -260,7 +260,7 @@ def learn(rows: DataFrame, vocabulary: list[str], sample: int = SAMPLE_DOCUMENTS
                         seen[lang, w] += n
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.string()), pa.array(list(seen.values()), pa.int64())], names=["lang", "word", "n"])
 
-    words = written(taken.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "words", keep=True)
+    words = written(taken.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     even = 1.0 / len(vocabulary)
     model = {lang: dict.fromkeys(vocabulary, even) for lang in langs}
     for _ in range(rounds):

@@ -170,7 +170,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) ->
     limit = F.when(F.col("toxic") == 1, min(1.0, sample / sizes[1])).otherwise(min(1.0, sample / max(1, sizes.get(0, 0))))
     taken = labels.where(share < limit).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     rows = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(taken), "doc_id")
-    rows = written(rows.groupBy(F.xxhash64("text").alias("h")).agg(F.max("toxic").alias("toxic"), F.first("text").alias("text")).select("toxic", "text"), "labelled", keep=True)
+    rows = written(rows.groupBy(F.xxhash64("text").alias("h")).agg(F.max("toxic").alias("toxic"), F.first("text").alias("text")).select("toxic", "text"), "labelled")
     whole = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic, clean = whole.get(1, 0), whole.get(0, 0)
 

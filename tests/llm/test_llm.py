@@ -668,6 +668,44 @@ def test_pipeline(spark):
     assert docs.where("n_tokens > 0").count() > 0
 
 
+def test_pipeline_on_hard_rows(spark):
+    """Nulls in every column, empty texts, repeated rows, other columns of clashing names, an empty table."""
+    import corpus_pipeline
+
+    real = spark.read.parquet(f"{DATA}/documents.parquet").where("doc_id < 60").select(*corpus_pipeline.COLUMNS)
+    hard = spark.createDataFrame([(None, None, None, None, None), (None, "", None, None, 0), (5, " \n", "en", None, 3), (None, None, "en", "a", None)], real.schema)
+    marked = real.unionByName(hard).unionByName(real.where("doc_id < 3")).withColumn("row", F.lit("x")).withColumn("score", F.lit(2)).withColumn("size", F.lit("y"))
+    for start in (marked, marked.where("false")):
+        docs, counts = start, [start.count()]
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = corpus_pipeline.written(stage(spark, docs, DATA), name)
+            assert docs.columns == corpus_pipeline.COLUMNS
+            counts.append(docs.count())
+        ids = corpus_pipeline.STAGES[-1][1](spark, docs, DATA)
+        assert ids.count() == counts[-1]
+        if not counts[0]:
+            assert counts == [0] * 5
+    kept = corpus_pipeline.keep_languages(spark, marked, DATA)
+    assert kept.where("text is null or trim(text) = ''").count() == 0 and kept.count() >= real.count()
+    moved = corpus_pipeline.hide_personal_data(spark, marked, DATA)
+    assert moved.count() == marked.count() and moved.where("n_chars <> length(text)").count() == 0
+    one = corpus_pipeline.drop_near_duplicates(spark, marked, DATA)
+    want = {min((k is None, k) for k, _, c in got) for got in [[(r.doc_id, r.text, 0)] for r in marked.where("text is null").collect()]}
+    assert one.where("text is null").count() == 2 and len(want) == 1  # rows without text are linked with nothing
+
+
+def test_pipeline_run_leaves_no_tables(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+
+    from spokenlake.llm import common
+
+    spark.read.parquet(f"{DATA}/documents.parquet").where("doc_id < 80").write.parquet(str(tmp_path / "in" / "documents.parquet"))
+    monkeypatch.setattr(common, "shared_dir", lambda spark: "file://" + str(tmp_path / "shared"))
+    got = corpus_pipeline.run(spark, str(tmp_path / "in"))
+    assert got.count() > 0 and not common._TEMPORARY
+    assert [p.name.rsplit("-", 1)[0] for p in (tmp_path / "shared" / "spokenlake").iterdir() if not p.name.startswith(".")] == ["pipeline-mixing"]
+
+
 def test_pipeline_tells_rows_apart_without_ids(spark):
     import corpus_pipeline
 
