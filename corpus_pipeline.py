@@ -1,7 +1,8 @@
 """Corpus pipeline: language ID, near duplicates, personal data, mixing, encoding.
 
 Each stage reads what the one before wrote and returns documents (doc_id, text, lang, source, n_chars); the last returns
-token ids. Empty tables pass through all stages.
+token ids. Stages read these columns only, whatever others there are. Null and repeated ids are rows of their own in all
+stages; null and empty texts are undetermined in language and go in the first; empty tables pass through all stages.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spokenlake.llm import bpe, jaccard, language, mixing, pii
-from spokenlake.llm.common import written
+from spokenlake.llm.common import forget, temporary, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A document stays unless its language cannot be told at all, or the best is less likely than this.
@@ -19,7 +20,8 @@ ORACLE_SQL = None  # language ID, the join, pseudonyms and encoding have no SQL
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose language is undetermined (no letters) or told with a score below LEAST_SCORE."""
+    """Drops documents whose language is undetermined (no text, no letters) or told with a score below LEAST_SCORE. Rows
+    that repeat are told alike; without rows to learn from all are undetermined."""
     told = language.identify(docs.select(*COLUMNS), *language.learned(docs))
     return told.where((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select(*COLUMNS)
 
@@ -41,7 +43,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces personal data by pseudonyms of the same format; n_chars is counted anew, as addresses of the
+    """Replaces personal data by pseudonyms of the same format, row by row, so nulls and repeats stay; n_chars is counted anew, as addresses of the
     internet protocol can change their length."""
     return pii.pseudonymise(docs.select(*COLUMNS), pii.key_of(spark)).select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
 
@@ -59,7 +61,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, with their digest and that of the decoded text."""
+    """Token ids of each row, with their digest and that of the decoded text; null texts have none."""
     return bpe.encode_documents(docs, *bpe.default_vocabulary(), ids=True)
 
 
@@ -67,9 +69,13 @@ STAGES = [("language", keep_languages), ("near_duplicates", drop_near_duplicates
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = written(docs, f"pipeline-{name}")
-    return docs
+    """All stages over the documents of a folder. A stage's tables go when its output is written, and that when the next
+    one's is; the result still reads the last but one."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for name, stage in STAGES[:-1]:
+        with temporary():
+            docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}", keep=True)
+        if before is not None:
+            forget(before)
+        before = docs
+    return STAGES[-1][1](spark, docs, sf_dir)
