@@ -69,6 +69,11 @@ def _alternatives() -> str:
 PATTERN = _alternatives()
 
 
+def once(value: Column, use) -> Column:
+    """use(value) with the value computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _byte(text: Column, at: Column) -> Column:
     """Byte ``at`` (from 0, around 32) of a SHA-256 in hexadecimal."""
     return F.conv(F.substr(text, F.pmod(at, F.lit(32)) * 2 + 1, F.lit(2)), 16, 10).cast("int")
@@ -77,28 +82,35 @@ def _byte(text: Column, at: Column) -> Column:
 def _turn(part: Column, mask: Column, alphabets: tuple[str, ...]) -> Column:
     """Each character moved on inside its alphabet by the mask's byte; characters of none stay."""
 
-    def one(c: Column, i: Column) -> Column:
-        out = c
-        for a in alphabets:
-            at = F.instr(F.lit(a), c)
-            out = F.when((c != "") & (at > 0), F.substr(F.lit(a), F.pmod(at - 1 + _byte(mask, i), F.lit(len(a))) + 1, F.lit(1))).otherwise(out)
-        return out
+    def turned(m: Column) -> Column:
+        def one(c: Column, i: Column) -> Column:
+            out = c
+            for a in alphabets:
+                at = F.instr(F.lit(a), c)
+                out = F.when((c != "") & (at > 0), F.substr(F.lit(a), F.pmod(at - 1 + _byte(m, i), F.lit(len(a))) + 1, F.lit(1))).otherwise(out)
+            return out
 
-    return F.array_join(F.transform(F.split(part, ""), one), "")
+        return F.array_join(F.transform(F.split(part, ""), one), "")
+
+    return once(mask, turned)
 
 
 def permute_text(value: Column, key: Column, tag: str, alphabets: tuple[str, ...] = (DIGITS,)) -> Column:
     """Feistel network on a string: the halves turn each other's characters, ROUNDS times."""
-    half = F.floor(F.length(value) / 2).cast("int")
-    start = F.struct(F.substr(value, F.lit(1), half).alias("a"), F.substr(value, half + 1, F.length(value)).alias("b"))
 
-    def step(s: Column, r: Column) -> Column:
-        mask = lambda other: F.sha2(F.concat_ws("|", key, F.lit(tag), r.cast("string"), F.length(value).cast("string"), other), 256)
-        even = F.struct(_turn(s["a"], mask(s["b"]), alphabets).alias("a"), s["b"].alias("b"))
-        odd = F.struct(s["a"].alias("a"), _turn(s["b"], mask(s["a"]), alphabets).alias("b"))
-        return F.when(r % 2 == 0, even).otherwise(odd)
+    def permuted(v: Column) -> Column:
+        half = F.floor(F.length(v) / 2).cast("int")
+        start = F.struct(F.substr(v, F.lit(1), half).alias("a"), F.substr(v, half + 1, F.length(v)).alias("b"))
+
+        def step(s: Column, r: Column) -> Column:
+            mask = lambda other: F.sha2(F.concat_ws("|", key, F.lit(tag), r.cast("string"), F.length(v).cast("string"), other), 256)
+            even = F.struct(_turn(s["a"], mask(s["b"]), alphabets).alias("a"), s["b"].alias("b"))
+            odd = F.struct(s["a"].alias("a"), _turn(s["b"], mask(s["a"]), alphabets).alias("b"))
+            return F.when(r % 2 == 0, even).otherwise(odd)
+
+        return F.reduce(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, step, lambda s: F.concat(s["a"], s["b"]))
 
-    return F.reduce(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, step, lambda s: F.concat(s["a"], s["b"]))
+    return once(value, permuted)
 
 
 def permute_number(value: Column, key: Column, tag: str, rows: int, columns: int) -> Column:
