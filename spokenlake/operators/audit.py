@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 # A line that is a code fence, the marks of a heading, and the share of content that may go.
 FENCE, HEADING = re.compile(r"\s*```[A-Za-z0-9_-]*\s*"), re.compile(r"^\s{0,3}#{1,6}\s+")
 MOST_DELETED = 0.05
-OUT = "doc_id long, idx int, verdict string, deleted long, source long"
+OUT = "doc_id long, idx int, verdict string, deleted long, source long, deletions array<struct<start: int, stop: int, text: string>>"
 
 
 def content(text: str) -> str:
@@ -40,12 +40,25 @@ def verdict(original: str, formatted: str) -> tuple[str, int, int]:
     return ("valid" if gone <= MOST_DELETED * size else "too_much"), gone, size
 
 
+def deletions(original: str, formatted: str) -> list[dict]:
+    """What a valid edit took out: from the first to the last content character of each deletion, in the original text,
+    so that punctuation between them belongs to it."""
+    places = [i for i, c in enumerate(original) if content(c)]
+    codes = SequenceMatcher(None, content(original), content(plain(formatted)), autojunk=False).get_opcodes()
+    spans = [(places[i], places[j - 1] + 1) for op, i, j, _, _ in codes if op == "delete"]
+    return [{"start": a, "stop": b, "text": original[a:b]} for a, b in spans]
+
+
 def audit(pairs: DataFrame) -> DataFrame:
-    """pairs: doc_id, idx, original, formatted."""
+    """pairs: doc_id, idx, original, formatted -> the verdict on each, and the deletions of those that are valid."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        span = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("text", pa.string())]))
         for batch in batches:
-            found = [verdict(a or "", b or "") for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.int64()), pa.array([f[2] for f in found], pa.int64())], names=["doc_id", "idx", "verdict", "deleted", "source"])
+            texts = [(a or "", b or "") for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            found = [verdict(a, b) for a, b in texts]
+            gone = [deletions(a, b) if f[0] == "valid" and f[1] else [] for f, (a, b) in zip(found, texts, strict=True)]
+            columns = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.int64()), pa.array([f[2] for f in found], pa.int64()), pa.array(gone, span)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["doc_id", "idx", "verdict", "deleted", "source", "deletions"])
 
     return pairs.select("doc_id", "idx", "original", "formatted").mapInArrow(run, OUT)

@@ -58,6 +58,14 @@ def test_audit_is_difflib_on_the_whole_content():
     assert audit.verdict("甲乙", "```text\n## 甲乙\n```")[0] == "valid"
 
 
+def test_audit_lists_deletions(spark):
+    long = "一二三四五六七八九十" * 5
+    pairs = [(1, 1, f"{long}，那、个，{long}", f"## {long}，{long}"), (1, 2, "ab", "ax"), (1, 3, None, "")]
+    got = audit.audit(spark.createDataFrame(pairs, "doc_id long, idx int, original string, formatted string")).orderBy("idx").collect()
+    assert [(r.verdict, r.deleted) for r in got] == [("valid", 2), ("rewrite", 0), ("valid", 0)]
+    assert [(d.start, d.stop, d.text) for d in got[0].deletions] == [(51, 54, "那、个")] and not got[1].deletions
+
+
 def test_viterbi_is_likeliest():
     logs = np.log(np.random.default_rng(5).dirichlet(np.ones(3), 6))
     tokens = [1, 1]
