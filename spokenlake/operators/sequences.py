@@ -59,10 +59,17 @@ def sessions(rows: DataFrame, key: str, at: Column, gap: int) -> DataFrame:
     return marked.withColumn("session", F.sum("_new").over(w)).groupBy(key, "session").agg(F.min("_at").alias("start"), F.max("_at").alias("stop"), F.count("*").alias("n"))
 
 
-def next_where(rows: DataFrame, key: str, order: str, flag: str) -> DataFrame:
-    """The smallest later position at which flag holds."""
-    after = W.partitionBy(key).orderBy(F.desc(order)).rowsBetween(W.unboundedPreceding, -1)  # a growing frame: linear
-    return rows.withColumn("next", F.last(F.when(F.col(flag), F.col(order)), ignorenulls=True).over(after))
+def next_where(rows: DataFrame, key: str, order: str, flag: str, width: int = 4096) -> DataFrame:
+    """The smallest later position (a whole number) at which flag holds. In two levels, so that a key with most rows is
+    many tasks: inside runs of ``width`` positions, and over the runs' first such positions."""
+    cut = rows.withColumn("_run", F.floor(F.col(order) / width))
+    held = F.when(F.col(flag), F.col(order))
+    after = lambda *keys: W.partitionBy(*keys).rowsBetween(W.unboundedPreceding, -1)  # noqa: E731 - a growing frame: linear
+    inside = cut.withColumn("_here", F.last(held, ignorenulls=True).over(after(key, "_run").orderBy(F.desc(order))))
+    firsts = cut.groupBy(F.col(key).alias("_key"), F.col("_run").alias("_at")).agg(F.min(held).alias("_first"))
+    later = firsts.withColumn("_later", F.last("_first", ignorenulls=True).over(after("_key").orderBy(F.desc("_at")))).drop("_first")
+    joined = inside.join(later, inside[key].eqNullSafe(later["_key"]) & (inside["_run"] == later["_at"]))
+    return joined.withColumn("next", F.coalesce("_here", "_later")).drop("_run", "_here", "_key", "_at", "_later")
 
 
 PACKED = "doc_id long, chunk long, first_idx long, last_idx long, n_chars long"

@@ -121,8 +121,9 @@ def test_rss_problems_stop_a_strict_feed(spark):
 
 def test_next_where_and_find_name(spark):
     rows = spark.createDataFrame([("k", i, i in (3, 6)) for i in range(8)], "key string, pos int, flag boolean")
-    got = {r.pos: r.next for r in sequences.next_where(rows, "key", "pos", "flag").collect()}
-    assert got == {0: 3, 1: 3, 2: 3, 3: 6, 4: 6, 5: 6, 6: None, 7: None}
+    for width in (1, 2, 3, 4096):
+        got = {r.pos: r.next for r in sequences.next_where(rows, "key", "pos", "flag", width).collect()}
+        assert got == {0: 3, 1: 3, 2: 3, 3: 6, 4: 6, 5: 6, 6: None, 7: None}
     cases = [("the B ig Corp", "bigcorp", 4), ("İİ x Name", "name", 5), ("nothing", "name", None), ("a", " ", None), ("İn", "n", 1), (None, "n", None)]
     table = spark.createDataFrame(cases, "s string, n string, want int").select("want", T.find_name(F.col("s"), F.col("n")).alias("got"))
     assert all(r.want == r.got for r in table.collect())
