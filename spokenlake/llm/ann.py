@@ -1,26 +1,32 @@
 """Approximate nearest neighbours: inverted file of coarse centroids, product-quantised residuals, asymmetric distance
 tables and exact reranking, for the largest inner product. In the probed lists the result is exact: the tables set a row
-aside only if its score and the most that its quantisation can hide stay below the k-th exact score."""
+aside only if its score and the most that its quantisation can hide stay below a score that k others have. The nearest
+lists of a query are searched first, and the k-th best of them is the bar for all its other lists."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-#: Vectors to fit centroids and codebooks on, about.
-SAMPLE_VECTORS = 20_000
+from .common import temporary, written
+
+#: Vectors to fit centroids on, about, and of them those to fit codebooks on.
+SAMPLE_VECTORS, CODE_VECTORS = 20_000, 4096
 #: The share of true neighbours whose lists are probed, as measured on sampled queries; and how many those are.
 AIM, ASKED, NEIGHBOURS = 0.97, 256, 20
-PARTS, CODES = 16, 64
+PARTS, CODES = 32, 64
 ROUNDS = 10
-#: Candidates of a block whose exact scores give the first bar; rows of a list that one task holds at most, about.
-RERANK = 160
-BLOCK_ROWS = 8192
+#: Rows of a block whose exact scores give a bar where a query has none, or more rows reach it.
+RERANK = 64
+#: Rows of a list, and queries, that one task holds at most, about; queries and pairs that it scores at a time.
+BLOCK_ROWS, BLOCK_QUERIES = 8192, 16384
+ASK, PAIRS = 256, 1 << 16
 
 
 def valid(rows: DataFrame, vector: str) -> DataFrame:
@@ -54,6 +60,7 @@ class Index:
     def fitted(cls, sample: np.ndarray, lists: int, parts: int = PARTS, codes: int = CODES, seed: int = 7) -> Index:
         parts = next(p for p in range(min(parts, sample.shape[1]), 0, -1) if sample.shape[1] % p == 0)
         own = cls(kmeans(sample, lists, ROUNDS, seed), [])
+        sample = sample[:: -(-len(sample) // CODE_VECTORS)]
         rest = (sample - own.coarse[own.assign(sample)]).reshape(len(sample), parts, -1)
         return cls(own.coarse, [kmeans(rest[:, m], codes, ROUNDS, seed + 1 + m) for m in range(parts)])
 
@@ -117,9 +124,11 @@ def search(queries: DataFrame, rows: DataFrame, k: int = 20, id_column: str = "v
     """For each query its k best rows of the probed lists: query_id, rank, vec_id, score; ties go to the smaller id.
 
     Every row is indexed. A list is cut into blocks of about ``BLOCK_ROWS`` rows by a hash of the id, and a query goes to
-    all blocks of its lists, so a list that holds a third of all rows is many tasks. In a block the tables' best
-    ``RERANK`` (ties to the smaller id) are scored by exact inner products in double precision; then every other row whose
-    table score plus its error bound reaches the k-th of them is scored too, and the best k of all leave the block.
+    all blocks of its lists, so a list that holds a third of all rows is many tasks; queries are cut into groups of about
+    ``BLOCK_QUERIES``. The first lists of each query (the root of their number) are searched first, and the k-th best
+    score found there is the query's bar in the others. In a block every row whose table score plus its error bound reaches
+    the bar is scored by its exact inner product in double precision; where more than ``RERANK`` rows do, the exact scores
+    of the tables' best raise the bar before. The best k of a block leave it.
     Lists grow with the square root of the rows, and as many are probed as sampled queries need (``probes`` overrides).
     Vectors that are null, zero, or hold null or non-finite components take no part, nor do rows without an id, nor
     vectors whose length is not the table's most frequent one, as no inner product with them is defined. A row is no
@@ -158,55 +167,86 @@ def search(queries: DataFrame, rows: DataFrame, k: int = 20, id_column: str = "v
             near = own().near(matrix(batch.column(1)))[:, :probes]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(near.astype(np.int32).tolist(), pa.list_(pa.int32()))], names=["id", "v", "lists"])
 
-    indexed = rows.mapInArrow(assign, "list int, id long, v array<double>, codes binary")
-    sizes = {r["list"]: r.n for r in indexed.groupBy("list").agg(F.count("*").alias("n")).collect()}  # a row a list
-    blocks = {i: max(1, -(-n // BLOCK_ROWS)) for i, n in sizes.items()}
-    many = F.create_map(*[F.lit(x) for i, b in blocks.items() for x in (i, b)])
-    indexed = indexed.withColumn("block", F.pmod(F.xxhash64("id"), many[F.col("list")].cast("long")).cast("int"))
-    asked = queries.mapInArrow(probe, "id long, v array<double>, lists array<int>").select("id", "v", F.explode("lists").alias("list")).where(F.col("list").isin(list(blocks)))
-    asked = asked.select("id", "v", "list", F.explode(F.sequence(F.lit(0), many[F.col("list")] - 1)).alias("block"))
-
     def join(left: pa.Table, right: pa.Table) -> pa.Table:
-        empty = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        if not left.num_rows or not right.num_rows:
-            return empty
-        index = own()
-        order = np.argsort(right["id"].to_numpy(), kind="stable")
-        ids = right["id"].to_numpy()[order]
-        x = matrix(right["v"].combine_chunks())[order]
-        codes = np.frombuffer(b"".join(right["codes"].to_pylist()), np.uint8).reshape(len(ids), index.parts)[order]
-        q_ids, q = left["id"].to_numpy(), matrix(left["v"].combine_chunks())
-        centre = index.coarse[right["list"][0].as_py()]
-        base, hidden = q @ centre, index.errors(x, codes, centre)
-        # far more than sums in double precision can be off
-        slack = 1e-9 * (np.linalg.norm(q, axis=1) * (np.linalg.norm(x, axis=1).max() + np.linalg.norm(centre) + hidden.sum(1).max()))
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for start in range(0, len(q), 256):
-            part = slice(start, start + 256)
-            rough = np.repeat(base[part, None], len(ids), 1)
-            for m, table in enumerate(index.tables(q[part])):
-                rough += table[:, codes[:, m]]
-            most = rough + np.linalg.norm(q[part].reshape(-1, index.parts, dims // index.parts), axis=2) @ hidden.T
-            near = q[part] @ x.T  # right but for its last bits, which depend on the block
-            for i, (q_id, vector) in enumerate(zip(q_ids[part], q[part], strict=True)):
-                rough[i, ids == q_id] = -np.inf
-                best = np.argsort(-rough[i], kind="stable")[: max(RERANK, k)]  # stable: ties to the smaller id
-                best = best[np.isfinite(rough[i, best])]
-                exact = (x[best] * vector).sum(1)
-                if len(best) >= k:
-                    bar = np.partition(exact, len(exact) - k)[len(exact) - k] - slack[start + i]
-                    reach = (most[i] >= bar) & (near[i] >= bar) & np.isfinite(rough[i])
-                    reach[best] = False
-                    more = np.flatnonzero(reach)
-                    best, exact = np.concatenate([best, more]), np.concatenate([exact, (x[more] * vector).sum(1)])
-                keep = np.lexsort((ids[best], -exact))[:k]
-                found.append((np.full(len(keep), q_id), ids[best][keep], exact[keep]))
+        """The best k of the block for each query that can be among its best of all: distinct ids, each with its best score."""
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        if left.num_rows and right.num_rows:
+            index = own()
+            order = np.argsort(right["id"].to_numpy(), kind="stable")
+            ids = right["id"].to_numpy()[order]
+            repeats = np.concatenate([[False], ids[1:] == ids[:-1]])
+            x = matrix(right["v"].combine_chunks())[order]
+            codes = np.frombuffer(b"".join(right["codes"].to_pylist()), np.uint8).reshape(len(ids), index.parts)[order]
+            q_ids, q, bars = left["id"].to_numpy(), matrix(left["v"].combine_chunks()), left["bar"].to_numpy()
+            centre = index.coarse[right["list"][0].as_py()]
+            hidden = index.errors(x, codes, centre)
+            # far more than sums in double precision can be off
+            slack = 1e-9 * np.linalg.norm(q, axis=1) * (np.linalg.norm(x, axis=1).max() + np.linalg.norm(centre) + hidden.sum(1).max())
+            for start in range(0, len(q), ASK):
+                part = slice(start, start + ASK)
+                found.append(best_of(index, q_ids[part], q[part], bars[part], slack[part], ids, repeats, x, codes, hidden, centre, k))
         return pa.table({"query_id": pa.array(np.concatenate([a for a, _, _ in found]), pa.int64()), "vec_id": pa.array(np.concatenate([b for _, b, _ in found]), pa.int64()), "score": pa.array(np.concatenate([c for _, _, c in found]), pa.float64())})
 
-    found = asked.groupBy("list", "block").cogroup(indexed.groupBy("list", "block")).applyInArrow(join, "query_id long, vec_id long, score double")
-    best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    with temporary():
+        indexed = written(rows.mapInArrow(assign, "list int, id long, v array<double>, codes binary"), "index")
+        sizes = {r["list"]: r.n for r in indexed.groupBy("list").agg(F.count("*").alias("n")).collect()}  # a row a list
+        blocks = {i: -(-n // BLOCK_ROWS) for i, n in sizes.items()}
+        many = F.create_map(*[F.lit(x) for i, b in blocks.items() for x in (i, b)])
+        groups = max(1, -(-queries.count() // BLOCK_QUERIES))
+        indexed = indexed.withColumn("block", F.pmod(F.xxhash64("id"), many[F.col("list")].cast("long")).cast("int")).withColumn("ask", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+        asked = queries.mapInArrow(probe, "id long, v array<double>, lists array<int>").withColumn("lists", F.filter("lists", lambda i: i.isin(list(blocks))))
+        first = F.lit(max(1, math.isqrt(probes)))
+
+        def met(asked: DataFrame, lists: Column) -> DataFrame:
+            cut = asked.select("id", "v", "bar", F.explode(lists).alias("list")).withColumn("ask", F.pmod(F.xxhash64("id", F.lit(3)), F.lit(groups)).cast("int"))
+            cut = cut.withColumn("block", F.explode(F.sequence(F.lit(0), many[F.col("list")] - 1)))
+            keys = ["list", "block", "ask"]
+            return cut.groupBy(*keys).cogroup(indexed.groupBy(*keys)).applyInArrow(join, "query_id long, vec_id long, score double")
+
+        def top(found: DataFrame) -> DataFrame:
+            best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+            return found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+        none = F.lit(float("-inf"))
+        near = written(top(met(asked.withColumn("bar", none), F.slice("lists", F.lit(1), first))), "near")
+        bars = near.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("bar"))
+        barred = asked.join(bars, "id", "left").withColumn("bar", F.coalesce("bar", none))
+        far = met(barred, F.slice("lists", first + 1, F.greatest(F.size("lists") - first, F.lit(0))))
+        ranked = top(near.drop("rank").unionByName(far)).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+        return written(ranked, "neighbours", keep=True)
+
+
+def best_of(index: Index, q_ids: np.ndarray, q: np.ndarray, bars: np.ndarray, slack: np.ndarray, ids: np.ndarray, repeats: np.ndarray, x: np.ndarray, codes: np.ndarray, hidden: np.ndarray, centre: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For some queries the best k rows of a block (query id, row id, exact score) whose score can reach the query's bar."""
+    rough = np.repeat((q @ centre)[:, None], len(ids), 1)
+    for m, table in enumerate(index.tables(q)):
+        rough += table[:, codes[:, m]]
+    rough[q_ids[:, None] == ids[None, :]] = -np.inf
+    most = rough + np.linalg.norm(q.reshape(len(q), index.parts, -1), axis=2) @ hidden.T + slack[:, None]
+    bars = bars.copy()
+    crowded = np.flatnonzero(((most >= bars[:, None]) & np.isfinite(most)).sum(1) > RERANK)
+    if len(crowded) and (~repeats).sum() > k:
+        # the k-th exact score of some rows of different ids is a bar too
+        lead = np.where(repeats, -np.inf, rough[crowded])
+        size = min(max(RERANK, k), len(ids) - 1)
+        best = np.argpartition(-lead, size, axis=1)[:, :size]
+        exact = np.stack([(x[rows] * vector).sum(1) for rows, vector in zip(best, q[crowded], strict=True)])
+        exact[~np.isfinite(np.take_along_axis(lead, best, 1))] = -np.inf
+        if size >= k:
+            bars[crowded] = np.maximum(bars[crowded], np.partition(exact, size - k, axis=1)[:, size - k] - slack[crowded])
+    at, row = np.nonzero((most >= bars[:, None]) & np.isfinite(most))
+    score = np.concatenate([np.zeros(0), *[(x[row[i : i + PAIRS]] * q[at[i : i + PAIRS]]).sum(1) for i in range(0, len(at), PAIRS)]])
+    reached = score >= bars[at] - slack[at]
+    at, score, vec = at[reached], score[reached], ids[row[reached]]
+    order = np.lexsort((-score, vec, at))
+    at, vec, score = at[order], vec[order], score[order]
+    fresh = np.concatenate([[True], (at[1:] != at[:-1]) | (vec[1:] != vec[:-1])]) if len(at) else np.zeros(0, bool)
+    at, vec, score = at[fresh], vec[fresh], score[fresh]
+    order = np.lexsort((vec, -score, at))
+    at, vec, score = at[order], vec[order], score[order]
+    counts = np.bincount(at, minlength=len(q))
+    keep = np.arange(len(at)) - np.repeat(np.cumsum(counts) - counts, counts) < k
+    return q_ids[at[keep]], vec[keep], score[keep]
 
 
 def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -363,11 +363,33 @@ def test_ann(spark):
     assert ann.search(stray.where("vec_id in (0, 2000)"), stray).select("query_id").distinct().count() == 1
     again = ann.search(table.where("vec_id = 0"), table.unionByName(table.where("vec_id = 5").withColumn("embedding", F.transform("embedding", lambda x: (x * 0.5).cast("float"))))).collect()
     assert len(again) == 20 and len({r.vec_id for r in again}) == 20
+    copies = table.where("vec_id = 5").withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(200)))).drop("copy")  # more than leave a block
+    crowd = ann.search(table.where("vec_id = 5").withColumn("vec_id", F.lit(-1).cast("long")), table.unionByName(copies)).collect()
+    assert len(crowd) == 20 and len({r.vec_id for r in crowd}) == 20 and crowd[0].vec_id == 5
     few = ann.search(table.where("vec_id in (0, 1)"), table.where("vec_id in (0, 1)")).collect()
     assert sorted((r.query_id, r.rank, r.vec_id) for r in few) == [(0, 1, 1), (1, 1, 0)]
     assert ann.search(table.where("false"), table.where("false")).count() == 0
 
 
+def test_ann_cut_finely(spark, monkeypatch):
+    """All lists probed: many blocks, groups of queries and pieces give what brute force gives, ties and ids included."""
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 50)
+    monkeypatch.setattr(ann, "BLOCK_QUERIES", 40)
+    draw = np.random.default_rng(5)
+    x = draw.normal(size=(700, 12)).round(1)
+    x[:230] = x[0]
+    x = x.astype(np.float32).astype(np.float64)
+    table = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<float>")
+    got = collections.defaultdict(list)
+    for r in ann.search(table.where("vec_id % 7 = 0"), table, probes=1000).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    assert sorted(got) == list(range(0, 700, 7))
+    for q, hits in got.items():
+        s = (x * x[q]).sum(1)
+        s[q] = -np.inf
+        assert hits == [(i, s[i]) for i in np.lexsort((np.arange(700), -s))[:20]]
+
+
 def test_ann_finds_neighbours_among_near_copies(spark):
     draw = np.random.default_rng(8)
     x = draw.normal(size=(6000, 32))
