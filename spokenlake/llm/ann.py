@@ -218,9 +218,10 @@ def search(queries: DataFrame, rows: DataFrame, k: int = 20, id_column: str = "v
 
 def best_of(index: Index, q_ids: np.ndarray, q: np.ndarray, bars: np.ndarray, slack: np.ndarray, ids: np.ndarray, repeats: np.ndarray, x: np.ndarray, codes: np.ndarray, hidden: np.ndarray, centre: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For some queries the best k rows of a block (query id, row id, exact score) whose score can reach the query's bar."""
-    rough = np.repeat((q @ centre)[:, None], len(ids), 1)
+    total = np.repeat((q @ centre)[None, :], len(ids), 0)
     for m, table in enumerate(index.tables(q)):
-        rough += table[:, codes[:, m]]
+        total += np.ascontiguousarray(table.T)[codes[:, m]]  # a row for all queries is copied at once
+    rough = np.ascontiguousarray(total.T)
     rough[q_ids[:, None] == ids[None, :]] = -np.inf
     most = rough + np.linalg.norm(q.reshape(len(q), index.parts, -1), axis=2) @ hidden.T + slack[:, None]
     bars = bars.copy()
