@@ -12,18 +12,21 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
-from itertools import chain
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import documents, process_cache
+from .common import documents, process_cache, release_memory
 
-#: Pieces kept with their ids in one worker; beyond that the memo starts anew, which costs time but no memory.
-MEMO_PIECES = 300_000
+#: Pieces, and units, kept with their ids in one worker, and the longest of them; beyond that many the memo starts anew, and
+#: longer ones are encoded each time. Both cost time only and bound the memory: the ids are the same.
+MEMO_PIECES, MEMO_LENGTH = 300_000, 32
 MEMO_PAIRS = 500_000
+#: Tokens of the documents that a worker holds before it hands them on, about.
+BATCH_TOKENS = 1 << 17
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -152,7 +155,11 @@ class Encoder:
         for p in self.pieces(text):
             ids = memo.get(p)
             if ids is None:
-                ids = memo[p] = self.piece(p.encode().decode("latin-1"))
+                ids = self.piece(p.encode().decode("latin-1"))
+                if len(p) <= MEMO_LENGTH:
+                    if len(memo) >= MEMO_PIECES:
+                        memo.clear()
+                    memo[p] = ids
             out += ids
         return tuple(out)
 
@@ -162,17 +169,20 @@ class Encoder:
         No piece of the pattern crosses the start of a run of white space, so where every blank starts such a run the
         text falls into independent units, one for each blank, and units are memoised.
         """
-        if len(self.memo) > MEMO_PIECES:
-            self.memo.clear()
         if self.crossed(text):
             return list(self.unit(text))
         units, memo = text.split(" "), self.units
-        if len(memo) > MEMO_PIECES:
-            memo.clear()
-        first, units = units[0], units[1:]
-        for u in set(units).difference(memo):
-            memo[u] = self.unit(" " + u)
-        return list(chain(self.unit(first), chain.from_iterable(map(memo.__getitem__, units))))
+        out = list(self.unit(units[0]))
+        for u in units[1:]:
+            ids = memo.get(u)
+            if ids is None:
+                ids = self.unit(" " + u)
+                if len(u) <= MEMO_LENGTH:
+                    if len(memo) >= MEMO_PIECES:
+                        memo.clear()
+                    memo[u] = ids
+            out += ids
+        return out
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -202,17 +212,24 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_column: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = worker_encoder(sent.value, pattern)
         names = [str(i) for i in range(len(own.tokens))]
+        fields = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * ids
         for batch in batches:
             made: list[list] = [[], [], [], []]
-            for text in batch.column(1):
+            start = held = 0
+            for at, text in enumerate(batch.column(1), 1):
                 got = own.encode(text.as_py() or "")
                 made[0].append(len(got))
                 made[1].append(hashlib.sha256(",".join(map(names.__getitem__, got)).encode()).hexdigest())
                 made[2].append(hashlib.sha256(own.decode(got)).hexdigest())
-                made[3].append(got if ids else None)
-            columns = [batch.column(0), pa.array(made[0], pa.int64()), pa.array(made[1], pa.string()), pa.array(made[2], pa.string())]
-            columns += [pa.array(made[3], pa.list_(pa.int32()))] * ids
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * ids)
+                if ids:
+                    made[3].append(np.array(got, np.int32))
+                held += len(got)
+                if held >= BATCH_TOKENS or at == batch.num_rows:
+                    columns = [batch.column(0).slice(start, at - start), pa.array(made[0], pa.int64()), pa.array(made[1], pa.string()), pa.array(made[2], pa.string())]
+                    columns += [pa.array(made[3], pa.list_(pa.int32()))] * ids
+                    yield pa.RecordBatch.from_arrays(columns, names=fields)
+                    made, start, held = [[], [], [], []], at, 0
+        release_memory()
 
     return docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].alias("text")).mapInArrow(run, OUT + ", ids array<int>" * ids)
 
