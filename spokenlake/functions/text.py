@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -55,15 +57,24 @@ def has_speech(c: Column) -> Column:
     return c.rlike(r"[\p{L}\p{N}]")
 
 
-def excerpt(evidence: Column, name: Column, size: int = 300) -> Column:
-    """At most ``size`` characters around the name's first place, moved back at the end; the beginning without a place."""
+def excerpt(evidence: Column, name: Column, size: int = 300, find: Callable[[Column, Column], Column] | None = None) -> Column:
+    """At most ``size`` characters around the name's first place, moved back at the end; the beginning without a place.
+    find: what tells the place, ``find_name`` if not given."""
 
     def cut(at: Column) -> Column:
         start = F.greatest(F.lit(0), F.least(F.length(evidence), F.greatest(F.lit(0), at - size // 2) + size) - size)
         return F.substring(evidence, F.when(at < 0, 0).otherwise(start) + 1, F.lit(size))
 
     # the place is looked for once, and only where the evidence has to be cut
-    return F.when(F.length(evidence) <= size, evidence).otherwise(F.transform(F.array(F.coalesce(find_name(evidence, name), F.lit(-1))), cut)[0])
+    return F.when(F.length(evidence) <= size, evidence).otherwise(F.transform(F.array(F.coalesce((find or find_name)(evidence, name), F.lit(-1))), cut)[0])
+
+
+def find_verbatim(source: Column, name: Column) -> Column:
+    """Where the name, without white space around it, first stands in the source as it is written, case aside: a position
+    from 0, or null. Signs are folded one to one (only U+0130 has a longer lower case), so positions are the source's."""
+    wanted, folded = (F.lower(F.translate(c, "\u0130", "i")) for c in (strip(name), source))
+    at = F.instr(folded, wanted) - 1
+    return F.when((at >= 0) & (wanted != ""), at)
 
 
 def find_name(source: Column, name: Column) -> Column:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -34,9 +36,10 @@ def summary(mentions: DataFrame) -> DataFrame:
     return named.join(counts, "name").select("name", "occurrence_count", "grp", "pos").orderBy(F.desc("occurrence_count"), "name", "grp", "pos")
 
 
-def distinct_excerpts(mentions: DataFrame, k: int = 2) -> DataFrame:
-    """The first k distinct excerpts of each folded name in a group."""
-    cut = mentions.select("grp", T.fold(F.col("name")).alias("name_key"), "pos", T.excerpt(F.col("evidence"), F.col("name")).alias("excerpt"))
+def distinct_excerpts(mentions: DataFrame, k: int = 2, find: Callable[[Column, Column], Column] = T.find_name) -> DataFrame:
+    """The first k distinct excerpts of each folded name in a group. find: what tells the name's place, which white space
+    does not hide from ``find_name``, and which ``find_verbatim`` looks for as it is written."""
+    cut = mentions.select("grp", T.fold(F.col("name")).alias("name_key"), "pos", T.excerpt(F.col("evidence"), F.col("name"), find=find).alias("excerpt"))
     once = cut.groupBy("grp", "name_key", "excerpt").agg(F.min("pos").alias("pos"))
     rank = F.row_number().over(W.partitionBy("grp", "name_key").orderBy("pos"))
     return once.withColumn("k", rank).where(F.col("k") <= k).select("grp", "name_key", F.col("k").cast("long").alias("k"), "excerpt")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from spokenlake import cli, sinks
 from spokenlake.functions import python_text as P
 from spokenlake.functions import text as T
-from spokenlake.operators import audit, dynamic, models, sequences
+from spokenlake.operators import audit, dynamic, mentions, models, sequences
 from spokenlake.plans import registry  # noqa: F401 - registers the backends
 from spokenlake.sources import audio, catalog, rss, transcripts
 from spokenlake.streaming import incremental, sessions
@@ -129,6 +129,17 @@ def test_next_where_and_find_name(spark):
     assert all(r.want == r.got for r in table.collect())
 
 
+def test_excerpts_of_names_as_written(spark):
+    far = "x" * 400
+    cases = [(f"lo s {far} Los {far}", " LOS ", 406, 0), (f"\u0130\u0130 {far} Los {far}", "los", 404, 404), (far, "los", None, None), (far, " ", None, None), (None, "los", None, None)]
+    table = spark.createDataFrame(cases, "s string, n string, verbatim int, loose int")
+    places = table.select("*", T.find_verbatim(F.col("s"), F.col("n")).alias("v"), T.find_name(F.col("s"), F.col("n")).alias("l")).collect()
+    assert all((r.verbatim, r.loose) == (r.v, r.l) for r in places)
+    given = spark.createDataFrame([(1, 1, " LOS ", cases[0][0])], "grp long, pos int, name string, evidence string")
+    assert mentions.distinct_excerpts(given, find=T.find_verbatim).first().excerpt == cases[0][0][256:556]
+    assert mentions.distinct_excerpts(given).first().excerpt == cases[0][0][:300]
+
+
 def test_stream_reads_only_new_files_and_replays(spark, tmp_path):
     source, home = str(tmp_path / "events"), str(tmp_path / "home")
     one = spark.createDataFrame([(1, 1, 5, "a"), (2, 1, 6, "b")], "event_id long, user_id long, s long, event_type string").select("event_id", "user_id", F.timestamp_seconds("s").alias("ts"), "event_type")
