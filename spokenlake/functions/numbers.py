@@ -36,11 +36,12 @@ def adaptive_threshold(energy: Column, threshold: float) -> Column:
 
 
 def format_size(size: Column) -> Column:
-    """Bytes to TiB with one decimal."""
-    out = F.format_string("%.1f TiB", size / float(1 << 40))
-    for unit, power in (("GiB", 3), ("MiB", 2), ("KiB", 1)):
-        out = F.when(size < (1 << 10 * (power + 1)), F.format_string(f"%.1f {unit}", size / float(1 << 10 * power))).otherwise(out)
-    return F.when(size < 1024, F.format_string("%.1f B", size.cast("double"))).otherwise(out)
+    """Bytes to TiB with one decimal, ties to the even digit (``%.1f`` alone takes them up); null for null."""
+    shown = lambda unit, power: F.format_string(f"%.1f {unit}", F.bround(size / float(1 << 10 * power), 1))
+    out = F.when(size.isNotNull(), shown("TiB", 4))
+    for unit, power in (("GiB", 3), ("MiB", 2), ("KiB", 1), ("B", 0)):
+        out = F.when(size < (1 << 10 * (power + 1)), shown(unit, power)).otherwise(out)
+    return out
 
 
 def lenient_int(text: Column) -> Column:

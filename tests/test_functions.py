@@ -14,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spokenlake import cli, sinks
+from spokenlake.functions import numbers
 from spokenlake.functions import python_text as P
 from spokenlake.functions import text as T
 from spokenlake.operators import audit, dynamic, mentions, models, sequences
@@ -140,6 +141,22 @@ def test_excerpts_of_names_as_written(spark):
     assert mentions.distinct_excerpts(given).first().excerpt == cases[0][0][:300]
 
 
+def test_sizes_round_ties_to_even(spark):
+    sizes = [0, 1023, 8448, 8499, 8550, 8652480, 8755609, 9.5 * 2**30, 8.25 * 2**40, 8.75 * 2**40, None]
+    table = spark.createDataFrame([(None if s is None else int(s),) for s in sizes], "size long")
+
+    def plain(size):
+        for unit in ("B", "KiB", "MiB", "GiB"):
+            if size < 1024:
+                return f"{size:.1f} {unit}"
+            size /= 1024
+        return f"{size:.1f} TiB"
+
+    got = table.select("size", numbers.format_size(F.col("size")).alias("text")).collect()
+    assert [r.text for r in got] == [None if r.size is None else plain(float(r.size)) for r in got]
+    assert plain(8448.0) == "8.2 KiB"
+
+
 def test_stream_reads_only_new_files_and_replays(spark, tmp_path):
     source, home = str(tmp_path / "events"), str(tmp_path / "home")
     one = spark.createDataFrame([(1, 1, 5, "a"), (2, 1, 6, "b")], "event_id long, user_id long, s long, event_type string").select("event_id", "user_id", F.timestamp_seconds("s").alias("ts"), "event_type")
