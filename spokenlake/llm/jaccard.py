@@ -17,6 +17,7 @@ Only links that join components leave a task, fewer than the classes that it rea
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -402,7 +403,8 @@ def _bands(members: DataFrame) -> DataFrame:
     counts = written(cut.groupBy("region", "band").agg(F.count("*").alias("many")), "bands")
     after = counts.select("region", (F.col("band") - 1).alias("band"), F.col("many").alias("next_many"))
     before = counts.select("region", (F.col("band") + 1).alias("band"), F.col("many").alias("last_many"))
-    cut = cut.join(counts.join(after, ["region", "band"], "left").join(before, ["region", "band"], "left"), ["region", "band"]).withColumn("block", _block("many"))
+    counts = written(counts.join(after, ["region", "band"], "left").join(before, ["region", "band"], "left"), "bands")
+    cut = cut.join(counts, ["region", "band"]).withColumn("block", _block("many"))
     kept = ["class", "size", "data", F.lit(float("nan")).alias("gap")]
     inner = cut.withColumn("other", F.explode(F.sequence(F.lit(0), _blocks("many") - 1)))
     inner = inner.select("region", F.col("band").alias("low_band"), F.col("band").alias("high_band"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), (F.col("block") > F.col("other")).cast("int").alias("side"), *kept)
@@ -471,19 +473,24 @@ def links(docs: DataFrame, shingles: int) -> tuple[DataFrame, DataFrame]:
     region = written(connected(stars).select(F.col("node").alias("class"), F.col("label").alias("region")), "regions")
     weights = at.groupBy("class").agg(F.max("weight").alias("weight"))
     sized = written(region.groupBy("region").agg(F.count("*").alias("many")), "sizes")
-    members = region.join(weights, "class").join(sets, "class").join(sized, "region")
-    found = members.where(F.col("many") <= BLOCK).groupBy("region").applyInArrow(join_region, EDGES)
+    placed = written(region.join(weights, "class").join(sized, "region"), "placed")
+    members = placed.join(sets, "class")
+    # each kind of links is written by a job of its own: one plan of them all is planned anew after each of its many
+    # exchanges, on the driver, whose memory that takes
+    found = [written(members.where(F.col("many") <= BLOCK).groupBy("region").applyInArrow(join_region, EDGES), "links")]
     while sized.where(F.col("many") > BLOCK).limit(1).count():
         big = written(members.where(F.col("many") > BLOCK), "members")
         more, rest = _level(big)
-        found = found.unionByName(more)
+        found.append(written(more, "links"))
         region = written(rest, "rest")
         left = written(region.groupBy("region").agg(F.count("*").alias("left")).join(sized, "region"), "left")
         sized = left.where("left * 2 <= many").select("region", F.col("left").alias("many"))  # pivots go on where they divide
         rows = region.join(big.drop("region", "many"), "class")
-        found = found.unionByName(_bands(rows.join(left.where("left * 2 > many").select("region"), "region")))
+        if left.where("left * 2 > many").limit(1).count():
+            found.append(written(_bands(rows.join(left.where("left * 2 > many").select("region"), "region")), "links"))
         members = rows.join(sized, "region")
-        found = found.unionByName(members.where(F.col("many") <= BLOCK).groupBy("region").applyInArrow(join_region, EDGES))
+        found.append(written(members.where(F.col("many") <= BLOCK).groupBy("region").applyInArrow(join_region, EDGES), "links"))
+    found = functools.reduce(DataFrame.unionByName, found)
     return found, classes
 
 
@@ -502,7 +509,7 @@ def link_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str
     if total:
         with temporary():
             found, classes = links(rows, total)
-            labels = connected(written(found, "links"))
+            labels = connected(found)
             label = classes.join(labels.withColumnRenamed("node", "class"), "class").select("key", "label")
             label = written(named.join(label, "key"), "labels", keep=True)
         linked_ = label.join(label.groupBy("label").agg(F.min("component_id").alias("least")), "label").select("key", "least")

@@ -150,6 +150,25 @@ def test_pivots_and_bands_join_large_parts(spark, monkeypatch):
     assert labels_of(n, bands) == labels_of(n, pairs)
 
 
+def test_links_are_written_by_small_jobs(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 8)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join([*words, f"t{k}"]) for k in range(30)] + [" ".join([*words[:50], *(f"g{g}x{i}" for i in range(7)), f"u{k}"]) for g in range(3) for k in range(12)]
+    texts += [" ".join(f"s{g}x{i}" for i in range(40)) + f" e{k}" for g in range(4) for k in range(3)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    exchanges, kept = {}, jaccard.written
+
+    def spied(df, label, keep=False):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        exchanges[label] = max(exchanges.get(label, 0), plan.count("Exchange "))
+        return kept(df, label, keep)
+
+    monkeypatch.setattr(jaccard, "written", spied)
+    got = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.link_documents(docs).collect())
+    assert got == brute_components(list(enumerate(texts)))
+    assert "cells" in exchanges and max(exchanges.values()) <= 10, exchanges
+
+
 def test_components(spark):
     draw = random.Random(2)
     pairs = [(draw.randrange(400), draw.randrange(400)) for _ in range(250)] + [(k, k + 1) for k in range(1000, 1100)]
