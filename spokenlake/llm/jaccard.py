@@ -1,8 +1,9 @@
 """Exact join of word-shingle sets by Jaccard similarity, as a metric-space join.
 
-1. Documents of equal sets are one class. A class can only have a link if 75 % of its shingles occur in another class; an
-   exact count of repeated shingles, dealt by hash in compact arrays, sets the many classes aside that are at distance
+1. Documents of equal sets are one class. A class can only have a link if 75 % of its shingles occur in another class; a
+   count of repeated shingles, never too low, dealt by hash in compact arrays, sets the many classes aside that are at distance
    beyond the radius from all others (in shingle space nearly all pairs are at distance 1, where pivots tell nothing).
+   A shingle is told there by its bucket and 32 bits: two that coincide count as repeated, which sets fewer classes aside.
 2. What is left falls into closed parts of the space: in the global order rarest first, two linked classes share one of
    their first n - ceil(0.75 n) + 1 shingles, so no link leaves a part.
 3. In every part pivots (the classes with the most widely shared shingles) create Voronoi regions. With r = 0.25, a class
@@ -27,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, partitions, release_memory, temporary, written
+from .common import documents, forget, partitions, release_memory, temporary, written
 from .components import connected
 from .shingles import set_key, sets_of
 
@@ -112,34 +113,63 @@ def describe(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n_shingles long, key binary")
 
 
-#: data: shingles with the numbers of their sets in the batch; in the directory the sets' sizes, shingles counted, and keys.
+#: Bytes that tell a shingle from others of its bucket: where chance repetitions only keep more classes, and where they would
+#: tie parts of the space together.
+COUNTED_BYTES, NAMED_BYTES = 4, 6
+#: data: the numbers of sets in the batch with their shingles, as _packed; in the directory the sets' sizes, shingles counted, and keys.
 POSTINGS = "bucket int, batch long, directory boolean, data binary"
 BACK = "batch long, directory boolean, bucket int, data binary"
 
 
-def _postings(keys: list[bytes], sets: list[np.ndarray], batch: int, buckets: int, hot_limit: int) -> Iterator[tuple]:
-    """Rows of POSTINGS: for each bucket the shingles' lower 48 bits and their sets' numbers, and one directory of the sets."""
+def _packed(number: np.ndarray, first: np.ndarray, *columns: tuple[np.ndarray, int]) -> np.ndarray:
+    """Byte planes of postings, one column each: set numbers, which ascend from each place in first on, as differences, and the
+    lower bytes (array, how many) of what belongs to them. Planes that are nearly all zeros cost next to nothing once compressed."""
+    gaps = number.astype("<u2")
+    gaps[1:] -= number[:-1].astype("<u2")
+    gaps[first] = number[first]
+    planes = [gaps.view(np.uint8).reshape(-1, 2)]
+    planes += [values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width] for values, width in columns]
+    return np.concatenate([p.T for p in planes])
+
+
+def _unpacked(rows: list[bytes], *widths: int) -> list[np.ndarray]:
+    """Lengths of packed rows, and their set numbers and columns one after another."""
+    planes = [np.frombuffer(x, np.uint8).reshape(2 + sum(widths), -1) for x in rows]
+    lengths = np.array([p.shape[1] for p in planes], np.int64)
+    planes = np.concatenate(planes, 1) if planes else np.zeros((2 + sum(widths), 0), np.uint8)
+    number = np.cumsum(planes[0] + (planes[1].astype(np.int64) << 8))
+    before = np.concatenate([[0], number])[np.cumsum(lengths) - lengths]
+    out, at = [lengths, number - np.repeat(before, lengths)], 2
+    for width in widths:
+        values = np.zeros((planes.shape[1], 8 if width > 4 else 4), np.uint8)
+        values[:, :width] = planes[at : at + width].T
+        out.append(values.view("<u8" if width > 4 else "<u4")[:, 0])
+        at += width
+    return out
+
+
+def _postings(keys: list[bytes], sets: list[np.ndarray], batch: int, buckets: int, hot_limit: int, width: int) -> Iterator[tuple]:
+    """Rows of POSTINGS: for each bucket its sets' numbers and the shingles' lower bytes, and one directory of the sets."""
     sizes = np.array([len(s) for s in sets], np.int64)
     flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
     number = np.repeat(np.arange(len(sets), dtype=np.uint16), sizes)
-    order = np.argsort(flat, kind="stable")
-    flat, number = flat[order], number[order]
-    first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]])) if len(flat) else np.zeros(0, np.int64)
+    order = np.argsort(flat)
+    ordered = flat[order]
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(flat) else np.zeros(0, np.int64)
     times = np.diff(np.append(first, len(flat)))
-    hot = np.repeat(times > hot_limit, times)
+    hot = np.empty(len(flat), bool)
+    hot[order] = np.repeat(times > hot_limit, times)
     counted = np.bincount(number[hot], minlength=len(sets))
-    told = np.repeat(flat[first[times > hot_limit]], 2)  # twice: whoever has it sees that it is repeated
+    told = np.repeat(ordered[first[times > hot_limit]], 2)  # twice: whoever has it sees that it is repeated
     flat = np.concatenate([flat[~hot], told])
     number = np.concatenate([number[~hot], np.full(len(told), NO_CLASS, np.uint16)])
-    # the bucket comes from the upper 32 bits, of which the lower 48 kept say 16
     bucket = ((flat >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
-    order = np.argsort(bucket, kind="stable")
+    order = np.argsort(bucket, kind="stable")  # numbers stay in order inside a bucket
     bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    for b in np.flatnonzero(np.diff(bounds)):
-        mine = order[bounds[b] : bounds[b + 1]]
-        data = np.empty(len(mine), "<u8")
-        data[:] = (flat[mine] & np.uint64((1 << 48) - 1)) << np.uint64(16) | number[mine].astype(np.uint64)
-        yield int(b), batch, False, data.tobytes()
+    filled = np.flatnonzero(np.diff(bounds))
+    data = _packed(number[order], bounds[filled], (flat[order], width))
+    for b in filled:
+        yield int(b), batch, False, data[:, bounds[b] : bounds[b + 1]].tobytes()
     yield batch % buckets, batch, True, np.stack([sizes, counted]).astype("<i8").tobytes() + b"".join(keys)
 
 
@@ -157,29 +187,27 @@ def _frame(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, names, strict=True)], names=[n for n, _ in names])
 
 
-def _bucket_of(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[int], list[tuple[int, bytes]]]:
-    """A task's postings sorted by shingle: shingles, places of their batches, set numbers, repetitions; the batches' ids;
-    and the task's directories."""
-    tokens, ids, directories = [], [], []
+def _bucket_of(batches: Iterator[pa.RecordBatch], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[int], list[tuple[int, bytes]]]:
+    """A task's postings in the order they came, so that those of a batch's set are neighbours: shingles, places of their
+    batches, set numbers, repetitions; the batches' ids; and the task's directories."""
+    rows, ids, directories = [], [], []
     for batch in batches:
         for _, own, is_directory, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if is_directory:
                 directories.append((own, data))
             else:
-                tokens.append(np.frombuffer(data, "<u8"))
+                rows.append(data)
                 ids.append(own)
-    if not tokens:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.uint16), np.zeros(0, np.int64), ids, directories
-    source = np.repeat(np.arange(len(tokens), dtype=np.int32), [len(x) for x in tokens])
-    flat = np.concatenate(tokens)
-    tokens.clear()
-    order = np.argsort(flat, kind="stable")
-    flat, source = flat[order], source[order]
-    number = (flat & np.uint64(0xFFFF)).astype(np.uint16)
-    flat >>= np.uint64(16)
-    first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
-    times = np.diff(np.append(first, len(flat)))
-    return flat, source, number, np.repeat(times, times), ids, directories
+    lengths, number, flat = _unpacked(rows, width)
+    rows.clear()
+    source = np.repeat(np.arange(len(ids), dtype=np.int32), lengths)
+    order = np.argsort(flat)
+    ordered = flat[order]
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(flat) else np.zeros(0, np.int64)
+    many = np.diff(np.append(first, len(flat)))
+    times = np.empty(len(flat), np.int64)
+    times[order] = np.repeat(many, many)
+    return flat, source, number.astype(np.uint16), times, ids, directories
 
 
 def _batch_id(number: int) -> int:
@@ -187,7 +215,7 @@ def _batch_id(number: int) -> int:
     return (TaskContext.get().partitionId() << 24) + number
 
 
-def _dealt(found: Iterator[tuple[bytes, np.ndarray]], buckets: int, hot_limit: int) -> Iterator[pa.RecordBatch]:
+def _dealt(found: Iterator[tuple[bytes, np.ndarray]], buckets: int, hot_limit: int, width: int) -> Iterator[pa.RecordBatch]:
     """Postings of the classes (key, set) in batches of bounded size; a class that a batch has twice counts once in it."""
     own: dict[bytes, np.ndarray] = {}
     number = held = 0
@@ -196,10 +224,10 @@ def _dealt(found: Iterator[tuple[bytes, np.ndarray]], buckets: int, hot_limit: i
             own[key] = s
             held += len(s)
         if held >= BATCH_SHINGLES or len(own) >= BATCH_SETS:
-            yield _frame(list(_postings(list(own), list(own.values()), _batch_id(number), buckets, hot_limit)), POSTINGS)
+            yield _frame(list(_postings(list(own), list(own.values()), _batch_id(number), buckets, hot_limit, width)), POSTINGS)
             own, held, number = {}, 0, number + 1
     if own:
-        yield _frame(list(_postings(list(own), list(own.values()), _batch_id(number), buckets, hot_limit)), POSTINGS)
+        yield _frame(list(_postings(list(own), list(own.values()), _batch_id(number), buckets, hot_limit, width)), POSTINGS)
     own.clear()
     release_memory()
 
@@ -211,17 +239,18 @@ def survivors(docs: DataFrame, shingles: int) -> DataFrame:
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = ((set_key(s), s) for batch in batches for s in sets_of(batch.column(1)) if len(s) > 1)
-        yield from _dealt(found, buckets, BATCH_HOT)
+        yield from _dealt(found, buckets, BATCH_HOT, COUNTED_BYTES)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, source, number, times, ids, directories = _bucket_of(batches)
+        _, source, number, times, ids, directories = _bucket_of(batches, COUNTED_BYTES)
         here = (times > 1) & (number != NO_CLASS)
         keys, many = np.unique(source[here].astype(np.int64) << 16 | number[here], return_counts=True)
         del source, number, times, here
         bounds = np.searchsorted(keys >> 16, np.arange(len(ids) + 1))
-        for k in np.flatnonzero(np.diff(bounds)):
-            mine = slice(bounds[k], bounds[k + 1])
-            yield _frame([(ids[k], False, 0, np.stack([keys[mine] & 0xFFFF, many[mine]]).astype("<u4").tobytes())], BACK)
+        filled = np.flatnonzero(np.diff(bounds))
+        packed = _packed(keys & 0xFFFF, bounds[filled], (many, 4))
+        for k in filled:
+            yield _frame([(ids[k], False, 0, packed[:, bounds[k] : bounds[k + 1]].tobytes())], BACK)
         for batch, data in directories:
             yield _frame([(batch, True, 0, data)], BACK)
         release_memory()
@@ -232,11 +261,10 @@ def survivors(docs: DataFrame, shingles: int) -> DataFrame:
             if is_directory:
                 held = _directory(data, 16)
             else:
-                parts.append(np.frombuffer(data, "<u4").reshape(2, -1))
+                parts.append(data)
         sizes, counted, keys = held
-        total = counted.copy()
-        for number, many in parts:
-            total[number] += many  # a bucket names each set once
+        _, number, many = _unpacked(parts, 4)
+        total = counted + np.bincount(number, many, len(sizes)).astype(np.int64)
         left = np.flatnonzero(100 * total >= PERCENT * sizes)
         return pa.table({"key": pa.array([keys[16 * i : 16 * i + 16] for i in left], pa.binary())})
 
@@ -245,9 +273,11 @@ def survivors(docs: DataFrame, shingles: int) -> DataFrame:
 
 
 def sets_table(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """class, size, data: the sorted shingles of each class (classes: key, class). Texts are hashed again; a filter of fixed
-    size, and then a join, keep the classes wanted, so no text is shuffled."""
+    """class, size, data: the sorted shingles of each class (classes: key, class, least: its smallest doc_id). Texts are hashed
+    again; a filter of fixed size over key and doc_id lets the rows of each class's least doc_id pass, and then a join keeps
+    the classes wanted, so no text is shuffled, and of many copies about one set."""
     place = F.conv(F.concat(*[F.substr(F.hex("key"), F.lit(2 * i + 1), F.lit(2)) for i in (2, 1, 0)]), 16, 10).cast("long")
+    place = place.bitwiseXOR(F.coalesce("least", F.lit(0)).bitwiseAND(F.lit(FILTER_BITS - 1)))
     bits = classes.groupBy(F.floor(place / 32768).cast("int").alias("part")).agg(F.bitmap_construct_agg(F.pmod(place, F.lit(32768))).alias("bits")).collect()
     wanted = np.zeros(FILTER_BITS, bool)
     for r in bits:
@@ -259,18 +289,19 @@ def sets_table(docs: DataFrame, classes: DataFrame) -> DataFrame:
         seen: set[bytes] = set()
         for batch in batches:
             rows = []
-            for s in sets_of(batch.column(1)):
+            for own, s in zip(batch.column(0).to_pylist(), sets_of(batch.column(1)), strict=True):
                 if len(s) > 1:
                     key = set_key(s)
-                    at = int.from_bytes(key[:3], "little")
+                    at = int.from_bytes(key[:3], "little") ^ ((own or 0) & (FILTER_BITS - 1))
                     if packed[at >> 3] >> (7 - (at & 7)) & 1 and key not in seen:
                         seen.add(key)
                         rows.append((key, len(s), s.astype("<u8").tobytes()))
             yield _frame(rows, "key binary, size long, data binary")
         release_memory()
 
-    found = docs.mapInArrow(run, "key binary, size long, data binary").join(classes, "key")
-    return found.groupBy("class").agg(F.first("size").alias("size"), F.first("data").alias("data"))
+    found = docs.mapInArrow(run, "key binary, size long, data binary").join(classes.select("key", "class"), "key")
+    # by key as well: the rows lie by it already
+    return found.groupBy("key", "class").agg(F.first("size").alias("size"), F.first("data").alias("data")).drop("key")
 
 
 def anchors(sets: DataFrame, shingles: int) -> DataFrame:
@@ -280,18 +311,17 @@ def anchors(sets: DataFrame, shingles: int) -> DataFrame:
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = ((key.as_py().to_bytes(8, "little"), np.frombuffer(data.as_buffer(), "<u8").astype(np.uint64)) for batch in batches for key, data in zip(batch.column(0), batch.column(2), strict=True))
-        yield from _dealt(found, buckets, 1 << 62)
+        yield from _dealt(found, buckets, 1 << 62, NAMED_BYTES)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle, source, number, times, ids, directories = _bucket_of(batches)
+        shingle, source, number, times, ids, directories = _bucket_of(batches, NAMED_BYTES)
         own = TaskContext.get().partitionId()
         here = np.flatnonzero(times > 1)
-        here = here[np.argsort(source[here], kind="stable")]
         bounds = np.searchsorted(source[here], np.arange(len(ids) + 1))
-        for k in np.flatnonzero(np.diff(bounds)):
-            mine = here[bounds[k] : bounds[k + 1]]
-            rows = np.stack([number[mine].astype(np.int64), shingle[mine].astype(np.int64), times[mine]]).astype("<i8")
-            yield _frame([(ids[k], False, own, rows.tobytes())], BACK)
+        filled = np.flatnonzero(np.diff(bounds))
+        packed = _packed(number[here], bounds[filled], (shingle[here], NAMED_BYTES), (times[here], 4))
+        for k in filled:
+            yield _frame([(ids[k], False, own, packed[:, bounds[k] : bounds[k + 1]].tobytes())], BACK)
         for batch, data in directories:
             yield _frame([(batch, True, -1, data)], BACK)
         release_memory()
@@ -302,16 +332,16 @@ def anchors(sets: DataFrame, shingles: int) -> DataFrame:
             if is_directory:
                 held = _directory(data, 8)
             else:
-                parts.append(np.frombuffer(data, "<i8").reshape(3, -1))
-                buckets_.append(np.full(parts[-1].shape[1], bucket, np.int64))
+                parts.append(data)
+                buckets_.append(bucket)
         empty = pa.table({"shingle": pa.array([], pa.int64()), "class": pa.array([], pa.int64()), "weight": pa.array([], pa.float64())})
         if held is None or not parts:
             return empty
         sizes, _, keys = held
         classes = np.frombuffer(keys, "<i8")
-        number, shingle, times = np.concatenate(parts, 1)
+        lengths, number, shingle, times = _unpacked(parts, NAMED_BYTES, 4)
         # 48 bits of the shingle and its bucket: one number for the global order, the same in all batches
-        token = (shingle ^ (np.concatenate(buckets_) << np.int64(48))).astype(np.int64)
+        token = shingle.astype(np.int64) ^ (np.repeat(np.array(buckets_, np.int64), lengths) << np.int64(48))
         order = np.lexsort((token, times, number))
         number, token, times = number[order], token[order], times[order]
         many = np.bincount(number, minlength=len(classes))
@@ -462,9 +492,10 @@ def _level(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     return stars.unionByName(met.groupBy("region", "cell", "low", "high").applyInArrow(meet, EDGES)), cells.where("cell < 0").select("region", "class")
 
 
-def links(docs: DataFrame, shingles: int) -> tuple[DataFrame, DataFrame]:
-    """(a, b: links between classes whose connected components are those of all links; key, class: the classes)."""
-    classes = written(survivors(docs, shingles).withColumn("class", F.monotonically_increasing_id()), "classes")
+def links(docs: DataFrame, least: DataFrame, shingles: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b: links between classes whose connected components are those of all links; key, class: the classes).
+    least: key, least: the smallest doc_id of each set."""
+    classes = written(survivors(docs, shingles).join(least, "key").withColumn("class", F.monotonically_increasing_id()), "classes")
     sets = written(sets_table(docs, classes), "sets")
     held = sets.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     at = written(anchors(sets, held), "anchors")
@@ -474,7 +505,9 @@ def links(docs: DataFrame, shingles: int) -> tuple[DataFrame, DataFrame]:
     weights = at.groupBy("class").agg(F.max("weight").alias("weight"))
     sized = written(region.groupBy("region").agg(F.count("*").alias("many")), "sizes")
     placed = written(region.join(weights, "class").join(sized, "region"), "placed")
-    members = placed.join(sets, "class")
+    # joined once, as small and large parts each would move all sets again; nothing reads those apart after it
+    members = written(placed.join(sets, "class"), "members")
+    forget(sets)
     # each kind of links is written by a job of its own: one plan of them all is planned anew after each of its many
     # exchanges, on the driver, whose memory that takes
     found = [written(members.where(F.col("many") <= BLOCK).groupBy("region").applyInArrow(join_region, EDGES), "links")]
@@ -508,7 +541,7 @@ def link_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str
     named = told.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("component_id"))
     if total:
         with temporary():
-            found, classes = links(rows, total)
+            found, classes = links(rows, named.withColumnRenamed("component_id", "least"), total)
             labels = connected(found)
             label = classes.join(labels.withColumnRenamed("node", "class"), "class").select("key", "label")
             label = written(named.join(label, "key"), "labels", keep=True)

@@ -169,6 +169,59 @@ def test_links_are_written_by_small_jobs(spark, monkeypatch):
     assert "cells" in exchanges and max(exchanges.values()) <= 10, exchanges
 
 
+def test_sets_are_moved_in_few_bytes(spark):
+    """Bytes shuffled for a shingle, without broadcasts, as in large tables."""
+    draw = random.Random(8)
+    texts = []
+    for g in range(60):
+        base = [f"{draw.randrange(1 << 30):x}" for _ in range(400)]
+        for k in range(6):
+            texts += [" ".join([*base, f"k{k}"])] * (1 + k % 2)
+    texts += [" ".join(f"{draw.randrange(1 << 30):x}" for _ in range(400)) for _ in range(200)]
+    data = list(enumerate(texts))
+    docs = spark.createDataFrame(draw.sample(data, len(data)), "doc_id long, text string").repartition(4).localCheckpoint()
+
+    def moved():
+        context = spark.sparkContext._jsc.sc()
+        context.listenerBus().waitUntilEmpty()
+        found = context.statusStore().executorList(False)
+        return sum(found.apply(i).totalShuffleWrite() for i in range(found.size()))
+
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = moved()
+        got = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.link_documents(docs).collect())
+        after = moved()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    sizes = {k: len(t.split()) - 4 for k, t in data}
+    assert got == collections.Counter((k, sizes[k], k - k % 9 if k < 540 else k) for k, _ in data)
+    assert (after - before) / sum(sizes.values()) < 22, (after - before) / sum(sizes.values())
+
+
+def test_packed_postings():
+    draw = np.random.default_rng(1)
+    number = np.concatenate([np.sort(draw.integers(0, 0x10000, n)) for n in (1, 300, 5)])
+    values, times = draw.integers(0, 1 << 63, 306, np.uint64), draw.integers(1, 1 << 31, 306)
+    packed = jaccard._packed(number, np.array([0, 1, 301]), (values, jaccard.NAMED_BYTES), (times, 4))
+    rows = [packed[:, a:b].tobytes() for a, b in ((0, 1), (1, 301), (301, 306))]
+    lengths, numbers, shingles, repeated = jaccard._unpacked(rows[::-1], jaccard.NAMED_BYTES, 4)
+    order = np.concatenate([np.arange(301, 306), np.arange(1, 301), [0]])
+    assert lengths.tolist() == [5, 300, 1] and numbers.tolist() == number[order].tolist()
+    assert shingles.tolist() == (values[order] & np.uint64((1 << 48) - 1)).tolist() and repeated.tolist() == times[order].tolist()
+    assert [len(x) for x in jaccard._unpacked([], 4)] == [0, 0, 0]
+
+
+def test_chance_repetitions_only_keep_more(spark, monkeypatch):
+    """Shingles that few bytes do not tell apart take nothing away."""
+    monkeypatch.setattr(jaccard, "COUNTED_BYTES", 1)
+    monkeypatch.setattr(jaccard, "NAMED_BYTES", 1)
+    data = [r[:2] for r in rows()]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.link_documents(docs).collect()) == brute_components(data)
+
+
 def test_components(spark):
     draw = random.Random(2)
     pairs = [(draw.randrange(400), draw.randrange(400)) for _ in range(250)] + [(k, k + 1) for k in range(1000, 1100)]
